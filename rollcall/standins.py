@@ -204,13 +204,13 @@ def no_enrollments(spark: SparkSession) -> DataFrame:
 def ledger_intro(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     return (t.customer.where(k % 7 == 0)
-            .select(F.concat(F.lit("u"), (k % 120).cast("string"), F.lit("@x.org")).alias("Email")))
+            .select(F.concat(F.lit("u"), (k % 300).cast("string"), F.lit("@x.org")).alias("Email")))
 
 
 def ledger_covid(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     return (t.customer.where(k % 7 == 1)
-            .select(F.concat(F.lit("AU"), (k % 120).cast("string"), F.lit("@x.org")).alias("Email")))
+            .select(F.concat(F.lit("AU"), (k % 200).cast("string"), F.lit("@x.org")).alias("Email")))
 
 
 def roles(t: Tables) -> DataFrame:
