@@ -107,8 +107,11 @@ resolved AS (
 COURSES = """
 courses AS (
   SELECT s.s_suppkey AS course_id, CAST(s.s_suppkey AS VARCHAR) AS sis_course_id,
-         'Course ' || CAST(s.s_suppkey AS VARCHAR) AS name, s.s_nationkey::BIGINT AS account_id,
-         n.n_regionkey::BIGINT AS enrollment_term_id, 'T' || CAST(n.n_regionkey AS VARCHAR) AS sis_term_id
+         'Course ' || CAST(s.s_suppkey AS VARCHAR) AS name, CAST(s.s_suppkey AS VARCHAR) AS course_code,
+         s.s_nationkey::BIGINT AS account_id,
+         n.n_regionkey::BIGINT AS enrollment_term_id, 'T' || CAST(n.n_regionkey AS VARCHAR) AS sis_term_id,
+         NULL::BIGINT AS total_students, 'available' AS workflow_state,
+         false AS restrict_student_future_view
   FROM supplier s JOIN nation n ON n.n_nationkey = s.s_nationkey
   WHERE s.s_suppkey % 10 <> 7)"""
 
@@ -319,5 +322,294 @@ UNION ALL
 SELECT event_id, pos, 'Course code ' || coalesce(course_code, '') || ' is not in the LMS' FROM bad_course"""
 
 
+# ------------------------------------------------------ maintenance side --
+
+LMS = """
+accounts AS (SELECT n_nationkey::BIGINT AS account_id, n_name AS subaccount_name FROM nation
+             WHERE n_nationkey % 6 <> 5),
+terms AS (SELECT r_regionkey::BIGINT AS enrollment_term_id, 'T' || CAST(r_regionkey AS VARCHAR) AS sis_term_id,
+                 r_name AS enrollment_name FROM region),
+staff_enr AS (
+  SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey AS course_id,
+         CAST(l_suppkey AS VARCHAR) AS sis_course_id, l_partkey AS user_id,
+         CASE l_returnflag WHEN 'A' THEN 'TeacherEnrollment' WHEN 'R' THEN 'TaEnrollment'
+              ELSE 'StudentEnrollment' END AS type,
+         CASE l_returnflag WHEN 'A' THEN 'Teacher' WHEN 'R' THEN 'Ta' ELSE 'Student' END AS role,
+         CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 16 END::BIGINT AS role_id,
+         CASE WHEN l_linestatus = 'F' THEN 'completed' ELSE 'active' END AS enrollment_state
+  FROM lineitem),
+staff_users AS (SELECT p_partkey AS id, p_name AS name, 'staff' || CAST(p_partkey AS VARCHAR) || '@x.org' AS login_id
+                FROM part),
+staff_by_login AS (
+  SELECT e, min(uid) AS user_id FROM (
+    SELECT lower(trim(login_id)) AS e, id AS uid FROM staff_users
+    UNION ALL SELECT lower(trim(login_id)), id FROM staff_users) x
+  WHERE e IS NOT NULL AND e <> '' GROUP BY e),
+idx AS (SELECT sis_course_id AS sis, min(course_id) AS course_id, arg_min(account_id, course_id) AS account_id
+        FROM courses WHERE sis_course_id IS NOT NULL GROUP BY sis_course_id)"""
+
+TEMPLATE_REQ = """
+treq AS (
+  SELECT 'Class ' || s_name AS CourseName,
+         CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_suppkey + 1 AS VARCHAR)
+              ELSE 'NEW-' || CAST(s_suppkey AS VARCHAR) END AS NewSIS_ID,
+         'STAFF' || CAST(s_suppkey * 3 AS VARCHAR) || '@x.org' AS Email,
+         CAST(s_suppkey AS VARCHAR) AS Template, CAST(s_nationkey AS VARCHAR) AS SubAccount
+  FROM supplier),
+term_id AS (SELECT enrollment_term_id AS tid FROM terms WHERE enrollment_name = 'AMERICA')"""
+
+
+def _plan_sql(req: str, new: str, src: str, name: str, account: str, copy_existing: bool) -> str:
+    exists = "COPY" if copy_existing else "EXISTS"
+    src_missing = ("WHEN s.course_id IS NULL THEN 'SOURCE_NOT_FOUND'" if account == "source" else "")
+    acct = "s.account_id" if account == "source" else f"CAST(r.{account} AS BIGINT)"
+    return f"""
+SELECT r.{new} AS new_sis, r.{src} AS source_sis, r.{name} AS name,
+       CASE WHEN t.course_id IS NOT NULL THEN '{exists}' {src_missing} ELSE 'CREATE' END AS action,
+       CASE WHEN t.course_id IS NULL THEN {acct} END AS account_id,
+       CASE WHEN t.course_id IS NULL THEN (SELECT tid FROM term_id) END::BIGINT AS term_id
+FROM {req} r LEFT JOIN idx t ON t.sis = r.{new} LEFT JOIN idx s ON s.sis = r.{src}"""
+
+
+DUP_REQ = """
+dreq AS (
+  SELECT CASE WHEN s_suppkey % 3 = 0 THEN CAST(s_suppkey + 1 AS VARCHAR)
+              ELSE 'NEW-' || CAST(s_suppkey AS VARCHAR) END AS NewSIS_ID,
+         CAST(s_suppkey AS VARCHAR) AS CurrentSIS_ID, 'Copy of ' || s_name AS CourseName
+  FROM supplier)"""
+
+PLAN_DUP = _plan_sql("dreq", "NewSIS_ID", "CurrentSIS_ID", "CourseName", "source", True)
+PLAN_TEMPLATE = _plan_sql("treq", "NewSIS_ID", "Template", "CourseName", "SubAccount", False)
+PLAN_CLASSES = _plan_sql("treq", "NewSIS_ID", "Template", "CourseName", "source", True)
+
+
+def _teacher_sql(plan: str, notify: bool) -> str:
+    return f"""
+, plans AS ({plan})
+SELECT p.new_sis, b.user_id,
+       CASE WHEN b.user_id IS NULL THEN 'TEACHER_NOT_FOUND' ELSE 'ENROLL' END AS action,
+       'TeacherEnrollment' AS type, 'active' AS enrollment_state, {str(notify).lower()} AS notify,
+       NULL::BIGINT AS role_id
+FROM (SELECT DISTINCT new_sis FROM plans WHERE action IN ('CREATE', 'COPY')) p
+JOIN treq r ON r.NewSIS_ID = p.new_sis
+LEFT JOIN staff_by_login b ON b.e = lower(trim(r.Email))"""
+
+
+CONTENT = """
+content AS (SELECT l_suppkey AS course_id, l_orderkey * 10 + l_linenumber AS item_id,
+                   l_returnflag || l_linestatus || CAST(l_linenumber AS VARCHAR) AS body FROM lineitem),
+cpairs AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS source_sis, CAST(s_suppkey + 1 AS VARCHAR) AS new_sis
+           FROM supplier),
+cgood AS (SELECT a.course_id AS source_course_id, b.course_id AS target_course_id
+          FROM cpairs p JOIN idx a ON a.sis = p.source_sis JOIN idx b ON b.sis = p.new_sis)"""
+
+MAINT = (COURSES, LMS)
+
+SQL["course_report"] = _with(*MAINT) + """
+, students AS (SELECT course_id, count(DISTINCT user_id) AS n FROM staff_enr
+               WHERE type = 'StudentEnrollment' AND enrollment_state IN ('active', 'invited') GROUP BY 1),
+teachers AS (SELECT t.course_id, string_agg(u.name, ' ' ORDER BY u.name) AS teacher
+             FROM (SELECT DISTINCT course_id, user_id FROM staff_enr
+                   WHERE type = 'TeacherEnrollment' AND enrollment_state IN ('active', 'invited')) t
+             JOIN staff_users u ON u.id = t.user_id GROUP BY 1)
+SELECT c.course_id, c.sis_course_id, c.name AS Course_Name, c.account_id, c.enrollment_term_id,
+       coalesce(c.total_students, s.n, 0) AS total_students, c.workflow_state, a.subaccount_name,
+       t.enrollment_name, coalesce(tt.teacher, 'No Teacher in Class') AS teacher
+FROM courses c JOIN accounts a ON a.account_id = c.account_id
+JOIN terms t ON t.enrollment_term_id = c.enrollment_term_id
+LEFT JOIN students s ON s.course_id = c.course_id LEFT JOIN teachers tt ON tt.course_id = c.course_id"""
+
+SQL["rename_term"] = _with(COURSES) + """
+SELECT course_id, sis_course_id AS old_sis_course_id, name AS old_name,
+       sis_course_id || '-2024' AS sis_course_id, sis_course_id || '-2024' AS course_code, 'OLD-' || name AS name
+FROM courses WHERE sis_term_id = 'T1'"""
+
+SQL["rename_courses"] = _with(COURSES) + """
+, m AS (SELECT * FROM (
+    SELECT p_partkey % 1000 AS id, 'NS-' || CAST(p_partkey AS VARCHAR) AS NewShortName,
+           upper(p_name) || ' v' || CAST(p_partkey AS VARCHAR) AS new_name,
+           row_number() OVER (PARTITION BY p_partkey % 1000 ORDER BY p_partkey DESC) AS rk
+    FROM part WHERE p_size <= 10) x WHERE rk = 1)
+SELECT c.course_id, c.name AS old_name, c.course_code AS old_course_code,
+       coalesce(m.new_name, c.name) AS name, coalesce(m.NewShortName, c.course_code) AS course_code
+FROM m JOIN courses c ON c.course_id = m.id"""
+
+SQL["recode_courses"] = _with(COURSES) + """
+, m AS (SELECT * FROM (
+    SELECT CAST(p_partkey % 1000 AS VARCHAR) AS cur, 'R' || CAST(p_partkey AS VARCHAR) AS new,
+           row_number() OVER (PARTITION BY p_partkey % 1000 ORDER BY p_partkey DESC) AS rk
+    FROM part WHERE p_size BETWEEN 11 AND 20) x WHERE rk = 1)
+SELECT c.course_id, c.sis_course_id AS old_sis_course_id, m.new AS sis_course_id, m.new AS course_code
+FROM m JOIN courses c ON c.sis_course_id = m.cur"""
+
+SQL["hide_until_start"] = _with(COURSES) + """
+SELECT course_id, sis_course_id, true AS restrict_student_future_view,
+       NOT coalesce(restrict_student_future_view, false) AS changed
+FROM courses WHERE sis_term_id = 'T2'"""
+
+SQL["term_lookup"] = _with(COURSES, LMS) + """
+SELECT enrollment_name, max(enrollment_term_id) AS enrollment_term_id, count(*) AS matches
+FROM terms GROUP BY enrollment_name"""
+
+SQL["plan_duplicate"] = _with(*MAINT, TEMPLATE_REQ, DUP_REQ) + PLAN_DUP
+SQL["plan_template"] = _with(*MAINT, TEMPLATE_REQ) + PLAN_TEMPLATE
+SQL["plan_classes"] = _with(*MAINT, TEMPLATE_REQ) + PLAN_CLASSES
+SQL["plan_template_teachers"] = _with(*MAINT, TEMPLATE_REQ) + _teacher_sql(PLAN_TEMPLATE, False)
+SQL["plan_classes_teachers"] = _with(*MAINT, TEMPLATE_REQ) + _teacher_sql(PLAN_CLASSES, True)
+
+SQL["propagate_staff"] = _with(*MAINT, TEMPLATE_REQ, DUP_REQ) + f"""
+, plans AS ({PLAN_DUP}),
+pairs AS (SELECT DISTINCT source_sis, new_sis FROM plans WHERE action IN ('CREATE', 'COPY')),
+staff AS (SELECT DISTINCT sis_course_id AS source_sis, user_id, type FROM staff_enr
+          WHERE type IN ('TeacherEnrollment', 'TaEnrollment') AND enrollment_state IN ('active', 'invited'))
+SELECT p.new_sis, s.user_id, s.type, 'active' AS enrollment_state,
+       CASE WHEN s.type = 'TaEnrollment' THEN true END AS notify,
+       CASE WHEN s.type = 'TaEnrollment' THEN 16 END::BIGINT AS role_id
+FROM pairs p JOIN staff s ON s.source_sis = p.source_sis"""
+
+SQL["copy_content"] = _with(*MAINT, CONTENT) + """
+SELECT g.target_course_id AS course_id, c.item_id, c.body, g.source_course_id
+FROM content c JOIN cgood g ON c.course_id = g.source_course_id
+UNION ALL
+SELECT course_id, item_id, body, NULL::BIGINT FROM content
+WHERE course_id IN (SELECT target_course_id FROM cgood)"""
+
+SQL["copy_content_reset"] = _with(*MAINT, CONTENT) + """
+SELECT g.target_course_id AS course_id, c.item_id, c.body, g.source_course_id
+FROM content c JOIN cgood g ON c.course_id = g.source_course_id"""
+
+SQL["transfer_roster"] = _with(*MAINT) + """
+, pairs AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS from_sis, CAST(s_suppkey + 2 AS VARCHAR) AS to_sis
+            FROM supplier),
+studs AS (SELECT DISTINCT sis_course_id AS from_sis, user_id FROM staff_enr
+          WHERE type = 'StudentEnrollment' AND enrollment_state IN ('active', 'invited'))
+SELECT p.from_sis, p.to_sis, s.user_id, 'StudentEnrollment' AS type, 'active' AS enrollment_state,
+       true AS notify
+FROM pairs p JOIN studs s ON s.from_sis = p.from_sis"""
+
+SQL["grant_one"] = _with(*MAINT) + """
+, r AS (SELECT lower(trim('staff' || CAST(s_suppkey * 2 AS VARCHAR) || '@x.org')) AS e,
+               CAST(s_suppkey AS VARCHAR) AS course_sis,
+               CASE s_suppkey % 3 WHEN 0 THEN 'teacher' WHEN 1 THEN 'ta' ELSE 'transition' END AS kind
+        FROM supplier),
+cidx AS (SELECT sis_course_id, min(course_id) AS course_id FROM courses
+         WHERE sis_course_id IS NOT NULL GROUP BY 1)
+SELECT r.e AS login, r.course_sis, c.course_id, b.user_id,
+       CASE WHEN c.course_id IS NULL THEN 'COURSE_NOT_FOUND' WHEN b.user_id IS NULL THEN 'USER_NOT_FOUND'
+            ELSE 'ENROLL' END AS action,
+       CASE lower(r.kind) WHEN 'teacher' THEN 'TeacherEnrollment' WHEN 'ta' THEN 'TaEnrollment'
+            WHEN 'transition' THEN 'TaEnrollment' END AS type,
+       CASE WHEN lower(r.kind) = 'transition' THEN 16 END::BIGINT AS role_id,
+       'active' AS enrollment_state, true AS notify
+FROM r LEFT JOIN staff_by_login b ON b.e = r.e LEFT JOIN cidx c ON c.sis_course_id = r.course_sis"""
+
+SQL["grant_across_term"] = _with(*MAINT) + """
+, r AS (SELECT lower(trim('staff' || CAST(r_regionkey AS VARCHAR) || '@x.org')) AS e,
+               'T' || CAST(r_regionkey AS VARCHAR) AS sis_term_id FROM region)
+SELECT r.e AS login, r.sis_term_id, c.course_id, c.sis_course_id, b.user_id, 'TaEnrollment' AS type,
+       16::BIGINT AS role_id, 'active' AS enrollment_state, true AS notify
+FROM r JOIN staff_by_login b ON b.e = r.e JOIN courses c ON c.sis_term_id = r.sis_term_id"""
+
+SQL["revoke_across_term"] = _with(*MAINT) + """
+, q AS (SELECT r_regionkey * 7 AS target, 'T' || CAST(r_regionkey AS VARCHAR) AS sis_term_id FROM region)
+SELECT c.sis_term_id, e.course_id, e.sis_course_id, e.id AS enrollment_id, e.user_id,
+       coalesce(e.user_id = q.target, false) AS removed
+FROM staff_enr e JOIN courses c ON c.course_id = e.course_id JOIN q ON q.sis_term_id = c.sis_term_id
+WHERE e.type = 'TeacherEnrollment'"""
+
+SQL["last_login_report"] = _with(DIRECTORY) + """
+, last AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id),
+u AS (SELECT u.id, u.login_id, u.sis_user_id,
+             strftime(l.ts, '%Y-%m-%dT%H:%M:%S') ||
+             CASE WHEN u.id % 3 = 0 THEN 'Z' WHEN u.id % 3 = 1 THEN '-07:00' ELSE '-0700' END AS last_login
+      FROM users u LEFT JOIN last l ON l.user_id = u.id),
+p AS (SELECT u.*, timezone('UTC', try_strptime(regexp_replace(last_login, 'Z$', '+00:00'),
+                                               '%Y-%m-%dT%H:%M:%S%z')) AS ts FROM u)
+SELECT id, login_id, sis_user_id, last_login,
+       coalesce(strftime(ts, '%Y-%m-%d %H:%M:%S'), 'no last login') AS last_login_at,
+       (last_login IS NOT NULL AND ts IS NULL) AS parse_error,
+       (ts IS NULL OR CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) FROM events) - 14) AS inactive
+FROM p"""
+
+SQL["roles_of_user"] = _with(*MAINT) + """
+, r AS (SELECT DISTINCT lower(trim('STAFF' || CAST(s_suppkey AS VARCHAR) || '@x.org')) AS e FROM supplier)
+SELECT r.e AS login, b.user_id, e.id AS enrollment_id, e.sis_course_id, e.role, e.type
+FROM r JOIN staff_by_login b ON b.e = r.e JOIN staff_enr e ON e.user_id = b.user_id"""
+
+SQL["roles_in_account"] = """
+SELECT min(p_partkey) AS id, p_type AS label, p_type || 'Enrollment' AS role, 'StudentEnrollment' AS base_role_type
+FROM part GROUP BY p_type"""
+
+SQL["student_list"] = _with(FEED_MIXED) + """
+SELECT DISTINCT email FROM feed WHERE email IS NOT NULL"""
+
+SQL["course_staff"] = _with(*MAINT) + """
+SELECT DISTINCT e.course_id, e.sis_course_id, e.user_id, u.name, e.type
+FROM staff_enr e LEFT JOIN staff_users u ON u.id = e.user_id
+WHERE e.type IN ('TeacherEnrollment', 'TaEnrollment')"""
+
+SCHOOL = """
+stu AS (SELECT c_nationkey AS SC, c_name AS LN, 'c' || CAST(c_custkey AS VARCHAR) || '@x.org' AS SEM,
+               (9 + c_custkey % 4)::INTEGER AS GR, (c_custkey % 10)::INTEGER AS CU,
+               CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS DEL,
+               CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'X' ELSE '' END AS TG FROM customer),
+tch AS (SELECT s_nationkey AS SC, (s_suppkey % 10)::INTEGER AS TN,
+               't' || CAST(s_suppkey AS VARCHAR) || '@x.org' AS EM FROM supplier),
+alt AS (SELECT n_nationkey AS SCID, n_name AS ALTSC FROM nation)"""
+
+GROUPS = """
+want AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '@x.org' AS login_id FROM orders
+         WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P'),
+have AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '@x.org' AS login_id FROM orders
+         WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'O')"""
+
+SQL["group_students"] = _with(SCHOOL) + """
+SELECT a.ALTSC, s.LN, s.SEM, s.GR, s.CU, t.EM
+FROM stu s JOIN tch t ON s.SC = t.SC AND s.CU = t.TN JOIN alt a ON s.SC = a.SCID
+WHERE s.SC = 6 AND s.DEL = 0 AND s.TG = '' AND s.CU > 0
+ORDER BY a.ALTSC, s.CU, s.LN"""
+
+SQL["group_symmetric_difference"] = _with(GROUPS) + """
+(SELECT login_id FROM want EXCEPT SELECT login_id FROM have)
+UNION ALL
+(SELECT login_id FROM have EXCEPT SELECT login_id FROM want)"""
+
+SQL["group_changes"] = _with(GROUPS) + """
+SELECT login_id, 'ADD' AS op FROM (SELECT login_id FROM want EXCEPT SELECT login_id FROM have) a
+UNION ALL
+SELECT login_id, 'REMOVE' FROM (SELECT login_id FROM have EXCEPT SELECT login_id FROM want) r"""
+
+FLAT_COLS = {
+    "EventEnrollmentID": "e.event_id", "EnrollmentStatusCd": "f.status",
+    "CreatedDate": "strftime(f.created, '%Y-%m-%d %H:%M:%S.%f')",
+    "ScheduledEvent_EventCd": "f.course_code", "ScheduledEvent_Course_CourseName": "f.course_name",
+    "ScheduledEvent_Course_IsOnline": "f.is_online", "pos": "f.pos_raw",
+    "StudentID": "f.customer_id", "CustomerID": "f.customer_id", "Person_Email": "f.email",
+    "Person_FirstName": "f.first_name", "Person_LastName": "f.last_name",
+}
+
+
+def _flat_select(drop) -> str:
+    cols = [f"{expr} AS {name}" for name, expr in FLAT_COLS.items() if name not in drop]
+    return _with(FEED_MIXED) + "SELECT " + ", ".join(cols) + "\nFROM feed f JOIN events e ON e.event_id = f.event_id"
+
+
+SQL["keep_list"] = _flat_select({"pos"})
+SQL["drop_list"] = _flat_select({"CreatedDate", "StudentID", "Person_LastName"})
+
+SQL["zip_rows"] = _with(FEED_MIXED) + """
+, rec AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'DROPPED' ELSE 'ENROLLED' END AS status,
+                 row_number() OVER (ORDER BY event_id) AS row_no FROM events),
+stud AS (SELECT event_id AS s_event_id, pos_raw AS s_pos, customer_id, email,
+                row_number() OVER (ORDER BY event_id, pos_raw) AS row_no FROM feed WHERE pos_raw IS NOT NULL)
+SELECT coalesce(a.row_no, b.row_no) AS row_no, a.event_id, a.status, b.s_event_id, b.s_pos, b.customer_id, b.email
+FROM rec a FULL OUTER JOIN stud b ON a.row_no = b.row_no"""
+
+SQL["ledger_append"] = _with(FEED_ONE, WM, SKIP, DIRECTORY, IDENTITY, LEDGERS) + """
+SELECT Email FROM ledger_intro
+UNION ALL
+SELECT email FROM cand WHERE NOT EXISTS (SELECT 1 FROM ledger_intro l WHERE lower(trim(l.Email)) = cand.e)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

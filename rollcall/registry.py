@@ -18,7 +18,19 @@ from rollcall.operators.feed import (
 from rollcall.operators.identity import login_changes, resolve_first_rows, resolve_users
 from rollcall.operators.letters import unsent
 from rollcall.operators.sets import union_all
+from rollcall.operators.shape import drop_strict, keep, zip_rows
+from rollcall.operators.feed import FEED_KEEP
+from rollcall.plans.access import (
+    course_staff, grant, grant_across_term, revoke_across_term, roles_in_account,
+    roles_of_users, student_list, transfer_roster,
+)
+from rollcall.plans.courses import (
+    copy_content, course_report, hide_until_start, plan_courses, propagate_staff,
+    recode_courses, rename_courses, rename_term, resolve_term, teacher_by_email, term_matches,
+)
+from rollcall.plans.groups import group_changes, group_difference, member_logins, students_of_counselors
 from rollcall.plans.sync import run_messages, sync_batch
+from rollcall.plans.users import last_login_report
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -204,5 +216,264 @@ def sync_messages(spark, d):
     return run_messages(_sync(spark, d))
 
 
+# ------------------------------------------------------------- courses ----
+
+TERM_NAME = "AMERICA"
+
+
+@query(name="course_report")
+def _course_report(spark, d):
+    """Courses with sub-account, term, student count and
+    teacher names."""
+    t = S.Tables(spark, d)
+    return course_report(S.courses(t), S.accounts(t), S.terms(t), S.staff_enrollments(t),
+                         S.staff_users(t))
+
+
+@query(name="rename_term")
+def _rename_term(spark, d):
+    """End-of-term rename of the courses of term T1."""
+    return rename_term(S.courses(S.Tables(spark, d)), "T1", "OLD-", "-2024")
+
+
+@query(name="rename_courses")
+def _rename_courses(spark, d):
+    """Rename by course id (last map row per id wins)."""
+    t = S.Tables(spark, d)
+    return rename_courses(S.courses(t), S.rename_map(t))[0]
+
+
+@query(name="recode_courses")
+def _recode_courses(spark, d):
+    """Recode course code and external id."""
+    t = S.Tables(spark, d)
+    return recode_courses(S.courses(t), S.recode_map(t))[0]
+
+
+@query(name="hide_until_start")
+def _hide_until_start(spark, d):
+    """Restrict future view for the courses of term T2."""
+    return hide_until_start(S.courses(S.Tables(spark, d)), "T2")
+
+
+@query
+def term_lookup(spark, d):
+    """Term id per name and how many terms share it."""
+    return term_matches(S.terms(S.Tables(spark, d)))
+
+
+def _plan_duplicate(t):
+    return plan_courses(S.duplicate_request(t), S.courses(t), resolve_term(S.terms(t), TERM_NAME),
+                        new_col="NewSIS_ID", source_col="CurrentSIS_ID", name_col="CourseName",
+                        account_from="source", copy_existing=True)
+
+
+@query
+def plan_duplicate(spark, d):
+    """Create missing targets in the source's sub-account, copy all."""
+    return _plan_duplicate(S.Tables(spark, d))
+
+
+@query
+def plan_template(spark, d):
+    """Create only missing courses, in the requested sub-account."""
+    t = S.Tables(spark, d)
+    return plan_courses(S.template_request(t), S.courses(t), resolve_term(S.terms(t), TERM_NAME),
+                        new_col="NewSIS_ID", source_col="Template", name_col="CourseName",
+                        account_from="request", account_col="SubAccount", copy_existing=False)
+
+
+@query
+def plan_template_teachers(spark, d):
+    """Teacher of each created course, found by e-mail."""
+    t = S.Tables(spark, d)
+    req = S.template_request(t)
+    plans = plan_courses(req, S.courses(t), resolve_term(S.terms(t), TERM_NAME),
+                         new_col="NewSIS_ID", source_col="Template", name_col="CourseName",
+                         account_from="request", account_col="SubAccount", copy_existing=False)
+    return teacher_by_email(plans, req, S.staff_users(t), S.staff_logins(t),
+                            new_col="NewSIS_ID", email_col="Email", notify=False)
+
+
+def _plan_classes(t):
+    return plan_courses(S.class_request(t), S.courses(t), resolve_term(S.terms(t), TERM_NAME),
+                        new_col="COURSECODE", source_col="TEMPLATE", name_col="CourseName",
+                        account_from="source", copy_existing=True)
+
+
+@query
+def plan_classes(spark, d):
+    """Missing made in the template's sub-account; existing copied too."""
+    return _plan_classes(S.Tables(spark, d))
+
+
+@query
+def plan_classes_teachers(spark, d):
+    """Teacher by e-mail, notified."""
+    t = S.Tables(spark, d)
+    return teacher_by_email(_plan_classes(t), S.class_request(t), S.staff_users(t), S.staff_logins(t),
+                            new_col="COURSECODE", email_col="EMAIL", notify=True)
+
+
+@query(name="propagate_staff")
+def _propagate_staff(spark, d):
+    """Teachers and TAs (role id 16) of each source enrolled in its target."""
+    t = S.Tables(spark, d)
+    pairs = _plan_duplicate(t).where(F.col("action").isin("CREATE", "COPY"))
+    return propagate_staff(pairs, S.staff_enrollments(t))
+
+
+@query(name="copy_content")
+def _copy_content(spark, d):
+    """Target content after the copy (target rows kept)."""
+    t = S.Tables(spark, d)
+    pairs = S.copy_request(t).select(F.col("CurrentSIS_ID").alias("source_sis"),
+                                     F.col("NewSIS_ID").alias("new_sis"))
+    return copy_content(pairs, S.courses(t), S.content(t), reset=False)[0]
+
+
+@query
+def copy_content_reset(spark, d):
+    """D11 with reset: the target's rows are removed first."""
+    t = S.Tables(spark, d)
+    pairs = S.copy_request(t).select(F.col("CurrentSIS_ID").alias("source_sis"),
+                                     F.col("NewSIS_ID").alias("new_sis"))
+    return copy_content(pairs, S.courses(t), S.content(t), reset=True)[0]
+
+
+# -------------------------------------------------------------- access ----
+
+@query(name="transfer_roster")
+def _transfer_roster(spark, d):
+    """Students of a course enrolled in another."""
+    t = S.Tables(spark, d)
+    return transfer_roster(S.roster_pairs(t), S.staff_enrollments(t))
+
+
+@query
+def grant_one(spark, d):
+    """One enrollment per request, misses reported."""
+    t = S.Tables(spark, d)
+    return grant(S.grant_requests(t), S.staff_users(t), S.staff_logins(t), S.courses(t))
+
+
+@query(name="grant_across_term")
+def _grant_across_term(spark, d):
+    """A role in every course of a term."""
+    t = S.Tables(spark, d)
+    return grant_across_term(S.term_grant_requests(t), S.staff_users(t), S.staff_logins(t), S.courses(t))
+
+
+@query(name="revoke_across_term")
+def _revoke_across_term(spark, d):
+    """A teacher removed from every course of a term (``removed``)."""
+    t = S.Tables(spark, d)
+    removed, others = revoke_across_term(S.revoke_requests(t), S.courses(t), S.staff_enrollments(t))
+    return union_all(removed.withColumn("removed", F.lit(True)), others.withColumn("removed", F.lit(False)))
+
+
+@query(name="last_login_report")
+def _last_login_report(spark, d):
+    """Last login per user, parsed from ISO text with offsets."""
+    t = S.Tables(spark, d)
+    as_of = t.events.agg(F.to_date(F.max("ts"))).scalar()
+    return last_login_report(S.users_with_last_login(t), as_of=as_of, inactive_days=14)
+
+
+@query
+def roles_of_user(spark, d):
+    """Every enrollment of the users named by login."""
+    t = S.Tables(spark, d)
+    return roles_of_users(S.role_logins(t), S.staff_users(t), S.staff_logins(t), S.staff_enrollments(t))
+
+
+@query(name="roles_in_account")
+def _roles_in_account(spark, d):
+    """Roles of the account."""
+    return roles_in_account(S.roles(S.Tables(spark, d)))
+
+
+@query(name="student_list")
+def _student_list(spark, d):
+    """Distinct e-mails of the feed."""
+    return student_list(S.feed(S.Tables(spark, d), "mixed"))
+
+
+@query(name="course_staff")
+def _course_staff(spark, d):
+    """Teachers and TAs of every course."""
+    t = S.Tables(spark, d)
+    return course_staff(S.staff_enrollments(t), S.staff_users(t))
+
+
+# -------------------------------------------------------------- groups ----
+
+@query
+def group_students(spark, d):
+    """Students of the counselors of school 6."""
+    st = S.school_tables(S.Tables(spark, d))
+    return students_of_counselors(st["STU"], st["TCH"], st["ALTSCH"], 6)
+
+
+@query
+def group_symmetric_difference(spark, d):
+    """Logins in exactly one of the two lists."""
+    want, have = S.group_lists(S.Tables(spark, d))
+    return group_difference(want, member_logins(have))
+
+
+@query(name="group_changes")
+def _group_changes(spark, d):
+    """ADD / REMOVE to make the group equal the wanted list."""
+    want, have = S.group_lists(S.Tables(spark, d))
+    return group_changes(want, member_logins(have))
+
+
+# --------------------------------------------------------------- shape ----
+
+def _flat_mixed(spark, d):
+    return flatten_feed(S.feed(S.Tables(spark, d), "mixed"))
+
+
+def _underscored(df):
+    return df.select(*[F.col("`" + c + "`").alias(c.replace(".", "_")) for c in df.columns])
+
+
+@query
+def keep_list(spark, d):
+    """Keep-list projection; names that are missing are ignored."""
+    flat = keep(_flat_mixed(spark, d), FEED_KEEP + ["Person.MiddleName"])
+    return _underscored(flat.withColumn("CreatedDate", F.date_format("CreatedDate", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
+@query
+def drop_list(spark, d):
+    """Strict drop-list projection."""
+    return _underscored(drop_strict(_flat_mixed(spark, d), ["CreatedDate", "StudentID", "Person.LastName"]))
+
+
+@query(name="zip_rows")
+def _zip_rows(spark, d):
+    """Records and students paired by position (the reference's
+    misalignment on records without or with two students)."""
+    feed = S.feed(S.Tables(spark, d), "mixed")
+    records = feed.select(F.col("EventEnrollmentID").alias("event_id"),
+                          F.col("EnrollmentStatusCd").alias("status"))
+    students = feed.select(F.col("EventEnrollmentID").alias("s_event_id"),
+                           F.posexplode("Students").alias("s_pos", "s"))
+    students = students.select("s_event_id", "s_pos", F.col("s.CustomerID").alias("customer_id"),
+                               F.col("s.Person.Email").alias("email"))
+    return zip_rows(records, students, ["event_id"], ["s_event_id", "s_pos"])
+
+
+@query
+def ledger_append(spark, d):
+    """The intro ledger after appending this batch's letters."""
+    t = S.Tables(spark, d)
+    resolved = resolve_users(_good(t), S.users(t), S.logins(t))
+    sent = unsent(resolved, S.ledger_intro(t), "intro").select(F.col("email").alias("Email"))
+    return union_all(S.ledger_intro(t), sent)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)

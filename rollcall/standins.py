@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.schemas import (
-    ACCOUNTS, COURSES, ENROLLMENTS, FEED, LOGINS, ROLES, TERMS, USERS,
+    ACCOUNTS, CONTENT, COURSES, ENROLLMENTS, FEED, LOGINS, ROLES, TERMS, USERS,
 )
 
 
@@ -214,9 +214,158 @@ def ledger_covid(t: Tables) -> DataFrame:
 
 
 def roles(t: Tables) -> DataFrame:
-    """Account roles: one per distinct part type."""
-    p = t.part.select("p_type").distinct()
-    out = p.select(F.abs(F.hash("p_type")).cast("long").alias("id"), F.col("p_type").alias("label"),
-                   F.concat(F.initcap(F.lower("p_type")), F.lit("Enrollment")).alias("role"),
+    """Account roles: one per part type (id = its smallest part key)."""
+    p = t.part.groupBy("p_type").agg(F.min("p_partkey").alias("id"))
+    out = p.select("id", F.col("p_type").alias("label"),
+                   F.concat(F.col("p_type"), F.lit("Enrollment")).alias("role"),
                    F.lit("StudentEnrollment").alias("base_role_type"))
     return _conform(out, ROLES)
+
+
+# ------------------------------------------------------------ staff side --
+
+def staff_users(t: Tables) -> DataFrame:
+    """LMS staff directory from ``part``: login 'staff<p_partkey>@x.org'."""
+    k = F.col("p_partkey")
+    login = F.concat(F.lit("staff"), k.cast("string"), F.lit("@x.org"))
+    out = t.part.select(k.alias("id"), F.col("p_name").alias("name"), F.col("p_name").alias("short_name"),
+                        F.col("p_name").alias("sortable_name"), login.alias("login_id"),
+                        F.concat(F.lit("S"), k.cast("string")).alias("sis_user_id"),
+                        F.lit(None).cast("string").alias("last_login"), login.alias("primary_email"))
+    return _conform(out, USERS)
+
+
+def staff_logins(t: Tables) -> DataFrame:
+    u = staff_users(t)
+    return _conform(u.select(F.col("id").alias("user_id"), F.col("login_id").alias("unique_id")), LOGINS)
+
+
+def content(t: Tables) -> DataFrame:
+    """Course content items from ``lineitem`` (course = l_suppkey)."""
+    li = t.lineitem
+    out = li.select(F.col("l_suppkey").alias("course_id"),
+                    (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
+                    F.concat(F.col("l_returnflag"), F.col("l_linestatus"),
+                             F.col("l_linenumber").cast("string")).alias("body"))
+    return _conform(out, CONTENT)
+
+
+def users_with_last_login(t: Tables) -> DataFrame:
+    """Directory users whose last login is the latest event of the customer,
+    written as ISO text with offset 'Z', '-07:00' or '-0700' (by id % 3)."""
+    last = t.events.groupBy("user_id").agg(F.max("ts").alias("_ts"))
+    u = users(t).drop("last_login").join(last, F.col("id") == F.col("user_id"), "left")
+    off = (F.when(F.col("id") % 3 == 0, F.lit("Z")).when(F.col("id") % 3 == 1, F.lit("-07:00"))
+           .otherwise(F.lit("-0700")))
+    text = F.concat(F.date_format(F.col("_ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss"), off)
+    return _conform(u.withColumn("last_login", text), USERS)
+
+
+def duplicate_request(t: Tables) -> DataFrame:
+    """Course duplication requests from ``supplier``: source = the supplier's
+    course; target = the next course for every third supplier (mostly
+    existing), else a new code."""
+    k = F.col("s_suppkey")
+    new = F.when(k % 3 == 0, (k + 1).cast("string")).otherwise(F.concat(F.lit("NEW-"), k.cast("string")))
+    return t.supplier.select(new.alias("NewSIS_ID"), k.cast("string").alias("CurrentSIS_ID"),
+                             F.concat(F.lit("Copy of "), F.col("s_name")).alias("CourseName"))
+
+
+def template_request(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    new = F.when(k % 3 == 0, (k + 1).cast("string")).otherwise(F.concat(F.lit("NEW-"), k.cast("string")))
+    return t.supplier.select(
+        F.concat(F.lit("Class "), F.col("s_name")).alias("CourseName"), new.alias("NewSIS_ID"),
+        F.concat(F.lit("STAFF"), (k * 3).cast("string"), F.lit("@x.org")).alias("Email"),
+        k.cast("string").alias("Template"), F.col("s_nationkey").cast("string").alias("SubAccount"))
+
+
+def class_request(t: Tables) -> DataFrame:
+    r = template_request(t)
+    return r.select(F.col("Email").alias("EMAIL"), "CourseName", F.col("NewSIS_ID").alias("COURSECODE"),
+                    F.col("Template").alias("TEMPLATE"))
+
+
+def copy_request(t: Tables) -> DataFrame:
+    """Content copy pairs: every supplier's course into the next one."""
+    k = F.col("s_suppkey")
+    return (t.supplier
+            .select((k + 1).cast("string").alias("NewSIS_ID"), k.cast("string").alias("CurrentSIS_ID"),
+                    F.col("s_nationkey").cast("string").alias("SubAccount")))
+
+
+def roster_pairs(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    return t.supplier.select(k.cast("string").alias("from_sis"), (k + 2).cast("string").alias("to_sis"))
+
+
+# Grant kinds of the stand-in requests, by s_suppkey % 3.
+def grant_requests(t: Tables) -> DataFrame:
+    k = F.col("s_suppkey")
+    kind = F.when(k % 3 == 0, F.lit("teacher")).when(k % 3 == 1, F.lit("ta")).otherwise(F.lit("transition"))
+    return t.supplier.select(F.concat(F.lit("staff"), (k * 2).cast("string"), F.lit("@x.org")).alias("login"),
+                             k.cast("string").alias("course_sis"), kind.alias("kind"))
+
+
+def term_grant_requests(t: Tables) -> DataFrame:
+    r = F.col("r_regionkey")
+    return t.region.select(F.concat(F.lit("staff"), r.cast("string"), F.lit("@x.org")).alias("login"),
+                           F.concat(F.lit("T"), r.cast("string")).alias("sis_term_id"),
+                           F.lit("transition").alias("kind"))
+
+
+def revoke_requests(t: Tables) -> DataFrame:
+    """Per term, revoke the teacher whose part key is 7 times the region key."""
+    r = F.col("r_regionkey")
+    return t.region.select((r * 7).cast("long").alias("user_id"),
+                           F.concat(F.lit("T"), r.cast("string")).alias("sis_term_id"))
+
+
+def rename_map(t: Tables) -> DataFrame:
+    """Rename map keyed by course id from ``part`` (sizes 1-10); a course id
+    may appear twice, the later row (larger p_partkey) wins."""
+    p = t.part.where(F.col("p_size") <= 10)
+    k = F.col("p_partkey")
+    return p.select((k % 1000).alias("id"), F.concat(F.lit("NS-"), k.cast("string")).alias("NewShortName"),
+                    F.concat(F.upper(F.col("p_name")), F.lit(" v"), k.cast("string")).alias("New name"),
+                    k.alias("_row"))
+
+
+def recode_map(t: Tables) -> DataFrame:
+    p = t.part.where(F.col("p_size").between(11, 20))
+    k = F.col("p_partkey")
+    return p.select((k % 1000).cast("string").alias("currentcoursecode"),
+                    F.concat(F.lit("R"), k.cast("string")).alias("coursecodenew"), k.alias("_row"))
+
+
+def role_logins(t: Tables) -> DataFrame:
+    return t.supplier.select(F.concat(F.lit("STAFF"), F.col("s_suppkey").cast("string"),
+                                      F.lit("@x.org")).alias("login"))
+
+
+# ------------------------------------------------------ school database --
+
+def school_tables(t: Tables) -> dict[str, DataFrame]:
+    """STU from customer, TCH from supplier, ALTSCH from nation."""
+    c, k = t.customer, F.col("c_custkey")
+    stu = c.select(F.col("c_nationkey").alias("SC"), F.col("c_name").alias("LN"),
+                   F.concat(F.lit("c"), k.cast("string"), F.lit("@x.org")).alias("SEM"),
+                   (F.lit(9) + k % 4).cast("int").alias("GR"), (k % 10).cast("int").alias("CU"),
+                   F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("DEL"),
+                   F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("X")).otherwise(F.lit("")).alias("TG"))
+    s = F.col("s_suppkey")
+    tch = t.supplier.select(F.col("s_nationkey").alias("SC"), (s % 10).cast("int").alias("TN"),
+                            F.concat(F.lit("t"), s.cast("string"), F.lit("@x.org")).alias("EM"))
+    alt = t.nation.select(F.col("n_nationkey").alias("SCID"), F.col("n_name").alias("ALTSC"))
+    return {"STU": stu, "TCH": tch, "ALTSCH": alt}
+
+
+def group_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(wanted logins, group members): customers with a '5-LOW' order in
+    status 'P' / in status 'O'."""
+    o = t.orders.where(F.col("o_orderpriority") == "5-LOW")
+    login = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@x.org")).alias("login_id")
+    want = o.where(F.col("o_orderstatus") == "P").select(login)
+    have = o.where(F.col("o_orderstatus") == "O").select(
+        F.col("o_orderkey").alias("id"), F.lit(None).cast("string").alias("name"), login)
+    return want, have
