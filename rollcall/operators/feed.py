@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import is_blank, window_bounds
-from rollcall.operators.joins import bounded_broadcast
 from rollcall.operators.shape import explode_records, keep
 
 # The eleven feed fields the importer keeps (dotted names as
@@ -82,8 +81,12 @@ def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode"
                   online_override: bool = False) -> tuple[DataFrame, DataFrame]:
     """(kept, skipped) by the skip list (J4).  With ``online_override`` a row
     of a listed course is kept when the course is online (J6).  Membership
-    never matches a null code (anti/semi-join semantics, not NOT IN)."""
-    codes = bounded_broadcast(_codes(skip, code_col))
+    never matches a null code (anti/semi-join semantics, not NOT IN).
+
+    No broadcast hint: the list is broadcast when the planner's estimate or
+    AQE's measured size is under the broadcast threshold, and shuffled
+    otherwise."""
+    codes = _codes(skip, code_col)
     if not online_override:
         on = rows["course_code"] == codes["_code"]
         return rows.join(codes, on, "left_anti"), rows.join(codes, on, "left_semi")
@@ -97,7 +100,7 @@ def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode"
 
 def only_listed(rows: DataFrame, allow: DataFrame, code_col: str = "CourseCode") -> tuple[DataFrame, DataFrame]:
     """(kept, not listed) by an allow list."""
-    codes = bounded_broadcast(_codes(allow, code_col))
+    codes = _codes(allow, code_col)
     on = rows["course_code"] == codes["_code"]
     return rows.join(codes, on, "left_semi"), rows.join(codes, on, "left_anti")
 
@@ -112,8 +115,8 @@ def validate_email(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def split_unknown_courses(rows: DataFrame, courses: DataFrame,
                           key: str = "sis_course_id") -> tuple[DataFrame, DataFrame]:
     """(good, rejects) by course existence (J10).  The course list is one
-    row per course of the LMS; it is broadcast only after a size check."""
-    codes = bounded_broadcast(_codes(courses, key))
+    row per course of the LMS (broadcast by the planner / AQE when small)."""
+    codes = _codes(courses, key)
     on = rows["course_code"] == codes["_code"]
     return (rows.join(codes, on, "left_semi"),
             rows.join(codes, on, "left_anti").withColumn("reason", F.lit("UNKNOWN_COURSE")))

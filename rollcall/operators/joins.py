@@ -9,9 +9,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lists that are broadcast (skip/allow lists, ledgers, course lists) are
-# checked against this many rows first; above it the join is left to the
-# planner (sort-merge, or a broadcast AQE picks from measured sizes).
+# Equi-joins carry no broadcast hint: the planner broadcasts a side whose
+# estimated size is under spark.sql.autoBroadcastJoinThreshold and AQE
+# re-plans from measured shuffle sizes, falling back to a sort-merge join.
+# Non-equi joins (the regex ledger match) would be broadcast whatever their
+# size, so those sides are counted against this bound first.
 BROADCAST_MAX_ROWS = 2_000_000
 
 

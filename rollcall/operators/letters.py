@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import email_key
-from rollcall.operators.joins import BROADCAST_MAX_ROWS, bounded_broadcast
+from rollcall.operators.joins import BROADCAST_MAX_ROWS
 from rollcall.operators.ordered import first_per_key
 
 
@@ -33,8 +33,8 @@ def unsent(resolved: DataFrame, ledger: DataFrame, letter: str, match: str = "ex
     """Outbox rows: event_id, pos, account, email, letter."""
     cand = letter_candidates(resolved)
     if match == "exact":
-        sent = bounded_broadcast(ledger.select(email_key(column).alias("_sent"))
-                                 .where(F.col("_sent").isNotNull()).distinct())
+        sent = (ledger.select(email_key(column).alias("_sent"))
+                .where(F.col("_sent").isNotNull()).distinct())
         due = cand.join(sent, cand["e"] == sent["_sent"], "left_anti")
     elif match == "regex":
         sent = ledger.select(F.col(column).alias("_sent")).where(F.col("_sent").isNotNull())

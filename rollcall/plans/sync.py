@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ from rollcall.operators.identity import (
 )
 from rollcall.operators.letters import unsent
 from rollcall.operators.sets import union_all
+from rollcall.session import materialize
 
 ACTION_COLUMNS = ["event_id", "pos", "action", "account", "course_code"]
 
@@ -87,6 +89,16 @@ class SyncResult:
         return run_report(self)
 
 
+def _reuser(reuse: str | None):
+    if reuse == "persist":
+        return lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)
+    if reuse == "checkpoint":
+        return materialize
+    if reuse is None:
+        return lambda df: df
+    raise ValueError("reuse must be 'persist', 'checkpoint' or None")
+
+
 def _as_state(spark, watermark) -> DataFrame:
     if isinstance(watermark, DataFrame):
         return watermark.agg(F.coalesce(F.max("EventEnrollmentID"), F.lit(0).cast("long"))
@@ -99,16 +111,25 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
                allow: DataFrame | None = None, online_override: bool = False,
                ledgers: dict[str, DataFrame] | None = None, letter_match: str = "exact",
                new_user_course: str | None = None, on_error: str = "quarantine",
-               by_external_id: bool | None = None, nested: bool = True) -> SyncResult:
+               by_external_id: bool | None = None, nested: bool = True,
+               reuse: str | None = "persist") -> SyncResult:
     """Plan one batch of the feed.  ``feed`` is the nested feed (or canonical
     rows with ``nested=False``); ``watermark`` a number or one-row state.
     With ``allow`` the allow-list form (D2) runs: only listed courses, and
-    identity by e-mail only unless ``by_external_id`` says otherwise."""
+    identity by e-mail only unless ``by_external_id`` says otherwise.
+
+    The batch's flat rows and the identity result are read by every output,
+    so they are computed once: ``reuse="persist"`` (default) keeps them in
+    executor memory/disk (a lost executor's part is recomputed from lineage);
+    ``reuse="checkpoint"`` writes them to the shared checkpoint folder and
+    cuts the lineage (long runs, streaming micro-batches); ``None`` recomputes
+    them per output."""
     if on_error not in ("quarantine", "stop"):
         raise ValueError("on_error must be 'quarantine' or 'stop'")
     spark = feed.sparkSession
     rows_all = feed_rows(feed) if nested else feed
-    rows = since(rows_all, watermark)
+    keep_once = _reuser(reuse)
+    rows = keep_once(since(rows_all, watermark))
     late = below_watermark(rows_all, watermark)
     if allow is not None:
         kept, skipped = only_listed(rows, allow)
@@ -121,8 +142,8 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
         by_ext = True if by_external_id is None else by_external_id
 
     good, bad_email = validate_email(kept)
-    firsts = resolve_first_rows(good, users, logins, by_external_id=by_ext)
-    resolved = resolve_users(good, users, logins, firsts=firsts)
+    firsts = keep_once(resolve_first_rows(good, users, logins, by_external_id=by_ext))
+    resolved = keep_once(resolve_users(good, users, logins, firsts=firsts))
     known, bad_course = split_unknown_courses(resolved, courses)
 
     letters = [unsent(resolved, led, name, match=letter_match) for name, led in (ledgers or {}).items()]
@@ -187,35 +208,28 @@ def next_watermark(rows: DataFrame, prev: DataFrame, rejects: DataFrame | None =
 def run_report(res: SyncResult) -> DataFrame:
     """One-row run report (A1): rows seen, late rows, skipped, rejected,
     returning / changed / new users, enrollment actions by kind, letters,
-    old and new watermark."""
-    ident = res.identities.agg(
-        F.count_if(F.col("action") == RETURNING).alias("returning_users"),
-        F.count_if(F.col("action") == EMAIL_CHANGED).alias("changed_logins"),
-        F.count_if(F.col("action") == NEW).alias("new_users"))
-    enr = res.enrollments.agg(
-        F.count(F.lit(1)).alias("enrollment_events"),
-        F.count_if(F.col("action") == "ENROLL").alias("enrolled"),
-        F.count_if(F.col("action") == "DROP").alias("dropped"),
-        F.count_if(F.col("action") == "DROP_NOT_FOUND").alias("drops_not_found"))
-    rej = res.rejects.agg(
-        F.count_if(F.col("reason") == "BLANK_EMAIL").alias("rejected_blank_email"),
-        F.count_if(F.col("reason") == "UNKNOWN_COURSE").alias("rejected_unknown_course"))
-    scalar = lambda df: df.select(F.count(F.lit(1))).scalar()
+    old and new watermark.  One aggregation over the tagged outputs."""
+    tag = lambda df, kind: df.select(F.lit(kind).alias("k"))
+    facts = union_all(
+        tag(res.rows, "rows_seen"), tag(res.late, "rows_below_watermark"),
+        tag(res.skipped, "skipped"),
+        res.rejects.select(F.concat(F.lit("rejected_"), F.lower("reason")).alias("k")),
+        res.identities.select(F.lower("action").alias("k")),
+        res.enrollments.select(F.concat(F.lit("enr_"), F.lower("action")).alias("k")),
+        tag(res.letters, "letters"))
+    n = lambda k: F.count_if(F.col("k") == k)
+    enr = [n("enr_enroll"), n("enr_drop"), n("enr_drop_not_found")]
+    agg = facts.agg(
+        n("rows_seen").alias("rows_seen"), n("rows_below_watermark").alias("rows_below_watermark"),
+        n("skipped").alias("skipped"), n("rejected_blank_email").alias("rejected_blank_email"),
+        n("rejected_unknown_course").alias("rejected_unknown_course"),
+        n("returning").alias("returning_users"), n("email_changed").alias("changed_logins"),
+        n("new").alias("new_users"), (enr[0] + enr[1] + enr[2]).alias("enrollment_events"),
+        enr[0].alias("enrolled"), enr[1].alias("dropped"), enr[2].alias("drops_not_found"),
+        n("letters").alias("letters"))
     wm = res.watermark()
-    # every part is a one-row aggregate; the report is built from scalar
-    # subqueries rather than joins
-    return ident.select(
-        scalar(res.rows).alias("rows_seen"),
-        scalar(res.late).alias("rows_below_watermark"),
-        scalar(res.skipped).alias("skipped"),
-        rej.select("rejected_blank_email").scalar().alias("rejected_blank_email"),
-        rej.select("rejected_unknown_course").scalar().alias("rejected_unknown_course"),
-        "returning_users", "changed_logins", "new_users",
-        enr.select("enrollment_events").scalar().alias("enrollment_events"),
-        enr.select("enrolled").scalar().alias("enrolled"),
-        enr.select("dropped").scalar().alias("dropped"),
-        enr.select("drops_not_found").scalar().alias("drops_not_found"),
-        scalar(res.letters).alias("letters"),
+    return agg.select(
+        "*",
         res.prev_watermark.select("EventEnrollmentID").scalar().alias("old_watermark"),
         wm.select("EventEnrollmentID").scalar().alias("new_watermark"))
 
