@@ -34,15 +34,19 @@ def _is_drop(c):
     return F.coalesce(c == F.lit(DROPPED), F.lit(False))
 
 
-def plan_enrollments(rows: DataFrame, enrollments: DataFrame) -> DataFrame:
+def plan_enrollments(rows: DataFrame, enrollments: DataFrame | None,
+                     current: DataFrame | None = None) -> DataFrame:
     """Every resolved row with a known course -> one enrollment action.
+    The state before the batch is the roster snapshot ``enrollments`` or,
+    if given, ``current`` (account, course_code) pairs.
 
     Columns: event_id, pos, action, account, course_code, course_name, plus
     the payload of an ENROLL (type, enrollment_state, notify)."""
     keys = ["account", "course_code"]
     base = rows.select("event_id", "pos", "account", "course_code", "course_name", "status")
     prev = previous_value(base, keys, "event_id", "status", tie_col="pos", out_col="_prev")
-    cur = current_students(enrollments).withColumn("_enrolled0", F.lit(True))
+    cur = (current if current is not None else current_students(enrollments)) \
+        .select("account", "course_code").distinct().withColumn("_enrolled0", F.lit(True))
     j = prev.join(cur, keys, "left")
     prior_active = F.when(F.col("_prev").isNotNull(), ~_is_drop(F.col("_prev.value"))) \
                     .otherwise(F.coalesce(F.col("_enrolled0"), F.lit(False)))

@@ -37,34 +37,45 @@ NEW = "NEW"
 
 
 def directory_by_login(users: DataFrame, logins: DataFrame) -> DataFrame:
-    """``(e, dir_e)``: every login (primary and extra) -> user id, one row
-    per lower-cased login (the smallest id if two users share one)."""
+    """``(e, dir_e)``: every login (primary and extra) -> account (the user
+    id as text), one row per lower-cased login (the smallest id if two users
+    share one)."""
     all_logins = (logins.select(email_key("unique_id").alias("e"), F.col("user_id").alias("uid"))
                   .unionByName(users.select(email_key("login_id").alias("e"), F.col("id").alias("uid"))))
     return (all_logins.where(F.col("e").isNotNull())
-            .groupBy("e").agg(F.min("uid").alias("dir_e")))
+            .groupBy("e").agg(F.min("uid").cast("string").alias("dir_e")))
 
 
 def directory_by_external_id(users: DataFrame) -> DataFrame:
-    """``(c, dir_c, dir_login)``: external id -> user id and its primary login."""
+    """``(c, dir_c, dir_login)``: external id -> account (user id as text)
+    and its primary login."""
     packed = F.struct(F.col("id").alias("id"), email_key("login_id").alias("login"))
     return (users.where(F.col("sis_user_id").isNotNull())
             .groupBy(F.col("sis_user_id").alias("c"))
             .agg(F.min(packed).alias("_u"))
-            .select("c", F.col("_u.id").alias("dir_c"), F.col("_u.login").alias("dir_login")))
+            .select("c", F.col("_u.id").cast("string").alias("dir_c"), F.col("_u.login").alias("dir_login")))
 
 
-def resolve_first_rows(rows: DataFrame, users: DataFrame, logins: DataFrame,
-                       by_external_id: bool = True) -> DataFrame:
+def directory(users: DataFrame, logins: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two lookups identity resolution needs: by login, by external id."""
+    return directory_by_login(users, logins), directory_by_external_id(users)
+
+
+def resolve_first_rows(rows: DataFrame, users: DataFrame | None, logins: DataFrame | None,
+                       by_external_id: bool = True,
+                       lookups: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per e-mail key: the first row's order and customer, its action
-    and the account every row of that e-mail resolves to."""
+    and the account every row of that e-mail resolves to.  ``lookups`` (see
+    ``directory``) replaces the users/logins snapshot, e.g. a snapshot plus
+    the changes of earlier micro-batches."""
+    by_login, by_ext = lookups if lookups is not None else directory(users, logins)
     r = rows.withColumn("e", email_key("email"))
     firsts = first_per_key(r, ["e"], ["event_id", "pos"],
                            ["customer_id", "first_name", "last_name", "email"], prefix="f_")
-    f = firsts.join(directory_by_login(users, logins), "e", "left")
+    f = firsts.join(by_login, "e", "left")
     c = F.col("f_customer_id")
     if by_external_id:
-        f = f.join(directory_by_external_id(users), c == F.col("c"), "left").drop("c")
+        f = f.join(by_ext, c == F.col("c"), "left").drop("c")
         unresolved = F.col("dir_e").isNull() & F.col("dir_c").isNull()
         cand = (f.where(unresolved & c.isNotNull())
                 .groupBy(c.alias("_nc"))
@@ -77,19 +88,18 @@ def resolve_first_rows(rows: DataFrame, users: DataFrame, logins: DataFrame,
                   .otherwise(F.lit(EMAIL_CHANGED)))
         new_acct = F.when(c.isNull(), F.concat(F.lit("new-login:"), F.col("e"))) \
                     .otherwise(F.concat(F.lit("new:"), c))
-        account = F.coalesce(F.col("dir_e").cast("string"), F.col("dir_c").cast("string"), new_acct)
+        account = F.coalesce(F.col("dir_e"), F.col("dir_c"), new_acct)
         return f.withColumn("first_action", action).withColumn("account", account).drop("_nseq")
     else:
         # allow-list variant: e-mail, else a new user per e-mail
-        f = (f.withColumn("dir_c", F.lit(None).cast("long"))
+        f = (f.withColumn("dir_c", F.lit(None).cast("string"))
               .withColumn("dir_login", F.lit(None).cast("string")))
         action = F.when(F.col("dir_e").isNotNull(), F.lit(RETURNING)).otherwise(F.lit(NEW))
-        account = F.coalesce(F.col("dir_e").cast("string"),
-                             F.concat(F.lit("new-login:"), F.col("e")))
+        account = F.coalesce(F.col("dir_e"), F.concat(F.lit("new-login:"), F.col("e")))
     return f.withColumn("first_action", action).withColumn("account", account)
 
 
-def resolve_users(rows: DataFrame, users: DataFrame, logins: DataFrame,
+def resolve_users(rows: DataFrame, users: DataFrame | None, logins: DataFrame | None,
                   by_external_id: bool = True, firsts: DataFrame | None = None) -> DataFrame:
     """Every input row with ``e``, ``action`` (RETURNING / EMAIL_CHANGED /
     NEW) and ``account``."""
@@ -114,6 +124,28 @@ def user_creations(firsts: DataFrame) -> DataFrame:
                     F.col("f_customer_id").alias("sis_user_id")))
 
 
+def directory_changes(firsts: DataFrame, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a batch adds to the directory, in the shape of ``directory``:
+    (login -> account) for created users, renamed logins and re-added old
+    logins; (external id -> account, current primary login) for created
+    users and for every account whose login changed (the last change wins)."""
+    new = firsts.where(F.col("first_action") == NEW)
+    by_login = (new.select("e", F.col("account").alias("dir_e"))
+                .unionByName(changes.select(F.col("new_login").alias("e"), F.col("account").alias("dir_e")))
+                .unionByName(changes.where("add_login")
+                             .select(F.col("old_login").alias("e"), F.col("account").alias("dir_e"))))
+    moves = (new.where(F.col("f_customer_id").isNotNull())
+             .select(F.col("f_customer_id").alias("c"), F.col("account").alias("dir_c"),
+                     F.col("e").alias("dir_login"), F.col("f_event_id").alias("_ev"), F.col("f_pos").alias("_pos")))
+    renamed = (firsts.where(F.col("first_action") == EMAIL_CHANGED)
+               .select(F.col("f_customer_id").alias("c"), F.col("account").alias("dir_c"),
+                       F.col("e").alias("dir_login"), F.col("f_event_id").alias("_ev"), F.col("f_pos").alias("_pos")))
+    last = (moves.unionByName(renamed).where(F.col("c").isNotNull())
+            .groupBy("c").agg(F.max(F.struct("_ev", "_pos", "dir_c", "dir_login")).alias("_l"))
+            .select("c", F.col("_l.dir_c").alias("dir_c"), F.col("_l.dir_login").alias("dir_login")))
+    return by_login, last
+
+
 def login_changes(firsts: DataFrame, logins: DataFrame) -> DataFrame:
     """EMAIL_CHANGED rows: the user's login becomes ``e``; the old login
     (the directory login, or the login an earlier row of the batch gave
@@ -125,7 +157,8 @@ def login_changes(firsts: DataFrame, logins: DataFrame) -> DataFrame:
         "account", F.col("f_event_id").alias("event_id"), F.col("f_pos").alias("pos"),
         "e", "first_action", "dir_c", "dir_login")
     prev = previous_value(changes, ["account"], "event_id", "e", tie_col="pos", out_col="_prev")
-    counts = (logins.groupBy(F.col("user_id").alias("_uid"), email_key("unique_id").alias("_login"))
+    counts = (logins.groupBy(F.col("user_id").cast("string").alias("_uid"),
+                             email_key("unique_id").alias("_login"))
               .agg(F.count(F.lit(1)).alias("_n")))
     ch = prev.where(F.col("first_action") == EMAIL_CHANGED)
     ch = ch.withColumn("old_login", F.coalesce(F.col("_prev.value"), F.col("dir_login")))

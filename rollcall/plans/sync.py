@@ -112,7 +112,9 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
                ledgers: dict[str, DataFrame] | None = None, letter_match: str = "exact",
                new_user_course: str | None = None, on_error: str = "quarantine",
                by_external_id: bool | None = None, nested: bool = True,
-               reuse: str | None = "persist") -> SyncResult:
+               reuse: str | None = "persist",
+               lookups: tuple[DataFrame, DataFrame] | None = None,
+               current: DataFrame | None = None) -> SyncResult:
     """Plan one batch of the feed.  ``feed`` is the nested feed (or canonical
     rows with ``nested=False``); ``watermark`` a number or one-row state.
     With ``allow`` the allow-list form (D2) runs: only listed courses, and
@@ -123,7 +125,11 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     executor memory/disk (a lost executor's part is recomputed from lineage);
     ``reuse="checkpoint"`` writes them to the shared checkpoint folder and
     cuts the lineage (long runs, streaming micro-batches); ``None`` recomputes
-    them per output."""
+    them per output.
+
+    ``lookups`` (identity.directory shape) and ``current`` (account,
+    course_code roster) replace the snapshots when earlier batches' changes
+    must be seen (the streaming sync)."""
     if on_error not in ("quarantine", "stop"):
         raise ValueError("on_error must be 'quarantine' or 'stop'")
     spark = feed.sparkSession
@@ -142,7 +148,7 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
         by_ext = True if by_external_id is None else by_external_id
 
     good, bad_email = validate_email(kept)
-    firsts = keep_once(resolve_first_rows(good, users, logins, by_external_id=by_ext))
+    firsts = keep_once(resolve_first_rows(good, users, logins, by_external_id=by_ext, lookups=lookups))
     resolved = keep_once(resolve_users(good, users, logins, firsts=firsts))
     known, bad_course = split_unknown_courses(resolved, courses)
 
@@ -159,7 +165,7 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     else:
         intro = creates.limit(0).select("event_id", "pos", "account",
                                         F.lit(None).cast("string").alias("course_code"))
-    enroll = plan_enrollments(known, enrollments)
+    enroll = plan_enrollments(known, enrollments, current=current)
     final = final_enrollments(known)
 
     rejects = union_all(
