@@ -41,5 +41,10 @@ def enrollments_df(spark, rows):
         ENROLLMENTS)
 
 
+def _null_first(t):
+    return tuple((v is not None, v) for v in t)
+
+
 def rows_of(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    """Rows as tuples, sorted with nulls first."""
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_null_first)
