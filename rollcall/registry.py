@@ -10,13 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import standins as S
-from rollcall.operators.enroll import final_enrollments, plan_enrollments
 from rollcall.operators.feed import (
     date_window, feed_rows, flatten_feed, only_listed, since, split_skipped,
     split_unknown_courses, validate_email,
 )
-from rollcall.operators.identity import login_changes, resolve_first_rows, resolve_users
-from rollcall.operators.letters import unsent
 from rollcall.operators.sets import union_all
 from rollcall.operators.shape import drop_strict, keep, zip_rows
 from rollcall.operators.feed import FEED_KEEP
@@ -110,80 +107,62 @@ def feed_rejects(spark, d):
 
 # ------------------------------------------------------------ identity ----
 
-def _good(t: S.Tables) -> DataFrame:
-    kept, _ = split_skipped(_rows(t), S.skip_list(t))
-    return validate_email(kept)[0]
-
-
 @query
 def identity_actions(spark, d):
     """RETURNING / EMAIL_CHANGED / NEW and the account per row."""
-    t = S.Tables(spark, d)
-    res = resolve_users(_good(t), S.users(t), S.logins(t))
-    return res.select("event_id", "pos", "action", "account")
+    return _sync(spark, d).identities.select("event_id", "pos", "action", "account")
 
 
 @query(name="login_changes")
 def _login_changes(spark, d):
     """Login renames and the old login added back when missing."""
-    t = S.Tables(spark, d)
-    firsts = resolve_first_rows(_good(t), S.users(t), S.logins(t))
-    return login_changes(firsts, S.logins(t))
+    return _sync(spark, d).login_changes
 
 
 def _ledgers(t: S.Tables) -> dict[str, DataFrame]:
     return {"intro": S.ledger_intro(t), "covid": S.ledger_covid(t)}
 
 
-def _letters(spark, d, match):
-    t = S.Tables(spark, d)
-    resolved = resolve_users(_good(t), S.users(t), S.logins(t))
-    return union_all(*[unsent(resolved, led, name, match=match) for name, led in _ledgers(t).items()])
-
-
 @query
 def letters_due(spark, d):
     """J7 exact: first row per e-mail whose lower-cased address is in no ledger."""
-    return _letters(spark, d, "exact")
+    return _sync(spark, d).letters
 
 
 @query
 def letters_due_regex(spark, d):
     """J7 regex: the reference's unescaped, case-sensitive regex test."""
-    return _letters(spark, d, "regex")
+    return _sync(spark, d, letter_match="regex").letters
 
 
 # ---------------------------------------------------------- enrollment ----
 
-def _known(t: S.Tables) -> DataFrame:
-    resolved = resolve_users(_good(t), S.users(t), S.logins(t))
-    return split_unknown_courses(resolved, S.courses(t))[0]
-
-
 @query
 def enroll_actions(spark, d):
     """ENROLL / DROP / DROP_NOT_FOUND per row, against the prior
     roster and the earlier events of the batch."""
-    t = S.Tables(spark, d)
-    return plan_enrollments(_known(t), S.student_enrollments(t)).select(
-        "event_id", "pos", "action", "account", "course_code")
+    return _sync(spark, d).enrollments.select("event_id", "pos", "action", "account", "course_code")
 
 
 @query
 def enroll_final_state(spark, d):
     """A5: last event wins per (account, course)."""
-    return final_enrollments(_known(S.Tables(spark, d)))
+    return _sync(spark, d).final_state
 
 
 # ---------------------------------------------------------------- sync ----
 
-def _sync(spark, d, allow: bool = False, on_error: str = "quarantine"):
+def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact"):
+    """The sync of one batch on the stand-in inputs; each registered sync
+    query reads one of its outputs (only that output's plan runs, and the
+    shared rows and identity are computed once)."""
     t = S.Tables(spark, d)
     return sync_batch(
         S.feed(t), S.users(t), S.logins(t), S.student_enrollments(t), S.courses(t),
         watermark=S.watermark_value(t),
         skip=None if allow else S.skip_list(t), allow=S.allow_list(t) if allow else None,
-        ledgers=_ledgers(t), new_user_course=INTRO_COURSE, on_error=on_error)
+        ledgers=_ledgers(t), letter_match=letter_match, new_user_course=INTRO_COURSE,
+        on_error=on_error)
 
 
 @query(name="sync_batch")
@@ -470,8 +449,7 @@ def _zip_rows(spark, d):
 def ledger_append(spark, d):
     """The intro ledger after appending this batch's letters."""
     t = S.Tables(spark, d)
-    resolved = resolve_users(_good(t), S.users(t), S.logins(t))
-    sent = unsent(resolved, S.ledger_intro(t), "intro").select(F.col("email").alias("Email"))
+    sent = _sync(spark, d).letters.where(F.col("letter") == "intro").select(F.col("email").alias("Email"))
     return union_all(S.ledger_intro(t), sent)
 
 
