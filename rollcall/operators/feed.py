@@ -37,6 +37,13 @@ def flatten_feed(feed: DataFrame) -> DataFrame:
     return flatten(exploded, sep=".")
 
 
+def flatten_catalogue(catalogue: DataFrame) -> DataFrame:
+    """One row per (course, course group) with the group fields beside the
+    course's columns (D22); a course without groups keeps one row."""
+    from rollcall.operators.shape import flatten
+    return flatten(explode_records(catalogue, "CourseGroups", pos_col="group_pos"), sep=".")
+
+
 def feed_rows(feed: DataFrame) -> DataFrame:
     """Nested feed -> canonical flat rows used by every sync operator:
     the keep-list projection (P3) with snake-case names.  ``pos`` is 0 for a

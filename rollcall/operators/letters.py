@@ -28,10 +28,11 @@ def letter_candidates(resolved: DataFrame) -> DataFrame:
     return first
 
 
-def unsent(resolved: DataFrame, ledger: DataFrame, letter: str, match: str = "exact",
-           column: str = "Email") -> DataFrame:
-    """Outbox rows: event_id, pos, account, email, letter."""
-    cand = letter_candidates(resolved)
+def unsent(resolved: DataFrame | None, ledger: DataFrame, letter: str, match: str = "exact",
+           column: str = "Email", candidates: DataFrame | None = None) -> DataFrame:
+    """Outbox rows: event_id, pos, account, email, letter.  ``candidates``
+    (``letter_candidates``) may be passed when several ledgers share them."""
+    cand = candidates if candidates is not None else letter_candidates(resolved)
     if match == "exact":
         sent = (ledger.select(email_key(column).alias("_sent"))
                 .where(F.col("_sent").isNotNull()).distinct())

@@ -296,7 +296,8 @@ SELECT (SELECT count(*) FROM past) AS rows_seen,
        (SELECT count(*) FILTER (WHERE action = 'DROP_NOT_FOUND') FROM enroll) AS drops_not_found,
        (SELECT count(*) FROM letters) AS letters,
        (SELECT w FROM wm) AS old_watermark,
-       greatest(coalesce((SELECT max(event_id) FROM past), (SELECT w FROM wm)), (SELECT w FROM wm)) AS new_watermark"""
+       greatest(coalesce((SELECT max(event_id) FROM past), (SELECT w FROM wm)), (SELECT w FROM wm)) AS new_watermark,
+       strftime((SELECT max(ts) FROM events), '%I:%M%p on %B %d, %Y') AS heading_time"""
 
 SQL["sync_watermark"] = _with(FEED_ONE, WM) + """
 SELECT greatest(coalesce((SELECT max(event_id) FROM past), (SELECT w FROM wm)), (SELECT w FROM wm))

@@ -40,6 +40,14 @@ def users_by_login(users: DataFrame, logins: DataFrame) -> DataFrame:
             .where(F.col("e").isNotNull()).groupBy("e").agg(F.min("uid").alias("user_id")))
 
 
+def with_role(enrollments: DataFrame, roles, active_only: bool = True) -> DataFrame:
+    """Enrollments of one type or a list of types (P11), by default only
+    active and invited ones."""
+    types = [roles] if isinstance(roles, str) else list(roles)
+    out = enrollments.where(F.col("type").isin(*types))
+    return out.where(F.col("enrollment_state").isin(*ENROLLED_STATES)) if active_only else out
+
+
 def _course_by_sis(courses: DataFrame) -> DataFrame:
     return (courses.where(F.col("sis_course_id").isNotNull())
             .groupBy("sis_course_id").agg(F.min("course_id").alias("course_id")))
@@ -48,8 +56,7 @@ def _course_by_sis(courses: DataFrame) -> DataFrame:
 def transfer_roster(pairs: DataFrame, enrollments: DataFrame) -> DataFrame:
     """Students of each source course enrolled in its target (D12):
     StudentEnrollment, active, notify.  ``pairs``: from_sis, to_sis."""
-    students = (enrollments.where((F.col("type") == STUDENT_ENROLLMENT)
-                                  & F.col("enrollment_state").isin(*ENROLLED_STATES))
+    students = (with_role(enrollments, STUDENT_ENROLLMENT)
                 .select(F.col("sis_course_id").alias("from_sis"), "user_id").distinct())
     j = pairs.select("from_sis", "to_sis").distinct().join(students, "from_sis")
     return j.select("from_sis", "to_sis", "user_id", F.lit(STUDENT_ENROLLMENT).alias("type"),
@@ -127,7 +134,7 @@ def student_list(feed: DataFrame) -> DataFrame:
 def course_staff(enrollments: DataFrame, users: DataFrame,
                  types=(TEACHER_ENROLLMENT, TA_ENROLLMENT)) -> DataFrame:
     """Teachers and TAs of every course with their names."""
-    e = enrollments.where(F.col("type").isin(*types)).select(
+    e = with_role(enrollments, types, active_only=False).select(
         "course_id", "sis_course_id", "user_id", "type").distinct()
     names = users.select(F.col("id").alias("user_id"), "name")
     return e.join(names, "user_id", "left").select("course_id", "sis_course_id", "user_id", "name", "type")

@@ -32,7 +32,8 @@ from rollcall.operators.identity import (
     EMAIL_CHANGED, NEW, RETURNING, login_changes, resolve_first_rows, resolve_users,
     user_creations,
 )
-from rollcall.operators.letters import unsent
+from rollcall.operators.letters import letter_candidates, unsent
+from rollcall.functions import report_time
 from rollcall.operators.sets import union_all
 from rollcall.session import materialize
 
@@ -85,8 +86,13 @@ class SyncResult:
     def watermark(self) -> DataFrame:
         return next_watermark(self.rows, self.prev_watermark, self.rejects, self.on_error)
 
-    def report(self) -> DataFrame:
-        return run_report(self)
+    def report(self, as_of=None) -> DataFrame:
+        return run_report(self, as_of)
+
+    def release(self) -> None:
+        """Drop the persisted shared inputs once every output is written."""
+        for df in (self.rows, self.firsts, self.identities):
+            df.unpersist()
 
 
 def _reuser(reuse: str | None):
@@ -152,7 +158,9 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     resolved = keep_once(resolve_users(good, users, logins, firsts=firsts))
     known, bad_course = split_unknown_courses(resolved, courses)
 
-    letters = [unsent(resolved, led, name, match=letter_match) for name, led in (ledgers or {}).items()]
+    cand = letter_candidates(resolved)
+    letters = [unsent(None, led, name, match=letter_match, candidates=cand)
+               for name, led in (ledgers or {}).items()]
     letters_df = union_all(*letters) if letters else spark.createDataFrame(
         [], "event_id long, pos int, account string, email string, letter string")
     creates = user_creations(firsts)
@@ -211,10 +219,12 @@ def next_watermark(rows: DataFrame, prev: DataFrame, rejects: DataFrame | None =
     return seen.select(new.cast("long").alias("EventEnrollmentID"))
 
 
-def run_report(res: SyncResult) -> DataFrame:
+def run_report(res: SyncResult, as_of=None) -> DataFrame:
     """One-row run report (A1): rows seen, late rows, skipped, rejected,
     returning / changed / new users, enrollment actions by kind, letters,
-    old and new watermark.  One aggregation over the tagged outputs."""
+    old and new watermark, and — given the run time ``as_of`` — the heading
+    time ("09:05AM on March 02, 2024").  One aggregation over the tagged
+    outputs."""
     tag = lambda df, kind: df.select(F.lit(kind).alias("k"))
     facts = union_all(
         tag(res.rows, "rows_seen"), tag(res.late, "rows_below_watermark"),
@@ -234,10 +244,13 @@ def run_report(res: SyncResult) -> DataFrame:
         enr[0].alias("enrolled"), enr[1].alias("dropped"), enr[2].alias("drops_not_found"),
         n("letters").alias("letters"))
     wm = res.watermark()
-    return agg.select(
+    out = agg.select(
         "*",
         res.prev_watermark.select("EventEnrollmentID").scalar().alias("old_watermark"),
         wm.select("EventEnrollmentID").scalar().alias("new_watermark"))
+    if as_of is not None:
+        out = out.withColumn("heading_time", report_time(F.lit(as_of) if isinstance(as_of, str) else as_of))
+    return out
 
 
 def run_messages(res: SyncResult) -> DataFrame:

@@ -5,3 +5,4 @@ from rollcall.sources.files import (  # noqa: F401
 )
 from rollcall.sources.feed import read_catalogue, read_feed, read_feed_stream  # noqa: F401
 from rollcall.sources.lms import read_snapshot, read_students  # noqa: F401
+from rollcall.sources.sinks import upsert_state, write_change_set  # noqa: F401

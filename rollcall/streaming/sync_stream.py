@@ -106,8 +106,7 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
                      state_dir, f"ledger_{name}", batch_id)
     # the watermark goes last: a batch that failed before this line is replayed
     _write_state(res.watermark(), state_dir, "watermark", batch_id)
-    for df in (res.rows, res.firsts, res.identities):
-        df.unpersist()
+    res.release()
 
 
 def sync_stream(spark: SparkSession, feed_dir: str, *, out_dir: str, state_dir: str,

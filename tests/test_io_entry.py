@@ -78,3 +78,45 @@ def test_oracle_columns_match_at_smoke_scale(spark):
         o = con.sql(E.oracle_sql()[name])
         assert sorted(s.columns) == sorted(o.columns), name
         assert s.count() == len(o.fetchall()), name
+
+
+def test_catalogue_flatten(spark, tmp_dir):
+    from rollcall.operators.feed import flatten_catalogue
+    path = os.path.join(tmp_dir, "cat2.json")
+    with open(path, "w") as fh:
+        json.dump([{"CourseCd": "1", "CourseName": "X", "IsOnline": False,
+                    "CourseGroups": [{"GroupCd": "g1", "GroupName": "G"}, {"GroupCd": "g2", "GroupName": "H"}]},
+                   {"CourseCd": "2", "CourseName": "Y", "IsOnline": True, "CourseGroups": []}], fh)
+    flat = flatten_catalogue(read_catalogue(spark, path))
+    got = sorted((r.CourseCd, r.group_pos, r.GroupCd) for r in flat.collect())
+    assert got == [("1", 0, "g1"), ("1", 1, "g2"), ("2", None, None)]
+
+
+def test_change_set_and_state_upsert(spark, tmp_dir):
+    from rollcall.sources import upsert_state, write_change_set
+    state = spark.createDataFrame([("a", "c1", True), ("b", "c1", True), ("c", "c2", True)],
+                                  "account string, course_code string, active boolean")
+    upd = spark.createDataFrame([("a", "c1", False, True), ("b", "c1", False, False), ("d", "c3", True, False)],
+                                "account string, course_code string, active boolean, gone boolean")
+    new = upsert_state(state, upd, ["account", "course_code"], delete_col="gone")
+    assert sorted(tuple(r) for r in new.collect()) == [("b", "c1", False), ("c", "c2", True), ("d", "c3", True)]
+    out = os.path.join(tmp_dir, "changes")
+    write_change_set(upd, out, 3)
+    write_change_set(upd, out, 3)                     # replay: replaced, not duplicated
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_generic_join_helpers(spark):
+    from pyspark.sql import functions as F
+    from rollcall.operators.joins import apply_mapping, delete_where, lookup, set_where
+    base = spark.createDataFrame([("0042", "A"), ("7", "B")], "code string, name string")
+    dim = spark.createDataFrame([("0042", 1)], "k string, v int")
+    got = sorted((r.code, r.found) for r in lookup(base, dim, "code", "k").collect())
+    assert got == [("0042", True), ("7", False)]
+    m = spark.createDataFrame([("7", "Bee")], "code string, new_name string")
+    got = sorted((r.code, r.name, r.changed) for r in apply_mapping(base, m, "code", {"name": "new_name"}).collect())
+    assert got == [("0042", "A", False), ("7", "Bee", True)]
+    got = sorted((r.code, r.name, r.changed) for r in set_where(base, F.col("code") == "7", "name", "Z").collect())
+    assert got == [("0042", "A", False), ("7", "Z", True)]
+    kept, removed = delete_where(base, F.col("code") == "7")
+    assert [r.code for r in kept.collect()] == ["0042"] and [r.code for r in removed.collect()] == ["7"]
