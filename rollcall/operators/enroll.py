@@ -44,12 +44,11 @@ def plan_enrollments(rows: DataFrame, enrollments: DataFrame | None,
     the payload of an ENROLL (type, enrollment_state, notify)."""
     keys = ["account", "course_code"]
     base = rows.select("event_id", "pos", "account", "course_code", "course_name", "status")
-    prev = previous_value(base, keys, "event_id", "status", tie_col="pos", out_col="_prev")
+    # the roster enters as the "status before the first event" of a pair
     cur = (current if current is not None else current_students(enrollments)) \
-        .select("account", "course_code").distinct().withColumn("_enrolled0", F.lit(True))
-    j = prev.join(cur, keys, "left")
-    prior_active = F.when(F.col("_prev").isNotNull(), ~_is_drop(F.col("_prev.value"))) \
-                    .otherwise(F.coalesce(F.col("_enrolled0"), F.lit(False)))
+        .select("account", "course_code").distinct().withColumn("value", F.lit("ENROLLED"))
+    j = previous_value(base, keys, "event_id", "status", tie_col="pos", out_col="_prev", initial=cur)
+    prior_active = F.coalesce(~_is_drop(F.col("_prev.value")) & F.col("_prev").isNotNull(), F.lit(False))
     action = (F.when(~_is_drop(F.col("status")), F.lit(ENROLL))
               .when(prior_active, F.lit(DROP))
               .otherwise(F.lit(DROP_NOT_FOUND)))

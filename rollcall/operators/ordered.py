@@ -49,11 +49,16 @@ def last_per_key(df: DataFrame, keys, order, values, prefix: str = "last_") -> D
 
 def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
                    tie_col: str | None = None, out_col: str | None = None,
-                   block: int = DEFAULT_BLOCK) -> DataFrame:
+                   block: int = DEFAULT_BLOCK, initial: DataFrame | None = None) -> DataFrame:
     """Add ``out_col`` = struct(``value``) of the previous row of the same key
     in ``(order_col, tie_col)`` order, null for a key's first row.  (The
     struct tells "no previous row" apart from "previous value was null".)
 
+    ``initial`` (keys + ``value``, one row per key) gives the value before a
+    key's first row, e.g. the state of a snapshot.  It is joined to the small
+    per-(key, block) summary, not to the rows, so it costs no extra shuffle
+    of ``df``.
+
     ``order_col`` must be a long; the result is exact for any distribution of
     keys."""
     out_col = out_col or "prev_" + value_col
@@ -70,6 +75,12 @@ def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
     summary = summary.select(
         *keys, "_blk",
         F.lag(F.struct(F.col("_lastrow.value").alias("value"))).over(w_blk).alias("_pb"))
+    if initial is not None:
+        init = initial.select(*keys, F.struct(F.col("value").alias("value")).alias("_init"))
+        on_init = reduce(lambda x, y: x & y, [summary[k].eqNullSafe(init[k]) for k in keys])
+        summary = (summary.join(init, on_init, "left")
+                   .select(*[summary[k] for k in keys], "_blk",
+                           F.coalesce(F.col("_pb"), F.col("_init")).alias("_pb")))
 
     on = reduce(lambda x, y: x & y,
                 [F.col("_b." + k).eqNullSafe(F.col("_s." + k)) for k in keys + ["_blk"]])

@@ -58,3 +58,12 @@ def test_first_and_last_per_key(spark):
         rows = sorted((r.o, r.t, r.v) for r in data if r.k == k)
         assert first[k] == rows[0][:2] + (rows[0][2],)
         assert last[k] == rows[-1]
+
+
+def test_previous_value_initial_state(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 5, "z"), ("c", 9, "w")],
+                               "k string, o long, v string")
+    init = spark.createDataFrame([("a", "A0"), ("c", "C0")], "k string, value string")
+    got = {(r.k, r.o): (r.prev_v["value"] if r.prev_v else None)
+           for r in previous_value(df, ["k"], "o", "v", block=1, initial=init).collect()}
+    assert got == {("a", 1): "A0", ("a", 2): "x", ("b", 5): None, ("c", 9): "C0"}
