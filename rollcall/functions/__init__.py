@@ -62,6 +62,13 @@ def parse_iso(c, lenient: bool = True) -> Column:
     return F.try_to_timestamp(c, fmt) if lenient else F.to_timestamp(c, ISO_WITH_OFFSET)
 
 
+def utc_text(ts, fmt: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """An instant written as UTC wall-clock text, whatever the session time
+    zone (date_format alone renders in the session zone)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz")), fmt)
+
+
 def window_bounds(as_of, days_back: int = WINDOW_DAYS_BACK,
                   days_ahead: int = WINDOW_DAYS_AHEAD) -> tuple[Column, Column]:
     """[as_of - days_back, as_of + days_ahead] as dates."""

@@ -156,3 +156,13 @@ def test_last_login_offsets(spark):
     assert rep[4].parse_error and rep[4].last_login_at == "no last login"
     assert rep[5].last_login_at == "no last login" and not rep[5].parse_error
     assert all(r.inactive for r in rep.values())
+
+
+def test_last_login_is_utc_whatever_the_session_zone(spark):
+    u = users_df(spark, [(1, "a", "1")]).withColumn("last_login", F.lit("2024-01-02T03:04:05-07:00"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert last_login_report(u).first().last_login_at == "2024-01-02 10:04:05"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
