@@ -49,7 +49,7 @@ def last_per_key(df: DataFrame, keys, order, values, prefix: str = "last_") -> D
 
 def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
                    tie_col: str | None = None, out_col: str | None = None,
-                   block: int = DEFAULT_BLOCK, initial: DataFrame | None = None) -> DataFrame:
+                   block: int | None = None, initial: DataFrame | None = None) -> DataFrame:
     """Add ``out_col`` = struct(``value``) of the previous row of the same key
     in ``(order_col, tie_col)`` order, null for a key's first row.  (The
     struct tells "no previous row" apart from "previous value was null".)
@@ -62,6 +62,7 @@ def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
     ``order_col`` must be a long; the result is exact for any distribution of
     keys."""
     out_col = out_col or "prev_" + value_col
+    block = block or DEFAULT_BLOCK
     order = [order_col] + ([tie_col] if tie_col else [])
     keys = list(keys)
     b = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block)))

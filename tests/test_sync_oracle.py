@@ -150,3 +150,31 @@ def test_counts_on_driver_tables(spark):
     assert (rep["enrolled"], rep["dropped"], rep["drops_not_found"]) == (4901, 303, 916)
     assert rep["new_watermark"] == 9999 and rep["old_watermark"] == 1999
     assert res.actions().where(F.col("action") == "CREATE_USER").count() == 36
+
+
+def test_sync_with_a_hot_email_across_many_blocks(spark, monkeypatch):
+    """One e-mail holds a third of the batch and one (account, course) pair
+    spans many lag blocks (block size 8): still equal to the row loop."""
+    import rollcall.operators.ordered as ordered
+    monkeypatch.setattr(ordered, "DEFAULT_BLOCK", 8)
+    rng = random.Random(11)
+    rows, users = [], [(1, "hot@x.org", "c0"), (2, "u1@x.org", "c1")]
+    for j in range(300):
+        eid = j * 3 + rng.randint(0, 2)
+        em = "HOT@x.org" if j % 3 == 0 else f"u{rng.randint(0, 40)}@x.org"
+        code = "k0" if j % 3 == 0 else f"k{rng.randint(0, 3)}"
+        rows.append((eid, 0, code, rng.choice(["ENROLLED", "DROPPED", "DROPPED", "PEND"]),
+                     f"c{rng.randint(0, 30)}", em))
+    courses = {"k0", "k1", "k2"}
+    enrolled = {("1", "k0")}
+    recs = [feed_record(e, c, [(cu, em, "F", "L")], status=st) for e, _, c, st, cu, em in rows]
+    res = sync_batch(feed_df(spark, recs), users_df(spark, users), logins_df(spark, []),
+                     enrollments_df(spark, [(1, 0, "k0", 1, "StudentEnrollment", "active")]),
+                     courses_df(spark, sorted(courses)))
+    ident = {(r["event_id"], r["pos"]): (r["action"], r["account"]) for r in res.identities.collect()}
+    enroll = {(r["event_id"], r["pos"]): r["action"] for r in res.enrollments.collect()}
+    want = sequential(rows, users, [], enrolled, courses, set())
+    for key, (a, acct, what) in want.items():
+        assert ident[key] == (a, acct)
+        if what != "UNKNOWN_COURSE":
+            assert enroll[key] == what, key
