@@ -1,6 +1,6 @@
-"""Join helpers: a size-checked broadcast, key lookup with a not-found
-branch (P16), update from a mapping (P17), conditional set (P18), delete
-where (P19)."""
+"""Join helpers: the broadcast bound, key lookup with a not-found branch
+(P16), update from a mapping (P17), conditional set (P18), delete where
+(P19)."""
 
 from __future__ import annotations
 
@@ -17,14 +17,6 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` is proven to hold at most ``max_rows``
-    rows (a bounded count: it stops after ``max_rows + 1``), else ``df``
-    unchanged so the join shuffles instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,
            found_col: str = "found") -> DataFrame:
     """Left join to a dimension with a ``found`` flag for the not-found

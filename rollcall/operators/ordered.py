@@ -26,10 +26,6 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK = 1 << 16
 
 
-def _cols(names):
-    return [F.col(n) if isinstance(n, str) else n for n in names]
-
-
 def first_per_key(df: DataFrame, keys, order, values, prefix: str = "first_") -> DataFrame:
     """One row per key: the order columns and ``values`` of its first row
     (smallest ``order``), named ``prefix + column``."""

@@ -29,8 +29,7 @@ from rollcall.operators.feed import (
     split_unknown_courses, validate_email,
 )
 from rollcall.operators.identity import (
-    EMAIL_CHANGED, NEW, RETURNING, login_changes, resolve_first_rows, resolve_users,
-    user_creations,
+    login_changes, resolve_first_rows, resolve_users, user_creations,
 )
 from rollcall.operators.letters import letter_candidates, unsent
 from rollcall.functions import report_time

@@ -41,6 +41,31 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run sized from the input: scan splits and
+    shuffle partitions of about ``target_partition_bytes`` (so one task's
+    share fits executor memory and spills rarely), at least two waves of
+    tasks, AQE coalescing towards the same size, and skew splitting for
+    partitions five times the median or 1 GiB.  E.g. 100 TB on 1000
+    executors x 4 cores -> 400k shuffle partitions of ~256 MiB.  Apply with
+    ``SparkSession.builder.config(map=scale_conf(...))`` or ``spark.conf.set``."""
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+        # broadcast only what AQE measured to be small
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)

@@ -161,10 +161,6 @@ def courses(t: Tables) -> DataFrame:
     return _conform(out, COURSES)
 
 
-# Lineitem return flag -> enrollment type of the staff stand-in.
-ROLE_BY_FLAG = {"A": "TeacherEnrollment", "R": "TaEnrollment", "N": "StudentEnrollment"}
-
-
 def staff_enrollments(t: Tables) -> DataFrame:
     """Enrollments from ``lineitem``: course = supplier key of the line
     (so courses exist), person = l_partkey, role by l_returnflag; state

@@ -3,8 +3,6 @@ T2, T4 and T7 as cases."""
 
 import datetime
 
-from pyspark.sql import functions as F
-
 from helpers import courses_df, feed_df, feed_record, rows_of
 from rollcall.functions import email_key
 from rollcall.operators.feed import (

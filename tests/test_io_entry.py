@@ -120,3 +120,10 @@ def test_generic_join_helpers(spark):
     assert got == [("0042", "A", False), ("7", "Z", True)]
     kept, removed = delete_where(base, F.col("code") == "7")
     assert [r.code for r in kept.collect()] == ["0042"] and [r.code for r in removed.collect()] == ["7"]
+
+
+def test_scale_conf():
+    from rollcall.session import scale_conf
+    c = scale_conf(100 * 10**12, 1000, 4)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 8000
+    assert int(c["spark.sql.shuffle.partitions"]) * (256 << 20) >= 100 * 10**12
