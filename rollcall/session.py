@@ -48,7 +48,7 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
     share fits executor memory and spills rarely), at least two waves of
     tasks, AQE coalescing towards the same size, and skew splitting for
     partitions five times the median or 1 GiB.  E.g. 100 TB on 1000
-    executors x 4 cores -> 400k shuffle partitions of ~256 MiB.  Apply with
+    executors x 4 cores -> ~373k shuffle partitions of ~256 MiB.  Apply with
     ``SparkSession.builder.config(map=scale_conf(...))`` or ``spark.conf.set``."""
     slots = executors * cores_per_executor
     partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))

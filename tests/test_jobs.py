@@ -166,3 +166,18 @@ def test_last_login_is_utc_whatever_the_session_zone(spark):
         assert last_login_report(u).first().last_login_at == "2024-01-02 10:04:05"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_names_in_order_equals_one_level_listagg(spark):
+    import random
+    from rollcall.plans.courses import names_in_order
+    rng = random.Random(5)
+    alphabet = "abAB é-"
+    rows = [(rng.randint(0, 3), "".join(rng.choice(alphabet) for _ in range(rng.randint(0, 5))))
+            for _ in range(400)] + [(9, None)]
+    df = spark.createDataFrame(rows, "k int, name string")
+    got = {r.k: r.t for r in names_in_order(df, "k", "name", "t").collect()}
+    for k in range(4):
+        names = sorted((n for kk, n in rows if kk == k and n is not None), key=lambda x: x.encode())
+        assert got[k] == " ".join(names)
+    assert 9 not in got
