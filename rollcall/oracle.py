@@ -551,10 +551,11 @@ WHERE e.type IN ('TeacherEnrollment', 'TaEnrollment')"""
 
 SCHOOL = """
 stu AS (SELECT c_nationkey AS SC, c_name AS LN, 'c' || CAST(c_custkey AS VARCHAR) || '@x.org' AS SEM,
-               (9 + c_custkey % 4)::INTEGER AS GR, (c_custkey % 10)::INTEGER AS CU,
+               (9 + c_custkey % 4)::INTEGER AS GR, (c_custkey % 6)::INTEGER AS CU,
                CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS DEL,
                CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'X' ELSE '' END AS TG FROM customer),
-tch AS (SELECT s_nationkey AS SC, (s_suppkey % 10)::INTEGER AS TN,
+tch AS (SELECT s_nationkey AS SC,
+               (row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey))::INTEGER AS TN,
                't' || CAST(s_suppkey AS VARCHAR) || '@x.org' AS EM FROM supplier),
 alt AS (SELECT n_nationkey AS SCID, n_name AS ALTSC FROM nation)"""
 

@@ -342,15 +342,20 @@ def role_logins(t: Tables) -> DataFrame:
 # ------------------------------------------------------ school database --
 
 def school_tables(t: Tables) -> dict[str, DataFrame]:
-    """STU from customer, TCH from supplier, ALTSCH from nation."""
+    """STU from customer, TCH from supplier, ALTSCH from nation.  A teacher
+    number is unique within its school (the supplier's rank in its nation),
+    as a teacher key is; a student's counselor number is c_custkey % 6
+    (0 = none)."""
+    from pyspark.sql import Window
     c, k = t.customer, F.col("c_custkey")
     stu = c.select(F.col("c_nationkey").alias("SC"), F.col("c_name").alias("LN"),
                    F.concat(F.lit("c"), k.cast("string"), F.lit("@x.org")).alias("SEM"),
-                   (F.lit(9) + k % 4).cast("int").alias("GR"), (k % 10).cast("int").alias("CU"),
+                   (F.lit(9) + k % 4).cast("int").alias("GR"), (k % 6).cast("int").alias("CU"),
                    F.when(F.col("c_acctbal") < 0, F.lit(1)).otherwise(F.lit(0)).alias("DEL"),
                    F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit("X")).otherwise(F.lit("")).alias("TG"))
     s = F.col("s_suppkey")
-    tch = t.supplier.select(F.col("s_nationkey").alias("SC"), (s % 10).cast("int").alias("TN"),
+    rank = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    tch = t.supplier.select(F.col("s_nationkey").alias("SC"), rank.cast("int").alias("TN"),
                             F.concat(F.lit("t"), s.cast("string"), F.lit("@x.org")).alias("EM"))
     alt = t.nation.select(F.col("n_nationkey").alias("SCID"), F.col("n_name").alias("ALTSC"))
     return {"STU": stu, "TCH": tch, "ALTSCH": alt}
