@@ -448,9 +448,11 @@ SELECT course_id, sis_course_id, true AS restrict_student_future_view,
        NOT coalesce(restrict_student_future_view, false) AS changed
 FROM courses WHERE sis_term_id = 'T2'"""
 
-SQL["term_lookup"] = _with(COURSES, LMS) + """
+SQL["term_lookup"] = """
+WITH cal AS (SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS enrollment_term_id,
+                    strftime(o_orderdate, '%B') AS enrollment_name FROM orders)
 SELECT enrollment_name, max(enrollment_term_id) AS enrollment_term_id, count(*) AS matches
-FROM terms GROUP BY enrollment_name"""
+FROM cal GROUP BY enrollment_name"""
 
 SQL["plan_duplicate"] = _with(*MAINT, TEMPLATE_REQ, DUP_REQ) + PLAN_DUP
 SQL["plan_template"] = _with(*MAINT, TEMPLATE_REQ) + PLAN_TEMPLATE

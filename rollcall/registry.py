@@ -239,8 +239,9 @@ def _hide_until_start(spark, d):
 
 @query
 def term_lookup(spark, d):
-    """Term id per name and how many terms share it."""
-    return term_matches(S.terms(S.Tables(spark, d)))
+    """Term id per name (the last, i.e. largest, of several) and how
+    many terms share it, over the order-month term calendar."""
+    return term_matches(S.term_calendar(S.Tables(spark, d)))
 
 
 def _plan_duplicate(t):

@@ -138,6 +138,18 @@ def terms(t: Tables) -> DataFrame:
     return _conform(out, TERMS)
 
 
+def term_calendar(t: Tables) -> DataFrame:
+    """Terms from ``orders``: one per month of o_orderdate, id yyyymm, named
+    by the month alone — so every year repeats each name."""
+    d = F.col("o_orderdate")
+    m = t.orders.select((F.year(d) * 100 + F.month(d)).cast("long").alias("enrollment_term_id"),
+                        F.date_format(d, "MMMM").alias("enrollment_name")).distinct()
+    out = m.select("enrollment_term_id",
+                   F.concat(F.lit("T"), F.col("enrollment_term_id").cast("string")).alias("sis_term_id"),
+                   "enrollment_name")
+    return _conform(out, TERMS)
+
+
 def accounts(t: Tables) -> DataFrame:
     n = t.nation.where(F.col("n_nationkey") % 6 != 5)
     out = n.select(F.col("n_nationkey").cast("long").alias("account_id"),
