@@ -80,8 +80,11 @@ def date_window(rows: DataFrame, as_of, column: str = "created",
     return rows.where(F.to_date(F.col(column)).between(lo, hi))
 
 
-def _codes(codes: DataFrame, column: str) -> DataFrame:
-    return codes.select(F.col(column).alias("_code")).where(F.col("_code").isNotNull()).distinct()
+def _codes(codes: DataFrame, column: str, distinct: bool = False) -> DataFrame:
+    """The list's non-null codes.  Semi/anti-joins ignore duplicates on the
+    list side, so only a flagging left join needs them removed (a shuffle)."""
+    out = codes.select(F.col(column).alias("_code")).where(F.col("_code").isNotNull())
+    return out.distinct() if distinct else out
 
 
 def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode",
@@ -93,7 +96,7 @@ def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode"
     No broadcast hint: the list is broadcast when the planner's estimate or
     AQE's measured size is under the broadcast threshold, and shuffled
     otherwise."""
-    codes = _codes(skip, code_col)
+    codes = _codes(skip, code_col, distinct=online_override)
     if not online_override:
         on = rows["course_code"] == codes["_code"]
         return rows.join(codes, on, "left_anti"), rows.join(codes, on, "left_semi")
