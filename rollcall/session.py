@@ -75,13 +75,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; only when none is set (local runs,
-    tests) fall back to a fresh scratch folder."""
+    """Use the cluster's checkpoint folder (``spark.checkpoint.dir``).  Only
+    a local-mode session without one (tests, local runs) gets a fresh scratch
+    folder; on a cluster a machine-local folder would be wrong, so a missing
+    setting is an error there."""
     d = checkpoint_dir(spark)
     if d:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     d = tempfile.mkdtemp(prefix="rollcall-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
