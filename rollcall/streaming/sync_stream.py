@@ -15,7 +15,10 @@ State lives in ``state_dir`` as small tables partitioned by batch id:
 
 Batch k reads only the state of batches < k, and writes its outputs and its
 state with ``overwrite`` into its own ``batch_id=k`` folders, the watermark
-last.  A micro-batch replayed after a failure therefore reads the same
+last.  Every ``compact_every`` batches the deltas are folded into
+``compact/<table>/upto=k`` (latest value per key), so a long-running stream
+reads one compacted table plus the few deltas after it, not every batch
+ever run.  A micro-batch replayed after a failure therefore reads the same
 inputs and rewrites the same files: exactly-once output without a
 transactional sink.  Rows at or below the watermark (a replayed or late file)
 plan nothing and are counted in the report.
@@ -34,13 +37,46 @@ from rollcall.plans.sync import sync_batch
 from rollcall.sources.feed import read_feed_stream
 
 
-def _read_state(spark: SparkSession, state_dir: str, name: str, before: int) -> DataFrame | None:
-    path = os.path.join(state_dir, name)
+# state table -> its key columns (None: a set of rows, e.g. a ledger)
+STATE_KEYS = {"logins": ["e"], "ids": ["c"], "roster": ["account", "course_code"], "watermark": None}
+
+
+def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        df = spark.read.parquet(path)
-    except Exception:  # no batch has written this state yet
+        return spark.read.parquet(path)
+    except Exception:  # nothing written there yet
         return None
-    return df.where(F.col("batch_id") < before)
+
+
+def _read_state(spark: SparkSession, state_dir: str, name: str, before: int) -> DataFrame | None:
+    """Deltas of batches < ``before``: the latest compaction before it (its
+    rows carry ``batch_id`` of the batch that set them) plus later deltas."""
+    deltas = _try_read(spark, os.path.join(state_dir, name))
+    comp = _try_read(spark, os.path.join(state_dir, "compact", name))
+    if comp is not None:
+        upto = comp.where(F.col("upto") < before).agg(F.max("upto")).first()[0]
+        if upto is not None:
+            comp = comp.where(F.col("upto") == upto).drop("upto")
+            if deltas is None:
+                return comp
+            return comp.unionByName(deltas.where((F.col("batch_id") > upto) & (F.col("batch_id") < before)))
+    return None if deltas is None else deltas.where(F.col("batch_id") < before)
+
+
+def _compact(spark: SparkSession, state_dir: str, name: str, upto: int) -> None:
+    """Fold the deltas of batches <= ``upto`` into one table: the latest row
+    per key (or the distinct rows of a set)."""
+    rows = _read_state(spark, state_dir, name, upto + 1)
+    if rows is None:
+        return
+    keys = STATE_KEYS.get(name)
+    if keys:
+        values = [c for c in rows.columns if c not in keys and c != "batch_id"]
+        last = rows.groupBy(*keys).agg(F.max(F.struct("batch_id", *values)).alias("_l"))
+        rows = last.select(*keys, *[F.col("_l." + c).alias(c) for c in values], F.col("_l.batch_id").alias("batch_id"))
+    else:
+        rows = rows.groupBy(*[c for c in rows.columns if c != "batch_id"]).agg(F.max("batch_id").alias("batch_id"))
+    rows.write.mode("overwrite").parquet(os.path.join(state_dir, "compact", name, f"upto={upto}"))
 
 
 def _write_state(df: DataFrame, state_dir: str, name: str, batch_id: int) -> None:
@@ -51,7 +87,7 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
                     users: DataFrame, logins: DataFrame, enrollments: DataFrame,
                     courses: DataFrame, initial_watermark: int = 0, skip: DataFrame | None = None,
                     allow: DataFrame | None = None, ledgers: dict[str, DataFrame] | None = None,
-                    **options) -> None:
+                    compact_every: int = 50, **options) -> None:
     """Plan one micro-batch and write its outputs and state (see module doc)."""
     spark = batch.sparkSession
     wm_state = _read_state(spark, state_dir, "watermark", batch_id)
@@ -104,6 +140,9 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
     for name in (ledgers or {}):
         _write_state(res.letters.where(F.col("letter") == name).select(F.col("email").alias("Email")),
                      state_dir, f"ledger_{name}", batch_id)
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        for name in ["logins", "ids", "roster"] + [f"ledger_{n}" for n in (ledgers or {})]:
+            _compact(spark, state_dir, name, batch_id)
     # the watermark goes last: a batch that failed before this line is replayed
     _write_state(res.watermark(), state_dir, "watermark", batch_id)
     res.release()

@@ -4,6 +4,7 @@ report, and the streaming sync equal to one batch (SURVEY §5 (d) (e))."""
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import courses_df, enrollments_df, feed_df, feed_record, logins_df, users_df
@@ -103,7 +104,8 @@ def test_watermark_state_round_trip(spark, tmp_dir):
     assert read_watermark(spark, path).first()[0] == 42
 
 
-def test_stream_equals_batch(spark, tmp_dir):
+@pytest.mark.parametrize("compact_every", [50, 1])
+def test_stream_equals_batch(spark, tmp_dir, compact_every):
     feed, users, logins, enr, courses = _inputs(spark)
     feed_dir = os.path.join(tmp_dir, "feed")
     os.makedirs(feed_dir)
@@ -117,7 +119,7 @@ def test_stream_equals_batch(spark, tmp_dir):
     q = sync_stream(spark, feed_dir, out_dir=os.path.join(tmp_dir, "out"),
                     state_dir=os.path.join(tmp_dir, "state"), checkpoint_location=os.path.join(tmp_dir, "ckpt"),
                     users=users, logins=logins, enrollments=enr, courses=courses,
-                    max_files_per_trigger=1, new_user_course="INTRO")
+                    max_files_per_trigger=1, new_user_course="INTRO", compact_every=compact_every)
     q.awaitTermination(300)
     out = spark.read.parquet(os.path.join(tmp_dir, "out", "actions"))
     assert out.select("batch_id").distinct().count() == 3
@@ -126,3 +128,4 @@ def test_stream_equals_batch(spark, tmp_dir):
     assert streamed == batch
     wm = spark.read.parquet(os.path.join(tmp_dir, "state", "watermark")).agg(F.max("EventEnrollmentID"))
     assert wm.first()[0] == 80
+    assert os.path.isdir(os.path.join(tmp_dir, "state", "compact", "roster")) == (compact_every == 1)
