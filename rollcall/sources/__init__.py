@@ -3,6 +3,8 @@
 from rollcall.sources.files import (  # noqa: F401
     append_ledger, export_csv, read_mapping, read_watermark, write_watermark,
 )
-from rollcall.sources.feed import read_catalogue, read_feed, read_feed_stream  # noqa: F401
+from rollcall.sources.feed import (  # noqa: F401
+    land_feed, read_catalogue, read_feed, read_feed_stream, read_landed_feed,
+)
 from rollcall.sources.lms import read_snapshot, read_students  # noqa: F401
 from rollcall.sources.sinks import upsert_state, write_change_set  # noqa: F401

@@ -8,6 +8,7 @@ schema is inferred and course codes stay text.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollcall.schemas import CATALOGUE, FEED
 
@@ -24,5 +25,30 @@ def read_feed_stream(spark: SparkSession, path: str, multiline: bool = True,
     return reader.json(path)
 
 
+ID_BLOCK = 1_000_000
+
+
+def land_feed(feed: DataFrame, path: str, block: int = ID_BLOCK, mode: str = "append") -> None:
+    """Land a parsed feed as parquet, partitioned by ``id_block`` =
+    EventEnrollmentID // ``block`` and sorted by id inside each file.  JSON
+    arrays cannot be split and are re-parsed by every reader; the landed
+    table is read with the watermark pruning whole partitions (directory
+    level) and row groups (min/max statistics)."""
+    (feed.withColumn("id_block", F.floor(F.col("EventEnrollmentID") / F.lit(block)).cast("long"))
+     .repartition("id_block").sortWithinPartitions("EventEnrollmentID")
+     .write.mode(mode).partitionBy("id_block").parquet(path))
+
+
+def read_landed_feed(spark: SparkSession, path: str, watermark: int | None = None,
+                     block: int = ID_BLOCK) -> DataFrame:
+    """The landed feed in the FEED schema; with ``watermark`` only the
+    partitions that can hold later ids are listed and read."""
+    df = spark.read.parquet(path)
+    if watermark is not None:
+        df = df.where((F.col("id_block") >= F.lit(int(watermark) // block))
+                      & (F.col("EventEnrollmentID") > F.lit(int(watermark))))
+    return df.select(*[F.col(f.name) for f in FEED.fields])
+
+
 def read_catalogue(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     return spark.read.schema(CATALOGUE).option("multiLine", multiline).json(path)

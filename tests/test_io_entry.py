@@ -127,3 +127,14 @@ def test_scale_conf():
     c = scale_conf(100 * 10**12, 1000, 4)
     assert int(c["spark.sql.shuffle.partitions"]) >= 8000
     assert int(c["spark.sql.shuffle.partitions"]) * (256 << 20) >= 100 * 10**12
+
+
+def test_landed_feed_prunes_partitions(spark, tmp_dir):
+    from rollcall.sources import land_feed, read_landed_feed
+    recs = [feed_record(i * 7, str(i % 5), [(f"c{i}", f"u{i}@x.org", "A", "B")]) for i in range(60)]
+    path = os.path.join(tmp_dir, "landed")
+    land_feed(feed_df(spark, recs), path, block=100)
+    back = read_landed_feed(spark, path, watermark=250, block=100)
+    assert sorted(r.EventEnrollmentID for r in back.collect()) == [i * 7 for i in range(60) if i * 7 > 250]
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(id_block" in plan and "GreaterThan(EventEnrollmentID,250)" in plan
