@@ -192,6 +192,7 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
         creates, changes, intro, letters_df = (d.where(upto_course) for d in
                                                (creates, changes, intro, letters_df))
         enroll = enroll.where(before)
+        skipped = skipped.where(before)
         final = final_enrollments(known.where(before))
         resolved_kept = resolved.where(upto_course)
     else:

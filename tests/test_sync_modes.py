@@ -83,6 +83,7 @@ def test_stop_mode_plans_rows_before_the_first_bad_one(spark):
     # the failing row's (unknown course) own user action is planned
     assert {r.event_id for r in res.user_creations.collect()} == {20, 40}
     assert res.watermark().first()[0] == 0
+    assert res.skipped.count() == 0
 
 
 def test_replay_is_idempotent_and_split_batches_agree(spark):
