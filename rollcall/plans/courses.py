@@ -250,12 +250,15 @@ def copy_content(pairs: DataFrame, courses: DataFrame, content: DataFrame,
                                   F.when(F.col("target_course_id").isNull(), F.lit("TARGET_NOT_FOUND"))
                                   .otherwise(F.lit("SOURCE_NOT_FOUND")).alias("reason"))
     good = p.where(ok).select("source_course_id", "target_course_id")
-    copied = (content.join(good, content["course_id"] == good["source_course_id"])
-              .select(F.col("target_course_id").alias("course_id"), "item_id", "body",
-                      F.col("source_course_id")))
-    if reset:
-        return copied, rejects
-    targets = good.select(F.col("target_course_id").alias("course_id")).distinct()
-    kept = content.join(targets, "course_id", "left_semi").select(
-        "course_id", "item_id", "body", F.lit(None).cast("long").alias("source_course_id"))
-    return kept.unionByName(copied), rejects
+    # one pass over the content: each course row joins the roles it plays —
+    # source of a copy (re-keyed to the target), and, without reset, target
+    # keeping its own rows
+    roles = good.select(F.col("source_course_id").alias("_cid"), F.col("target_course_id").alias("_tgt"),
+                        F.col("source_course_id").alias("_src"))
+    if not reset:
+        roles = roles.unionByName(
+            good.select(F.col("target_course_id").alias("_cid"), F.col("target_course_id").alias("_tgt"),
+                        F.lit(None).cast("long").alias("_src")).distinct())
+    out = content.join(roles, content["course_id"] == roles["_cid"]).select(
+        F.col("_tgt").alias("course_id"), "item_id", "body", F.col("_src").alias("source_course_id"))
+    return out, rejects
