@@ -253,34 +253,40 @@ def run_report(res: SyncResult, as_of=None) -> DataFrame:
     return out
 
 
+# The message lines of a run report ({} = field, in order).
+MSG_ENROLLED = "Enrolled {} in {} ({})"
+MSG_DROPPED = "Dropped {} from {} ({})"
+MSG_DROP_NOT_FOUND = "Tried to drop {} from {} ({}) but they were not enrolled"
+MSG_NEW_ACCOUNT = "Added new account {} for {}"
+MSG_SKIPPED = "Skipping enrollment for {}, found course code {} in the skip list"
+MSG_UNKNOWN_COURSE = "Course code {} is not in the LMS"
+MSG_BLANK_EMAIL = "Email address is empty"
+
+
+def _fill(template: str, *cols):
+    """Text of ``template`` with each {} replaced by a column (null -> '')."""
+    parts = template.split("{}")
+    pieces = [F.lit(parts[0])]
+    for col, text in zip(cols, parts[1:]):
+        pieces += [F.coalesce(col, F.lit("")), F.lit(text)]
+    return F.concat(*pieces)
+
+
 def run_messages(res: SyncResult) -> DataFrame:
     """Message lines of the run (A7), one row per line with its event key;
     concatenate them in (event_id, pos) order only when exporting."""
+    who, name, code = F.col("account"), F.col("course_name"), F.col("course_code")
     enr = res.enrollments.select(
         "event_id", "pos",
-        F.when(F.col("action") == "ENROLL",
-               F.concat(F.lit("Enrolled "), F.col("account"), F.lit(" in "),
-                        F.coalesce(F.col("course_name"), F.lit("")), F.lit(" ("), F.col("course_code"), F.lit(")")))
-        .when(F.col("action") == "DROP",
-              F.concat(F.lit("Dropped "), F.col("account"), F.lit(" from "),
-                       F.coalesce(F.col("course_name"), F.lit("")), F.lit(" ("), F.col("course_code"), F.lit(")")))
-        .otherwise(F.concat(F.lit("Tried to drop "), F.col("account"), F.lit(" from "),
-                            F.coalesce(F.col("course_name"), F.lit("")), F.lit(" ("), F.col("course_code"),
-                            F.lit(") but they were not enrolled")))
-        .alias("message"))
+        F.when(F.col("action") == "ENROLL", _fill(MSG_ENROLLED, who, name, code))
+        .when(F.col("action") == "DROP", _fill(MSG_DROPPED, who, name, code))
+        .otherwise(_fill(MSG_DROP_NOT_FOUND, who, name, code)).alias("message"))
     new = res.user_creations.select(
-        "event_id", "pos",
-        F.concat(F.lit("Added new account "), F.col("login_id"), F.lit(" for "),
-                 F.coalesce(F.col("name"), F.lit(""))).alias("message"))
+        "event_id", "pos", _fill(MSG_NEW_ACCOUNT, F.col("login_id"), F.col("name")).alias("message"))
     skipped = res.skipped.select(
-        "event_id", "pos",
-        F.concat(F.lit("Skipping enrollment for "), F.coalesce(F.col("email"), F.lit("")),
-                 F.lit(", found course code "), F.coalesce(F.col("course_code"), F.lit("")),
-                 F.lit(" in the skip list")).alias("message"))
+        "event_id", "pos", _fill(MSG_SKIPPED, F.col("email"), code).alias("message"))
     rejects = res.rejects.select(
         "event_id", "pos",
-        F.when(F.col("reason") == "UNKNOWN_COURSE",
-               F.concat(F.lit("Course code "), F.coalesce(F.col("course_code"), F.lit("")),
-                        F.lit(" is not in the LMS")))
-        .otherwise(F.lit("Email address is empty")).alias("message"))
+        F.when(F.col("reason") == "UNKNOWN_COURSE", _fill(MSG_UNKNOWN_COURSE, code))
+        .otherwise(F.lit(MSG_BLANK_EMAIL)).alias("message"))
     return union_all(enr, new, skipped, rejects)
