@@ -36,29 +36,39 @@ EMAIL_CHANGED = "EMAIL_CHANGED"
 NEW = "NEW"
 
 
-def directory_by_login(users: DataFrame, logins: DataFrame) -> DataFrame:
+def directory_by_login(users: DataFrame, logins: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``(e, dir_e)``: every login (primary and extra) -> account (the user
     id as text), one row per lower-cased login (the smallest id if two users
-    share one)."""
+    share one).  ``only`` (a column ``e``) restricts the directory to the
+    logins asked for before it is aggregated: a batch touches few of a large
+    directory's logins, and the semi-join with the small key set is a
+    broadcast, so the directory is never shuffled whole."""
     all_logins = (logins.select(email_key("unique_id").alias("e"), F.col("user_id").alias("uid"))
-                  .unionByName(users.select(email_key("login_id").alias("e"), F.col("id").alias("uid"))))
-    return (all_logins.where(F.col("e").isNotNull())
-            .groupBy("e").agg(F.min("uid").cast("string").alias("dir_e")))
+                  .unionByName(users.select(email_key("login_id").alias("e"), F.col("id").alias("uid")))
+                  .where(F.col("e").isNotNull()))
+    if only is not None:
+        all_logins = all_logins.join(only.select("e").where(F.col("e").isNotNull()), "e", "left_semi")
+    return all_logins.groupBy("e").agg(F.min("uid").cast("string").alias("dir_e"))
 
 
-def directory_by_external_id(users: DataFrame) -> DataFrame:
+def directory_by_external_id(users: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``(c, dir_c, dir_login)``: external id -> account (user id as text)
-    and its primary login."""
+    and its primary login; ``only`` (a column ``c``) as in
+    ``directory_by_login``."""
     packed = F.struct(F.col("id").alias("id"), email_key("login_id").alias("login"))
-    return (users.where(F.col("sis_user_id").isNotNull())
-            .groupBy(F.col("sis_user_id").alias("c"))
-            .agg(F.min(packed).alias("_u"))
+    u = users.where(F.col("sis_user_id").isNotNull()).withColumn("c", F.col("sis_user_id"))
+    if only is not None:
+        u = u.join(only.select("c").where(F.col("c").isNotNull()), "c", "left_semi")
+    return (u.groupBy("c").agg(F.min(packed).alias("_u"))
             .select("c", F.col("_u.id").cast("string").alias("dir_c"), F.col("_u.login").alias("dir_login")))
 
 
-def directory(users: DataFrame, logins: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The two lookups identity resolution needs: by login, by external id."""
-    return directory_by_login(users, logins), directory_by_external_id(users)
+def directory(users: DataFrame, logins: DataFrame, only_logins: DataFrame | None = None,
+              only_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The two lookups identity resolution needs: by login, by external id
+    (optionally restricted to the keys a batch asks for)."""
+    return (directory_by_login(users, logins, only_logins),
+            directory_by_external_id(users, only_ids))
 
 
 def resolve_first_rows(rows: DataFrame, users: DataFrame | None, logins: DataFrame | None,
@@ -68,10 +78,14 @@ def resolve_first_rows(rows: DataFrame, users: DataFrame | None, logins: DataFra
     and the account every row of that e-mail resolves to.  ``lookups`` (see
     ``directory``) replaces the users/logins snapshot, e.g. a snapshot plus
     the changes of earlier micro-batches."""
-    by_login, by_ext = lookups if lookups is not None else directory(users, logins)
     r = rows.withColumn("e", email_key("email"))
     firsts = first_per_key(r, ["e"], ["event_id", "pos"],
                            ["customer_id", "first_name", "last_name", "email"], prefix="f_")
+    if lookups is not None:
+        by_login, by_ext = lookups
+    else:
+        by_login, by_ext = directory(users, logins, only_logins=firsts.select("e"),
+                                     only_ids=firsts.select(F.col("f_customer_id").alias("c")))
     f = firsts.join(by_login, "e", "left")
     c = F.col("f_customer_id")
     if by_external_id:

@@ -33,11 +33,16 @@ def _kind_columns(kind_col):
     return typ, rid
 
 
-def users_by_login(users: DataFrame, logins: DataFrame) -> DataFrame:
-    """(e, user_id): one user per lower-cased login (primary or extra)."""
-    return (logins.select(email_key("unique_id").alias("e"), F.col("user_id").alias("uid"))
-            .unionByName(users.select(email_key("login_id").alias("e"), F.col("id").alias("uid")))
-            .where(F.col("e").isNotNull()).groupBy("e").agg(F.min("uid").alias("user_id")))
+def users_by_login(users: DataFrame, logins: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(e, user_id): one user per lower-cased login (primary or extra).
+    ``only`` (column ``e``): restrict to the requested logins first (a
+    broadcast semi-join), so a large directory is not aggregated whole."""
+    all_logins = (logins.select(email_key("unique_id").alias("e"), F.col("user_id").alias("uid"))
+                  .unionByName(users.select(email_key("login_id").alias("e"), F.col("id").alias("uid")))
+                  .where(F.col("e").isNotNull()))
+    if only is not None:
+        all_logins = all_logins.join(only.select("e").where(F.col("e").isNotNull()), "e", "left_semi")
+    return all_logins.groupBy("e").agg(F.min("uid").alias("user_id"))
 
 
 def with_role(enrollments: DataFrame, roles, active_only: bool = True) -> DataFrame:
@@ -67,9 +72,9 @@ def grant(requests: DataFrame, users: DataFrame, logins: DataFrame, courses: Dat
     """One enrollment per request (D13): ``login, course_sis, kind`` with kind
     teacher / ta / transition.  The user is found by login and the course by
     external id; a miss gives action USER_NOT_FOUND / COURSE_NOT_FOUND."""
-    u = users_by_login(users, logins)
-    c = _course_by_sis(courses)
     r = requests.select(email_key("login").alias("e"), "course_sis", "kind")
+    u = users_by_login(users, logins, only=r)
+    c = _course_by_sis(courses)
     j = r.join(u, "e", "left").join(c, r["course_sis"] == c["sis_course_id"], "left")
     typ, rid = _kind_columns(F.col("kind"))
     action = (F.when(F.col("course_id").isNull(), F.lit("COURSE_NOT_FOUND"))
@@ -86,8 +91,8 @@ def grant_across_term(requests: DataFrame, users: DataFrame, logins: DataFrame,
     """Grant a user a role in every course of a term (D14): ``login,
     sis_term_id, kind``.  The courses are found by an equi-join on the term,
     not a cross join."""
-    u = users_by_login(users, logins)
-    r = requests.select(email_key("login").alias("e"), "sis_term_id", "kind").join(u, "e")
+    r = requests.select(email_key("login").alias("e"), "sis_term_id", "kind")
+    r = r.join(users_by_login(users, logins, only=r), "e")
     c = courses.select("course_id", "sis_course_id", F.col("term.sis_term_id").alias("sis_term_id"))
     j = r.join(c, "sis_term_id")
     typ, rid = _kind_columns(F.col("kind"))
@@ -113,8 +118,8 @@ def revoke_across_term(requests: DataFrame, courses: DataFrame, enrollments: Dat
 def roles_of_users(requests: DataFrame, users: DataFrame, logins: DataFrame,
                    enrollments: DataFrame) -> DataFrame:
     """Every enrollment of the users named by login."""
-    u = users_by_login(users, logins)
-    r = requests.select(email_key("login").alias("e")).distinct().join(u, "e")
+    r = requests.select(email_key("login").alias("e")).distinct()
+    r = r.join(users_by_login(users, logins, only=r), "e")
     return r.join(enrollments, "user_id").select(
         F.col("e").alias("login"), "user_id", F.col("id").alias("enrollment_id"),
         "sis_course_id", "role", "type")

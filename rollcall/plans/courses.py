@@ -30,11 +30,15 @@ def course_report(courses: DataFrame, accounts: DataFrame, terms: DataFrame,
                        "account_id", "enrollment_term_id", "total_students", "workflow_state")
     a = accounts.select("account_id", "subaccount_name").dropDuplicates(["account_id"])
     t = terms.select("enrollment_term_id", "enrollment_name").dropDuplicates(["enrollment_term_id"])
-    enr = enrollments.where(F.col("enrollment_state").isin(*ENROLLED_STATES))
-    students = (enr.where(F.col("type") == STUDENT_ENROLLMENT)
-                .groupBy("course_id").agg(F.countDistinct("user_id").alias("_n_students")))
-    teacher_ids = (enr.where(F.col("type") == TEACHER_ENROLLMENT)
-                   .select("course_id", "user_id").distinct())
+    # one pass over the roster: per (course, user) whether they study and/or
+    # teach there; both branches below read this one aggregate
+    per_user = (enrollments.where(F.col("enrollment_state").isin(*ENROLLED_STATES)
+                                  & F.col("type").isin(STUDENT_ENROLLMENT, TEACHER_ENROLLMENT))
+                .groupBy("course_id", "user_id")
+                .agg(F.bool_or(F.col("type") == STUDENT_ENROLLMENT).alias("_s"),
+                     F.bool_or(F.col("type") == TEACHER_ENROLLMENT).alias("_t")))
+    students = per_user.where("_s").groupBy("course_id").agg(F.count(F.lit(1)).alias("_n_students"))
+    teacher_ids = per_user.where("_t").select("course_id", "user_id")
     names = users.select(F.col("id").alias("user_id"), "name")
     teachers = names_in_order(teacher_ids.join(names, "user_id"), "course_id", "name", "teacher")
     out = (c.join(a, "account_id").join(t, "enrollment_term_id")
@@ -201,10 +205,10 @@ def teacher_by_email(plans: DataFrame, requests: DataFrame, users: DataFrame, lo
     """Teacher enrollment of each planned course, the teacher found by
     e-mail login (J18).  Unknown teachers come back with ``user_id`` null and
     action TEACHER_NOT_FOUND."""
-    by_login = (logins.select(email_key("unique_id").alias("_e"), F.col("user_id").alias("uid"))
-                .unionByName(users.select(email_key("login_id").alias("_e"), F.col("id").alias("uid")))
-                .where(F.col("_e").isNotNull()).groupBy("_e").agg(F.min("uid").alias("user_id")))
     req = requests.select(F.col(new_col).alias("new_sis"), email_key(email_col).alias("_e"))
+    from rollcall.plans.access import users_by_login
+    by_login = users_by_login(users, logins, only=req.select(F.col("_e").alias("e"))) \
+        .withColumnRenamed("e", "_e")
     p = plans.where(F.col("action").isin("CREATE", "COPY")).select("new_sis").distinct()
     j = p.join(req, "new_sis").join(by_login, "_e", "left")
     return j.select("new_sis", "user_id",
