@@ -21,13 +21,13 @@ DROP_NOT_FOUND = "DROP_NOT_FOUND"
 
 
 def current_students(enrollments: DataFrame) -> DataFrame:
-    """``(account, course_code)`` pairs enrolled as students in the snapshot."""
+    """``(account, course_code)`` pairs enrolled as students in the snapshot
+    (not deduplicated: callers restrict them to a batch first)."""
     return (enrollments
             .where((F.col("type") == STUDENT_ENROLLMENT)
                    & F.col("enrollment_state").isin(*ENROLLED_STATES))
             .select(F.col("user_id").cast("string").alias("account"),
-                    F.col("sis_course_id").alias("course_code"))
-            .distinct())
+                    F.col("sis_course_id").alias("course_code")))
 
 
 def _is_drop(c):
@@ -44,9 +44,13 @@ def plan_enrollments(rows: DataFrame, enrollments: DataFrame | None,
     the payload of an ENROLL (type, enrollment_state, notify)."""
     keys = ["account", "course_code"]
     base = rows.select("event_id", "pos", "account", "course_code", "course_name", "status")
-    # the roster enters as the "status before the first event" of a pair
-    cur = (current if current is not None else current_students(enrollments)) \
-        .select("account", "course_code").distinct().withColumn("value", F.lit("ENROLLED"))
+    # the roster enters as the "status before the first event" of a pair;
+    # only the batch's pairs are looked up (a broadcast semi-join of the
+    # large roster with the batch's pairs, then the distinct)
+    pairs = base.select(*keys).distinct()
+    cur = ((current if current is not None else current_students(enrollments))
+           .select("account", "course_code").join(pairs, keys, "left_semi")
+           .distinct().withColumn("value", F.lit("ENROLLED")))
     j = previous_value(base, keys, "event_id", "status", tie_col="pos", out_col="_prev", initial=cur)
     prior_active = F.coalesce(~_is_drop(F.col("_prev.value")) & F.col("_prev").isNotNull(), F.lit(False))
     action = (F.when(~_is_drop(F.col("status")), F.lit(ENROLL))

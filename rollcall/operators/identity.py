@@ -171,9 +171,12 @@ def login_changes(firsts: DataFrame, logins: DataFrame) -> DataFrame:
         "account", F.col("f_event_id").alias("event_id"), F.col("f_pos").alias("pos"),
         "e", "first_action", "dir_c", "dir_login")
     prev = previous_value(changes, ["account"], "event_id", "e", tie_col="pos", out_col="_prev")
-    counts = (logins.groupBy(F.col("user_id").cast("string").alias("_uid"),
-                             email_key("unique_id").alias("_login"))
-              .agg(F.count(F.lit(1)).alias("_n")))
+    # logins of the changed directory users only (broadcast semi-join first)
+    changed = changes.where(F.col("dir_c").isNotNull()).select(F.col("dir_c").alias("_uid")).distinct()
+    counts = (logins.select(F.col("user_id").cast("string").alias("_uid"),
+                            email_key("unique_id").alias("_login"))
+              .join(changed, "_uid", "left_semi")
+              .groupBy("_uid", "_login").agg(F.count(F.lit(1)).alias("_n")))
     ch = prev.where(F.col("first_action") == EMAIL_CHANGED)
     ch = ch.withColumn("old_login", F.coalesce(F.col("_prev.value"), F.col("dir_login")))
     ch = ch.join(counts, (F.col("dir_c") == F.col("_uid")) & (F.col("old_login") == F.col("_login")), "left")

@@ -34,7 +34,10 @@ def unsent(resolved: DataFrame | None, ledger: DataFrame, letter: str, match: st
     (``letter_candidates``) may be passed when several ledgers share them."""
     cand = candidates if candidates is not None else letter_candidates(resolved)
     if match == "exact":
-        sent = ledger.select(email_key(column).alias("_sent")).where(F.col("_sent").isNotNull())
+        # the ledger only grows; look up just this batch's addresses (a
+        # broadcast semi-join), so the anti-join never shuffles it whole
+        sent = (ledger.select(email_key(column).alias("_sent")).where(F.col("_sent").isNotNull())
+                .join(cand.select(F.col("e").alias("_sent")), "_sent", "left_semi"))
         due = cand.join(sent, cand["e"] == sent["_sent"], "left_anti")
     elif match == "regex":
         sent = ledger.select(F.col(column).alias("_sent")).where(F.col("_sent").isNotNull())
