@@ -124,8 +124,9 @@ def validate_email(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def split_unknown_courses(rows: DataFrame, courses: DataFrame,
                           key: str = "sis_course_id") -> tuple[DataFrame, DataFrame]:
-    """(good, rejects) by course existence (J10).  The course list is one
-    row per course of the LMS (broadcast by the planner / AQE when small)."""
+    """(good, rejects) by course existence (J10).  The course list holds one
+    short code per LMS course (even a million courses is a few tens of MB),
+    so it is joined as is and the planner / AQE broadcast it."""
     codes = _codes(courses, key)
     on = rows["course_code"] == codes["_code"]
     return (rows.join(codes, on, "left_semi"),
