@@ -51,6 +51,7 @@ from rollcall.llm.common import shared_path, stash
 MIN_REVISIT = 100
 ROLL_BYTES = 64 << 20
 SHARD_BYTES = 32 << 20      # of payload a shard holds about
+READ_TASKS = 100_000
 CUT_SAMPLE = 200_000        # ids from which shard borders are cut
 DATE = "2000-01-01T00:00:00Z"  # fixed, so that files are reproducible
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # RFC 4122, URL
@@ -330,7 +331,9 @@ def read(manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_pylist([dict(zip(names, h)) for h in held], schema=arrow)
 
-    files = manifest.select("file", "sha256").repartition("file")
+    # a task per file up to READ_TASKS; the number is given, since a manifest's
+    # few bytes would be merged into one task otherwise
+    files = manifest.select("file", "sha256").repartition(max(1, min(manifest.count(), READ_TASKS)), "file")
     return files.mapInArrow(run, READ)
 
 
