@@ -5,23 +5,25 @@ A document's set holds the distinct five-word shingles of its lower-cased
 whole sequence is its only shingle; without words the set is empty and links
 with nothing.  Two documents are linked when 100 * |A & B| >= 75 * |A | B|.
 
-1. Sketch: a shingle's 64-bit hash picks one of 128 buckets by its top bits;
+1. Sketch: a shingle's 64-bit hash picks one of 512 buckets by its top bits;
    each bucket keeps its smallest remainder, compressed to a register of the
    leading-zero count and ten mantissa bits.
 2. Equal sets collapse into one class (by a 128-bit sum over the set).
-3. Bands: empty registers borrow from a non-empty bucket in a fixed order per
-   bucket, then 32 bands of 4 registers are hashed.  A pair at the threshold
-   shares no band with a probability of (1 - 0.75**4)**32 < 6e-6, a closer
-   pair with less.
+3. Bands: registers of a coarser sketch of the same hashes (128 buckets);
+   empty ones borrow from a non-empty bucket in a fixed order per bucket, then
+   32 bands of 4 registers are hashed.  A pair at the threshold shares no band
+   with a probability of (1 - 0.75**4)**32 < 6e-6, a closer pair with less.
 4. First round: within a bucket of equal bands each class is paired only with
-   the smallest class of it (a star, linear in the bucket).  Pairs whose
-   Jaccard estimate from the compressed registers (corrected for expected
-   register collisions) lies five standard errors below the threshold are
-   dropped; each class's best pair is verified on the full sets.
+   the smallest class of it (a star, linear in the bucket).  The registers give
+   a Jaccard estimate, corrected for expected register collisions; pairs more
+   than ``Z`` standard errors below the threshold are dropped, and each class's
+   best pair is verified on the full sets.
 5. The verified links are contracted to components.  Second round: what is
-   left are pairs of one bucket in different components; all of them are
-   estimated and verified.  Pairs within a component can't change the result
-   and are never made, so a group of n near copies costs about n pairs.
+   left are pairs of one bucket in different components.  They are estimated
+   inside the bucket's task (a bucket above ``BLOCK`` classes is cut into
+   blocks, whose pairs are tasks of their own), and only those that may be
+   links become rows, once each, and are verified.  Pairs within a component
+   can't change the result and are never made.
 
 Defined results: null and empty texts have an empty set and are their own
 component; repeated rows fall into one class; an id that is null never names a
@@ -31,6 +33,8 @@ component unless all of its ids are null; further columns are ignored by
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,13 +46,15 @@ from rollcall.llm.common import bitmap, fixed_binary, in_bitmap, list_column, ma
 from rollcall.llm.components import connected_components
 
 SHINGLE = 5
-BUCKET_BITS = 7
+BUCKET_BITS = 9             # of the registers that estimate
 BUCKETS = 1 << BUCKET_BITS
+BAND_BITS = 7               # of the coarser registers that are banded
 MANTISSA_BITS = 10
 BANDS, ROWS = 32, 4
 THRESHOLD = 75  # per cent
 REP_BITS = 26   # bitmap of class representatives: 2**26 bits, 8 MB
-Z = 5.0
+Z = 4.5
+BLOCK = 4096
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,17 +75,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return h, np.bincount(owner, minlength=len(offsets) - 1)
 
 
-def registers(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def registers(h: np.ndarray, sizes: np.ndarray, bits: int = BUCKET_BITS) -> np.ndarray:
     """Compressed registers, uint16[text, bucket]; 0 marks an empty bucket.
     ``h`` is sorted within each text, so that the first hash of a bucket is
     its smallest."""
-    out = np.zeros((len(sizes), BUCKETS), np.uint16)
+    out = np.zeros((len(sizes), 1 << bits), np.uint16)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    slot = owner * BUCKETS + bucket
+    slot = (owner << bits) + (h >> np.uint64(64 - bits)).astype(np.int64)
     first = np.ones(len(h), bool)
     first[1:] = slot[1:] != slot[:-1]
-    rest = (h[first] << np.uint64(BUCKET_BITS)) | np.uint64(1)
+    rest = (h[first] << np.uint64(bits)) | np.uint64(1)
     fraction, exponent = np.frexp(rest.astype(np.float64))
     zeros = np.clip(64 - exponent, 0, 62)
     mantissa = ((fraction - 0.5) * (2 << MANTISSA_BITS)).astype(np.int64)
@@ -87,13 +92,13 @@ def registers(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _borrow_order() -> np.ndarray:
+def _borrow_order(n: int) -> np.ndarray:
     """For each bucket, the fixed order in which it looks for a register."""
-    keys = V.mix(np.arange(BUCKETS * BUCKETS, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D))
-    return np.argsort(keys.reshape(BUCKETS, BUCKETS), axis=1)
+    keys = V.mix(np.arange(n * n, dtype=np.uint64) + np.uint64(0x5851F42D4C957F2D))
+    return np.argsort(keys.reshape(n, n), axis=1)
 
 
-_ORDER = _borrow_order()
+_ORDER = _borrow_order(1 << BAND_BITS)
 
 
 def densify(regs: np.ndarray) -> np.ndarray:
@@ -104,7 +109,7 @@ def densify(regs: np.ndarray) -> np.ndarray:
         part = rows[lo:lo + 256]
         full = regs[part] != 0
         pick = full[:, _ORDER].argmax(axis=2)
-        source = _ORDER[np.arange(BUCKETS)[None, :], pick]
+        source = _ORDER[np.arange(len(_ORDER))[None, :], pick]
         borrowed = np.take_along_axis(regs[part], source, axis=1)
         out[part] = np.where(full, regs[part], borrowed)
     return out
@@ -120,31 +125,42 @@ def band_keys(regs: np.ndarray) -> np.ndarray:
     return V.mix(packed ^ salt[None, :]).view(np.int64)
 
 
-def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Collision-corrected Jaccard estimates of register rows, and the number
-    of buckets that either side fills.  The expected number of accidental
-    register collisions of sets of n and m elements in 2**p buckets with r
-    mantissa bits is about 0.16992 * 2**(p - r) * 4q / (1 + q)**2, q = n / m
-    (Yu and Weber, HyperMinHash)."""
-    union = ((a != 0) | (b != 0)).sum(axis=1)
+def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(estimate, whether a link isn't ruled out) for rows of registers.
+
+    The expected number of accidental register collisions of sets of n and m
+    elements in 2**p buckets with r mantissa bits is about 0.16992 * 2**(p - r)
+    * 4q / (1 + q)**2, q = n / m (Yu and Weber, HyperMinHash).  The filled
+    buckets sample the union without replacement, so that the standard error
+    at the threshold t is that of N filled buckets among U = (n + m) / (1 + t)
+    elements with the finite-population correction."""
+    filled = ((a != 0) | (b != 0)).sum(axis=1)
     equal = ((a == b) & (a != 0)).sum(axis=1)
     q = np.maximum(na, nb) / np.maximum(1, np.minimum(na, nb))
     chance = 0.169919487159739 * 2.0 ** (BUCKET_BITS - MANTISSA_BITS) * 4 * q / (1 + q) ** 2
-    return np.maximum(0.0, equal - chance) / np.maximum(1, union), union
+    some = np.maximum(1, filled)
+    est = np.maximum(0.0, equal - chance) / some
+    t = THRESHOLD / 100
+    rest = np.clip(1 - filled / ((na + nb) / (1 + t)), 0.02, 1)
+    slack = Z * np.sqrt(t * (1 - t) / some * rest) + 2 / some
+    sizes = 100 * np.minimum(na, nb) >= THRESHOLD * np.maximum(na, nb)
+    return est, sizes & (est >= t - slack)
 
 
 def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, rep (hash of id and text), n, node (16 bytes
-    that name the set), regs (256 bytes)."""
+    that name the set), regs (the registers' bytes) and bands (hashes)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = np.zeros(batch.num_rows, np.int64)
         node = np.zeros((batch.num_rows, 2), np.uint64)
         regs = np.zeros((batch.num_rows, BUCKETS), np.uint16)
+        bands = np.zeros((batch.num_rows, BANDS), np.int64)
         for lo, hi, data, offsets in V.chunks(batch.column(2)):
             h, sizes = shingle_sets(data, offsets)
             n[lo:hi] = sizes
             regs[lo:hi] = registers(h, sizes)
+            bands[lo:hi] = band_keys(registers(h, sizes, BAND_BITS))
             ends = np.cumsum(sizes)
             for j, salt in enumerate((0x2545F4914F6CDD1D, 0x9E6C63D0876A9A35)):
                 sums = np.zeros(len(h) + 1, np.uint64)
@@ -152,26 +168,21 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
                 node[lo:hi, j] = V.mix(sums[ends] - sums[ends - sizes] + sizes.astype(np.uint64))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(n), fixed_binary(node.view(np.uint8)),
-             fixed_binary(regs.view(np.uint8))], names=["doc_id", "rep", "n", "node", "regs"])
+             fixed_binary(regs.view(np.uint8)),
+             list_column(bands.ravel(), np.full(len(bands), BANDS), pa.int64())],
+            names=["doc_id", "rep", "n", "node", "regs", "bands"])
 
     src = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("rep"),
                       F.col(text).cast("string").alias("text"))
     schema = T.StructType([src.schema["doc_id"], T.StructField("rep", T.LongType()),
                            T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType()),
-                           T.StructField("regs", T.BinaryType())])
+                           T.StructField("regs", T.BinaryType()),
+                           T.StructField("bands", T.ArrayType(T.LongType()))])
     return map_batches(src, run, schema)
 
 
-def _bands(classes: DataFrame) -> DataFrame:
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-        keys = band_keys(regs)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), list_column(keys.ravel(), np.full(len(keys), BANDS), pa.int64())],
-            names=["node", "bands"])
-
-    return map_batches(classes.select("node", "regs"), run, "node binary, bands array<bigint>").select(
-        F.explode("bands").alias("band"), "node")
+def _rows_of(column: pa.Array, kind, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
 def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -183,11 +194,8 @@ def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             .select("a", "b", "na", "nb", "ra", "rb"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ra, rb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BUCKETS)
-                  for i in (4, 5))
-        est, union = estimate(ra, rb, batch.column(2).to_numpy(), batch.column(3).to_numpy())
-        t = THRESHOLD / 100
-        keep = est >= t - Z * np.sqrt(t * (1 - t) / np.maximum(1, union))
+        ra, rb = (_rows_of(batch.column(i), np.uint16, BUCKETS) for i in (4, 5))
+        est, keep = may_link(ra, rb, batch.column(2).to_numpy(), batch.column(3).to_numpy())
         out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(est)],
                                          names=["a", "b", "est"])
         return out.filter(pa.array(keep))
@@ -195,6 +203,68 @@ def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(both, run, "a binary, b binary, est double")
 
 
+def _cross_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes that share a band, lie in different components
+    and may be links, each once: in the first band that they share.
+    ``placed`` has band, slot (the band's number), size (of the bucket), node
+    and component."""
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = placed.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")))
+    # block pairs (i <= j) that the row takes part in; just (0, 0) for most
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    rows = rows.select("band", "slot", "node", "component", "_own", other).select(
+        "band", "slot", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own",
+        "node", "component")
+    rows = rows.join(classes.select("node", "n", "regs", "bands"), "node").select(
+        "band", "i", "j", "slot", "_own", "node", "component", "n", "regs", "bands")
+    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def pairs_of(group: pa.Table):
+        i, j, slot = (group.column(c)[0].as_py() for c in (1, 2, 3))
+        own = group.column(4).to_numpy()
+        component = np.unique(np.array(group.column(6).to_pylist(), object), return_inverse=True)[1]
+        if component.max() == 0:
+            return
+        n = group.column(7).to_numpy()
+        regs = _rows_of(group.column(8), np.uint16, BUCKETS)
+        bands = group.column(9).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        for x in range(len(n) - 1):
+            y = np.arange(x + 1, len(n))
+            y = y[component[y] != component[x]]
+            if i != j:
+                y = y[own[y] != own[x]]
+            y = y[(100 * np.minimum(n[y], n[x]) >= THRESHOLD * np.maximum(n[y], n[x]))
+                  & ~(bands[y, :slot] == bands[x, :slot]).any(axis=1)]
+            if len(y):
+                y = y[may_link(regs[y], np.broadcast_to(regs[x], (len(y), BUCKETS)), n[y], np.full(len(y), n[x]))[1]]
+                if len(y):
+                    yield x, y
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def out(group: pa.Table) -> Iterator[pa.RecordBatch]:
+            node = group.column(5).combine_chunks()
+            for x, y in pairs_of(group):
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(np.full(len(y), x))), node.take(pa.array(y))],
+                                                 names=["a", "b"])
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([held, table]) if held is not None else table
+            key = np.stack([table.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
+            starts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            edges = [0, *starts.tolist()]
+            for lo, hi in zip(edges, edges[1:]):
+                if hi - lo > 1:
+                    yield from out(table.slice(lo, hi - lo))
+            held = table.slice(edges[-1])
+        if held is not None and held.num_rows > 1:
+            yield from out(held)
+
+    return rows.mapInArrow(run, "a binary, b binary")
+
+
 def _sets(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(rep, items): the sorted full sets of the documents named in ``reps``,
     from a second pass over the texts.  A bitmap of fixed size over the wanted
@@ -229,13 +299,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """Per document: doc_id, n_shingles, component_id, kept."""
     seen = stash(sketch(docs, doc_id, text), "sketches")
     classes = stash(seen.where("n > 0").groupBy("node").agg(
-        F.max("n").alias("n"), F.max("regs").alias("regs"),
+        F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("bands").alias("bands"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("first"))
-        .select("node", "n", "regs", "first.doc_id", "first.rep"), "classes")
+        .select("node", "n", "regs", "bands", "first.doc_id", "first.rep"), "classes")
 
-    bands = _bands(classes)
+    bands = classes.select("node", F.posexplode("bands").alias("slot", "band"))
     hubs = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("node").alias("hub")).where("size > 1")
-    shared = stash(bands.join(hubs.select("band", "hub"), "band"), "shared-bands")
+    shared = stash(bands.join(hubs, "band"), "shared-bands")
 
     # Round 1: stars, the best partner of each class.
     stars = shared.where("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
@@ -249,14 +319,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     comps = stash(connected_components(links, "a", "b"), "components")
 
     # Round 2: pairs of one band in different components.
-    placed = shared.select("band", "node").join(comps, "node", "left").select(
-        "band", "node", F.coalesce("component", "node").alias("component"))
+    placed = shared.join(comps, "node", "left").select(
+        "band", "slot", "size", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     placed = stash(placed.join(mixed.where("lo != hi").select("band"), "band", "left_semi"), "mixed-bands")
-    other = placed.toDF("band", "b", "cb")
-    cross = (placed.toDF("band", "a", "ca").join(other, "band")
-             .where("ca < cb").select("a", "b").distinct())
-    more = _verify(stash(_promising(cross, classes), "cross-pairs"), sets)
+    more = _verify(stash(_cross_pairs(placed, classes), "cross-pairs"), sets)
     comps = connected_components(links.unionByName(more), "a", "b")
 
     named = classes.join(comps, "node", "left").select(
