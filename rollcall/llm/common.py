@@ -41,6 +41,14 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken, name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_key(text: Column) -> Column:
     """32-byte key of a whole text (null and empty texts share one)."""
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm import textvec as V
-from rollcall.llm.common import map_batches, stash
+from rollcall.llm.common import free_name, map_batches, stash
 
 # Fixed values of the mixing rule.
 WEIGHTS = (5, 2, 1)       # of the sources in code-point order, repeating
@@ -165,7 +165,7 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """``docs``, each row as often as the mixture has copies of it, with the
-    number of the copy as ``copy``."""
+    number of the copy as ``copy`` (``_copy`` if there is such a column)."""
     from pyspark.sql import Window
 
     id_text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
@@ -173,8 +173,9 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     # repeated rows are alike: their copies are pooled and dealt out evenly
     plan = plan.groupBy("_tie", "_id").agg(F.sum("copies").alias("_sum"), F.count("*").alias("_n"))
     same = Window.partitionBy("_tie", "_id").orderBy(F.lit(0))
-    rows = (docs.withColumn("_tie", F.xxhash64(doc_id, text, source)).withColumn("_id", id_text)
-            .withColumn("_nth", F.row_number().over(same)))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64(doc_id, text, source).alias("_tie"),
+                       id_text.alias("_id")).withColumn("_nth", F.row_number().over(same))
     copies = (F.floor(F.col("_sum") / F.col("_n")) + (F.col("_nth") <= F.col("_sum") % F.col("_n")).cast("int"))
     return (rows.join(plan, ["_tie", "_id"]).withColumn("_copies", copies.cast("int")).where("_copies > 0")
-            .select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy")))
+            .select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy"))
+            .select("_row.*", F.col("_copy").alias(free_name(docs.columns, "copy"))))

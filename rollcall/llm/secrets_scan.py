@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollcall.llm.common import map_batches, stash
+from rollcall.llm.common import free_name, map_batches, stash
 
 # Fixed patterns and kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -180,8 +180,10 @@ _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64
 
 
 def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The ``keep`` columns of ``docs`` and ``spans``: all spans of each text,
-    by start, then kind: struct(start, kind index, end, stratum, cell)."""
+    """The ``keep`` columns of ``docs`` and ``spans`` (with underscores before
+    it if that name is taken): all spans of each text, by start, then kind, as
+    struct(start, kind index, end, stratum, cell)."""
+    name = free_name(keep, "spans")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
@@ -192,24 +194,24 @@ def find(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ()) -> Dat
                         + [{"start": s, "kind": 3, "end": e, "stratum": g, "cell": c}
                            for s, e, g, c in tokens(t, base)])
         return pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + [pa.array(rows, type=pa.list_(_SPAN))],
-                                          names=[*batch.schema.names[:len(keep)], "found"])
+                                          names=[*batch.schema.names[:len(keep)], name])
 
     src = docs.select(*dict.fromkeys([*keep, text]))
     at = src.columns.index(text)
     schema = T.StructType([*src.schema.fields[:len(keep)],
-                           T.StructField("found", T._parse_datatype_string(_SPANS))])
+                           T.StructField(name, T._parse_datatype_string(_SPANS))])
     found = stash(map_batches(src, run, schema), "spans")
-    cells = (found.select(F.explode("found").alias("s")).where("s.kind = 3")
+    cells = (found.select(F.explode(name).alias("s")).where("s.kind = 3")
              .groupBy("s.stratum", "s.cell").agg(F.count("*").alias("n")).collect())  # 7 * 64 * P_CELLS at most
     histogram: dict[int, dict[int, int]] = {}
     for stratum, cell, n in cells:
         histogram.setdefault(stratum, {})[cell] = n
     limits = rejected_cells(histogram)
-    spans = F.col("found")
+    spans = F.col(name)
     if limits:
         limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-        spans = F.filter("found", lambda s: (s["kind"] != 3) | (s["cell"] < limit[s["stratum"]]))
-    return found.select(*keep, F.sort_array(spans).alias("spans"))
+        spans = F.filter(name, lambda s: (s["kind"] != 3) | (s["cell"] < limit[s["stratum"]]))
+    return found.select(*keep, F.sort_array(spans).alias(name))
 
 
 def _joined(spans, kinds):
@@ -220,16 +222,17 @@ def _joined(spans, kinds):
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
     kinds = F.array(*[F.lit(k) for k in KINDS])
+    name = free_name((doc_id,), "spans")
     found = find(docs, text, keep=(doc_id,))
 
     def count(kind: int):
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+        return F.size(F.filter(name, lambda s: s["kind"] == kind)).cast("long")
 
     return found.select(
         F.col(doc_id).alias("doc_id"), count(0).alias("n_assign"), count(1).alias("n_access"),
         count(2).alias("n_hex"),
-        F.sha2(_joined(F.filter("spans", lambda s: s["kind"] < 3), kinds), 256).alias("base_sha256"),
-        _joined("spans", kinds).alias("spans"))
+        F.sha2(_joined(F.filter(name, lambda s: s["kind"] < 3), kinds), 256).alias("base_sha256"),
+        _joined(name, kinds).alias("spans"))
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -238,7 +241,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     ``n_chars``, where there is such a column, follows the new text."""
     names = docs.columns
     found = find(docs, text, keep=tuple(names))
-    at = names.index(text)
+    at, name = names.index(text), free_name(names, "spans")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -255,7 +258,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
         columns[at] = pa.array(out, type=pa.string())
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    dirty = map_batches(found.where(F.size("spans") > 0), run, docs.schema)
+    dirty = map_batches(found.where(F.size(name) > 0), run, docs.schema)
     if "n_chars" in names and text != "n_chars":
         dirty = dirty.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return found.where(F.size("spans") == 0).select(*names).unionByName(dirty.select(*names))
+    return found.where(F.size(name) == 0).select(*names).unionByName(dirty.select(*names))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm import textvec as V
-from rollcall.llm.common import list_column, map_batches, stash
+from rollcall.llm.common import free_name, list_column, map_batches, stash
 
 PREFIXES = tuple(range(3, 13))
 MAX_LABELLED = 20_000
@@ -236,5 +236,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
                label: str = "toxic") -> DataFrame:
     """The rows of ``docs`` that aren't rejected."""
     model = fit(docs, labels, doc_id, text, label)
-    scored = with_severity(docs, model, text, "_severity", "_toxic_p")
-    return scored.where(F.col("_toxic_p") < REJECT).select(*docs.columns)
+    severity, toxic_p = (free_name(docs.columns, n) for n in ("severity", "toxic_p"))
+    scored = with_severity(docs, model, text, severity, toxic_p)
+    return scored.where(F.col(toxic_p) < REJECT).select(*docs.columns)
