@@ -77,7 +77,9 @@ def date_window(rows: DataFrame, as_of, column: str = "created",
     """Rows whose ``column`` date lies in [as_of - days_back, as_of + days_ahead]
     (P15).  ``as_of`` is a parameter, never the wall clock."""
     lo, hi = window_bounds(as_of, days_back, days_ahead)
-    return rows.where(F.to_date(F.col(column)).between(lo, hi))
+    # bounds on the column itself, which reach the scan where they are literals
+    start, end = (d.cast("date").cast("timestamp") for d in (lo, F.date_add(hi, 1)))
+    return rows.where((F.col(column) >= start) & (F.col(column) < end))
 
 
 def _codes(codes: DataFrame, column: str, distinct: bool = False) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Join helpers: the broadcast bound, key lookup with a not-found branch
+"""Join helpers: key lookup with a not-found branch
 (P16), update from a mapping (P17), conditional set (P18), delete where
 (P19)."""
 
@@ -9,12 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Equi-joins carry no broadcast hint: the planner broadcasts a side whose
-# estimated size is under spark.sql.autoBroadcastJoinThreshold and AQE
-# re-plans from measured shuffle sizes, falling back to a sort-merge join.
-# Non-equi joins (the regex ledger match) would be broadcast whatever their
-# size, so those sides are counted against this bound first.
-BROADCAST_MAX_ROWS = 2_000_000
+# Joins carry no broadcast hint: the planner broadcasts a side whose estimated
+# size is under spark.sql.autoBroadcastJoinThreshold and AQE re-plans from
+# measured shuffle sizes, falling back to a sort-merge join.
 
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: str, right_on: str,

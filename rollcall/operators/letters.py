@@ -5,11 +5,13 @@ At most one letter per e-mail (the ledger grows during the reference's run,
 so a second row of the same address finds it).  ``match="exact"`` (the
 default) compares lower-cased addresses with an anti-join.  ``match="regex"``
 keeps the reference's test — the row's address used as an unescaped regular
-expression searched in every ledger entry, case-sensitive — which is a
-nested-loop anti-join against the broadcast ledger; it is refused when the
-ledger is larger than a broadcast can hold.  In regex mode, as in exact
-mode, letters planned earlier in the same batch suppress only the same
-address.
+expression searched in every ledger entry, case-sensitive — in one plan for
+every size.  Any entry that an address matches holds the address's literal
+pieces, so an address is joined with the ledger on one n-gram of its longest
+piece (8 characters, or 4 for shorter pieces) and the regular expression is
+checked on the pairs.  An address without such a piece meets the ledger
+through ``SALTS`` salted shuffle partitions.  In regex mode, as in exact mode,
+letters planned earlier in the same batch suppress only the same address.
 """
 
 from __future__ import annotations
@@ -18,10 +20,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import email_key
-from rollcall.operators.joins import BROADCAST_MAX_ROWS
 from rollcall.operators.ordered import first_per_key
 
 
+GRAMS = (8, 4)  # lengths of the n-grams, tried in this order
+SALTS = 64
+
+
+def _grams(text, n: int):
+    """All n-grams of a text."""
+    last = F.length(text) - n + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+                                         lambda i: F.substring(text, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+
+def _longest_literal(pattern):
+    """The longest run of plain characters that every match of ``pattern``
+    must hold; empty where alternatives, classes, groups, escapes, anchors or
+    counts make that unsure.  A character before ``*`` or ``?`` is optional."""
+    plain = F.regexp_replace(pattern, "(?s).[*?]", ".")
+    pieces = F.split(plain, r"[.+*?]")
+    longest = F.aggregate(pieces, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+    return F.when(pattern.rlike(r"[|()\[\]{}\\^$]"), F.lit("")).otherwise(longest)
+
+
+def _regex_matched(cand: DataFrame, sent: DataFrame) -> DataFrame:
+    """(event_id, pos) of the candidates whose address, as a regular
+    expression, is found in an entry of ``sent`` (column ``_sent``)."""
+    asked = cand.select("event_id", "pos", "email", _longest_literal(F.col("email")).alias("_piece"))
+    entries = sent.distinct()
+    found = []
+    longer = F.lit(False)
+    for n in GRAMS:
+        mine = asked.where((F.length("_piece") >= n) & ~longer)
+        # the piece's n-gram with the smallest hash: spreads common ones
+        gram = F.array_min(F.transform(_grams(F.col("_piece"), n), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"]
+        theirs = entries.select("_sent", F.explode(F.array_distinct(_grams(F.col("_sent"), n))).alias("_gram"))
+        found.append(mine.withColumn("_gram", gram).join(theirs, "_gram"))
+        longer = longer | (F.length("_piece") >= n)
+    rest = asked.where(~longer).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = entries.withColumn("_salt", F.pmod(F.hash("_sent"), F.lit(SALTS)))
+    found.append(rest.join(salted.hint("shuffle_hash"), "_salt"))
+    hits = [f.where(F.regexp(F.col("_sent"), F.col("email"))).select("event_id", "pos") for f in found]
+    return hits[0].unionByName(hits[1]).unionByName(hits[2])
+
+
 def letter_candidates(resolved: DataFrame) -> DataFrame:
     """First row per e-mail key: (e, event_id, pos, email, account)."""
     first = first_per_key(resolved, ["e"], ["event_id", "pos"], ["email", "account"], prefix="")
@@ -41,9 +84,7 @@ def unsent(resolved: DataFrame | None, ledger: DataFrame, letter: str, match: st
         due = cand.join(sent, cand["e"] == sent["_sent"], "left_anti")
     elif match == "regex":
         sent = ledger.select(F.col(column).alias("_sent")).where(F.col("_sent").isNotNull())
-        if sent.limit(BROADCAST_MAX_ROWS + 1).count() > BROADCAST_MAX_ROWS:
-            raise ValueError("regex ledger match needs a ledger that fits a broadcast; use match='exact'")
-        due = cand.join(F.broadcast(sent), F.regexp(F.col("_sent"), F.col("email")), "left_anti")
+        due = cand.join(_regex_matched(cand, sent), ["event_id", "pos"], "left_anti")
     else:
         raise ValueError(f"unknown match mode {match!r}")
     return due.select("event_id", "pos", "account", "email", F.lit(letter).alias("letter"))

@@ -362,11 +362,12 @@ term_id AS (SELECT enrollment_term_id AS tid FROM terms WHERE enrollment_name =
 
 def _plan_sql(req: str, new: str, src: str, name: str, account: str, copy_existing: bool) -> str:
     exists = "COPY" if copy_existing else "EXISTS"
-    src_missing = ("WHEN s.course_id IS NULL THEN 'SOURCE_NOT_FOUND'" if account == "source" else "")
+    needs_source = "true" if copy_existing else "t.course_id IS NULL"
     acct = "s.account_id" if account == "source" else f"CAST(r.{account} AS BIGINT)"
     return f"""
 SELECT r.{new} AS new_sis, r.{src} AS source_sis, r.{name} AS name,
-       CASE WHEN t.course_id IS NOT NULL THEN '{exists}' {src_missing} ELSE 'CREATE' END AS action,
+       CASE WHEN s.course_id IS NULL AND {needs_source} THEN 'SOURCE_NOT_FOUND'
+            WHEN t.course_id IS NOT NULL THEN '{exists}' ELSE 'CREATE' END AS action,
        CASE WHEN t.course_id IS NULL THEN {acct} END AS account_id,
        CASE WHEN t.course_id IS NULL THEN (SELECT tid FROM term_id) END::BIGINT AS term_id
 FROM {req} r LEFT JOIN idx t ON t.sis = r.{new} LEFT JOIN idx s ON s.sis = r.{src}"""

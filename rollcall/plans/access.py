@@ -104,13 +104,15 @@ def grant_across_term(requests: DataFrame, users: DataFrame, logins: DataFrame,
 def revoke_across_term(requests: DataFrame, courses: DataFrame, enrollments: DataFrame,
                        enrollment_type: str = TEACHER_ENROLLMENT) -> tuple[DataFrame, DataFrame]:
     """Remove a user's enrollments of one type from every course of a term
-    (D15): ``user_id, sis_term_id``.  Returns (removed, others seen)."""
+    (D15): ``user_id, sis_term_id``.  Returns (removed, others seen), each
+    enrollment once however many requests name its term."""
     c = courses.select("course_id", F.col("term.sis_term_id").alias("sis_term_id"))
     e = enrollments.where(F.col("type") == enrollment_type).select(
         F.col("id").alias("enrollment_id"), "course_id", "user_id", "sis_course_id")
-    target = requests.select(F.col("user_id").alias("_target"), "sis_term_id")
-    seen = e.join(c, "course_id").join(target, "sis_term_id")
-    others, removed = delete_where(seen, F.col("user_id") == F.col("_target"))
+    seen = e.join(c, "course_id").join(requests.select("sis_term_id"), "sis_term_id", "left_semi")
+    target = requests.select("sis_term_id", "user_id")
+    removed = seen.join(target, ["sis_term_id", "user_id"], "left_semi")
+    others = seen.join(target, ["sis_term_id", "user_id"], "left_anti")
     cols = ["sis_term_id", "course_id", "sis_course_id", "enrollment_id", "user_id"]
     return removed.select(*cols), others.select(*cols)
 

@@ -177,9 +177,9 @@ def plan_courses(requests: DataFrame, courses: DataFrame, term_id: int, *, new_c
     lookup on the source course (J15).
 
     One row per request: new_sis, source_sis, name, action, account_id,
-    term_id.  ``action``: CREATE (target missing, source known), COPY
-    (target exists and ``copy_existing``), EXISTS (target exists, left as
-    is), SOURCE_NOT_FOUND (the reference failed there)."""
+    term_id.  ``action``: SOURCE_NOT_FOUND (something would be copied from a
+    course that doesn't exist), CREATE (target missing), COPY (target exists
+    and ``copy_existing``), EXISTS (target exists, left as is)."""
     new = _sis_index(courses, "t_")
     src = _sis_index(courses, "s_")
     r = requests.select(F.col(new_col).alias("new_sis"), F.col(source_col).alias("source_sis"),
@@ -189,9 +189,11 @@ def plan_courses(requests: DataFrame, courses: DataFrame, term_id: int, *, new_c
           .join(src, r["source_sis"] == src["s_sis"], "left"))
     exists = F.col("t_course_id").isNotNull()
     source_known = F.col("s_course_id").isNotNull()
-    action = (F.when(exists & F.lit(copy_existing), F.lit("COPY"))
+    # whatever is copied needs its source, whether or not the target exists
+    needs_source = F.lit(copy_existing) | ~exists
+    action = (F.when(~source_known & needs_source, F.lit("SOURCE_NOT_FOUND"))
+              .when(exists & F.lit(copy_existing), F.lit("COPY"))
               .when(exists, F.lit("EXISTS"))
-              .when(~source_known & F.lit(account_from == "source"), F.lit("SOURCE_NOT_FOUND"))
               .otherwise(F.lit("CREATE")))
     account = (F.col("s_account_id") if account_from == "source"
                else F.col("_req_account").cast("long"))

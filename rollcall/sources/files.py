@@ -10,6 +10,13 @@ from pyspark.sql.types import StructType
 from rollcall.schemas import MAPPINGS, WATERMARK
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system; a denied or broken look-up
+    raises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_mapping(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with a header and an explicit schema.  Types are never inferred:
     an all-digit course code such as ``0042`` must stay text."""
@@ -24,9 +31,9 @@ def read_watermark(spark: SparkSession, path: str | None) -> DataFrame:
     starts from 0.  If several rows were appended, the largest wins."""
     if path is None:
         return spark.range(1).select(F.lit(0).cast("long").alias("EventEnrollmentID"))
-    try:
+    if path_exists(spark, path):  # any other failure to read the state is an error
         state = read_mapping(spark, path, WATERMARK)
-    except Exception:  # first run: no state file yet
+    else:
         state = spark.createDataFrame([], WATERMARK)
     return state.agg(F.coalesce(F.max("EventEnrollmentID"), F.lit(0).cast("long"))
                      .alias("EventEnrollmentID"))

@@ -33,8 +33,15 @@ from pyspark.sql import functions as F
 
 from rollcall.operators.identity import directory, directory_changes
 from rollcall.operators.enroll import current_students
-from rollcall.plans.sync import sync_batch
+from rollcall.plans.sync import run_messages, sync_batch
 from rollcall.sources.feed import read_feed_stream
+from rollcall.sources.files import path_exists
+
+
+class StoppedOnBadRow(RuntimeError):
+    """Stop mode met a row that can't be processed.  The batch's outputs up to
+    that row are written, its state isn't: the batch stays unfinished and is
+    replayed, so that no later row is lost."""
 
 
 # state table -> its key columns (None: a set of rows, e.g. a ledger)
@@ -42,10 +49,9 @@ STATE_KEYS = {"logins": ["e"], "ids": ["c"], "roster": ["account", "course_code"
 
 
 def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # nothing written there yet
-        return None
+    """The table at ``path``, or None where nothing was written yet.  A state
+    that exists but can't be read raises: it must not count as no state."""
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def _read_state(spark: SparkSession, state_dir: str, name: str, before: int) -> DataFrame | None:
@@ -133,6 +139,16 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
     res.rejects.write.mode("overwrite").parquet(os.path.join(out_dir, "rejects", part))
     res.report().write.mode("overwrite").parquet(os.path.join(out_dir, "report", part))
 
+    res.login_changes.write.mode("overwrite").parquet(os.path.join(out_dir, "login_changes", part))
+    res.enrollments.write.mode("overwrite").parquet(os.path.join(out_dir, "enrollments", part))
+    run_messages(res).write.mode("overwrite").parquet(os.path.join(out_dir, "messages", part))
+
+    if options.get("on_error") == "stop":
+        bad = res.rejects.orderBy("event_id", "pos").first()
+        if bad is not None:
+            res.release()
+            raise StoppedOnBadRow(f"batch {batch_id}: event {bad['event_id']}: {bad['reason']}")
+
     new_logins, new_ids = directory_changes(res.firsts, res.login_changes)
     _write_state(new_logins, state_dir, "logins", batch_id)
     _write_state(new_ids, state_dir, "ids", batch_id)
@@ -141,7 +157,7 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
         _write_state(res.letters.where(F.col("letter") == name).select(F.col("email").alias("Email")),
                      state_dir, f"ledger_{name}", batch_id)
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        for name in ["logins", "ids", "roster"] + [f"ledger_{n}" for n in (ledgers or {})]:
+        for name in ["logins", "ids", "roster", "watermark"] + [f"ledger_{n}" for n in (ledgers or {})]:
             _compact(spark, state_dir, name, batch_id)
     # the watermark goes last: a batch that failed before this line is replayed
     _write_state(res.watermark(), state_dir, "watermark", batch_id)
