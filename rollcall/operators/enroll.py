@@ -40,10 +40,10 @@ def plan_enrollments(rows: DataFrame, enrollments: DataFrame | None,
     The state before the batch is the roster snapshot ``enrollments`` or,
     if given, ``current`` (account, course_code) pairs.
 
-    Columns: event_id, pos, action, account, course_code, course_name, plus
+    Columns: event_id, pos, action, account, email, course_code, course_name, plus
     the payload of an ENROLL (type, enrollment_state, notify)."""
     keys = ["account", "course_code"]
-    base = rows.select("event_id", "pos", "account", "course_code", "course_name", "status")
+    base = rows.select("event_id", "pos", "account", "email", "course_code", "course_name", "status")
     # the roster enters as the "status before the first event" of a pair;
     # only the batch's pairs are looked up (a broadcast semi-join of the
     # large roster with the batch's pairs, then the distinct)
@@ -58,7 +58,7 @@ def plan_enrollments(rows: DataFrame, enrollments: DataFrame | None,
               .otherwise(F.lit(DROP_NOT_FOUND)))
     enroll = action == F.lit(ENROLL)
     return j.select(
-        "event_id", "pos", action.alias("action"), "account", "course_code", "course_name",
+        "event_id", "pos", action.alias("action"), "account", "email", "course_code", "course_name",
         F.when(enroll, F.lit(STUDENT_ENROLLMENT)).alias("type"),
         F.when(enroll, F.lit("active")).alias("enrollment_state"),
         F.when(enroll, F.lit(True)).alias("notify"))

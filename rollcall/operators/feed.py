@@ -89,25 +89,42 @@ def _codes(codes: DataFrame, column: str, distinct: bool = False) -> DataFrame:
     return out.distinct() if distinct else out
 
 
-def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode",
-                  online_override: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(kept, skipped) by the skip list (J4).  With ``online_override`` a row
-    of a listed course is kept when the course is online (J6).  Membership
-    never matches a null code (anti/semi-join semantics, not NOT IN).
+def flag_listed(rows: DataFrame, codes: DataFrame, code_col: str, flag: str) -> DataFrame:
+    """``rows`` with the boolean ``flag``: whether ``codes`` lists the row's
+    course code (never for a null code).  One left join to the distinct list,
+    so both sides of a split come from a single read of the rows.
 
     No broadcast hint: the list is broadcast when the planner's estimate or
     AQE's measured size is under the broadcast threshold, and shuffled
     otherwise."""
-    codes = _codes(skip, code_col, distinct=online_override)
+    listed = _codes(codes, code_col, distinct=True).withColumn("_listed", F.lit(True))
+    joined = rows.join(listed, rows["course_code"] == listed["_code"], "left")
+    return joined.select(*[rows[c] for c in rows.columns],
+                         F.coalesce(F.col("_listed"), F.lit(False)).alias(flag))
+
+
+def flag_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode",
+                 online_override: bool = False) -> DataFrame:
+    """``rows`` with ``skipped`` (J4); with ``online_override`` a row of a
+    listed course isn't skipped when the course is online (J6)."""
+    flagged = flag_listed(rows, skip, code_col, "skipped")
+    if online_override:
+        online = F.coalesce(F.col("is_online"), F.lit(False))
+        flagged = flagged.withColumn("skipped", F.col("skipped") & ~online)
+    return flagged
+
+
+def split_skipped(rows: DataFrame, skip: DataFrame, code_col: str = "CourseCode",
+                  online_override: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(kept, skipped) by the skip list (J4, J6; see ``flag_skipped``).
+    Membership never matches a null code.  Where only one side is used, the
+    plain semi/anti-join needs no distinct list."""
     if not online_override:
+        codes = _codes(skip, code_col)
         on = rows["course_code"] == codes["_code"]
         return rows.join(codes, on, "left_anti"), rows.join(codes, on, "left_semi")
-    flagged = rows.join(codes.withColumn("_listed", F.lit(True)),
-                        rows["course_code"] == codes["_code"], "left").drop("_code")
-    listed = F.coalesce(F.col("_listed"), F.lit(False))
-    online = F.coalesce(F.col("is_online"), F.lit(False))
-    return (flagged.where(~listed | online).drop("_listed"),
-            flagged.where(listed & ~online).drop("_listed"))
+    flagged = flag_skipped(rows, skip, code_col, online_override)
+    return flagged.where(~F.col("skipped")).drop("skipped"), flagged.where("skipped").drop("skipped")
 
 
 def only_listed(rows: DataFrame, allow: DataFrame, code_col: str = "CourseCode") -> tuple[DataFrame, DataFrame]:
@@ -124,6 +141,15 @@ def validate_email(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where(~bad), rows.where(bad).withColumn("reason", F.lit("BLANK_EMAIL"))
 
 
+def reject_reasons(rows: DataFrame, courses: DataFrame, key: str = "sis_course_id") -> DataFrame:
+    """``rows`` with ``reason``: BLANK_EMAIL (P13), else UNKNOWN_COURSE (J10),
+    else null, in one pass over the rows."""
+    flagged = flag_listed(rows, courses, key, "_known")
+    reason = (F.when(is_blank("email"), F.lit("BLANK_EMAIL"))
+              .when(~F.col("_known"), F.lit("UNKNOWN_COURSE")))
+    return flagged.withColumn("reason", reason).drop("_known")
+
+
 def split_unknown_courses(rows: DataFrame, courses: DataFrame,
                           key: str = "sis_course_id") -> tuple[DataFrame, DataFrame]:
     """(good, rejects) by course existence (J10).  The course list holds one

@@ -25,6 +25,8 @@ one e-mail holding a third of the feed never lands in one task whole.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,17 +73,27 @@ def directory(users: DataFrame, logins: DataFrame, only_logins: DataFrame | None
             directory_by_external_id(users, only_ids))
 
 
-def resolve_first_rows(rows: DataFrame, users: DataFrame | None, logins: DataFrame | None,
+def first_rows(rows: DataFrame) -> DataFrame:
+    """The first row of each e-mail key: ``e`` and its order, customer, names
+    and address as ``f_`` columns."""
+    return first_per_key(rows.withColumn("e", email_key("email")), ["e"], ["event_id", "pos"],
+                         ["customer_id", "first_name", "last_name", "email"], prefix="f_")
+
+
+def resolve_first_rows(rows: DataFrame | None, users: DataFrame | None, logins: DataFrame | None,
                        by_external_id: bool = True,
-                       lookups: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                       lookups: tuple[DataFrame, DataFrame] | Callable | None = None,
+                       first: DataFrame | None = None) -> DataFrame:
     """One row per e-mail key: the first row's order and customer, its action
     and the account every row of that e-mail resolves to.  ``lookups`` (see
-    ``directory``) replaces the users/logins snapshot, e.g. a snapshot plus
-    the changes of earlier micro-batches."""
-    r = rows.withColumn("e", email_key("email"))
-    firsts = first_per_key(r, ["e"], ["event_id", "pos"],
-                           ["customer_id", "first_name", "last_name", "email"], prefix="f_")
-    if lookups is not None:
+    ``directory``; or a function of the asked e-mail keys ``e`` and external
+    ids ``c``) replaces the users/logins snapshot, e.g. a snapshot plus the
+    changes of earlier micro-batches.  ``first`` (``first_rows``) may be passed
+    when it was kept: it is read several times here."""
+    firsts = first_rows(rows) if first is None else first
+    if callable(lookups):
+        by_login, by_ext = lookups(firsts.select("e"), firsts.select(F.col("f_customer_id").alias("c")))
+    elif lookups is not None:
         by_login, by_ext = lookups
     else:
         by_login, by_ext = directory(users, logins, only_logins=firsts.select("e"),
@@ -103,14 +115,14 @@ def resolve_first_rows(rows: DataFrame, users: DataFrame | None, logins: DataFra
         new_acct = F.when(c.isNull(), F.concat(F.lit("new-login:"), F.col("e"))) \
                     .otherwise(F.concat(F.lit("new:"), c))
         account = F.coalesce(F.col("dir_e"), F.col("dir_c"), new_acct)
-        return f.withColumn("first_action", action).withColumn("account", account).drop("_nseq")
+        return f.withColumns({"first_action": action, "account": account}).drop("_nseq")
     else:
         # allow-list variant: e-mail, else a new user per e-mail
         f = (f.withColumn("dir_c", F.lit(None).cast("string"))
               .withColumn("dir_login", F.lit(None).cast("string")))
         action = F.when(F.col("dir_e").isNotNull(), F.lit(RETURNING)).otherwise(F.lit(NEW))
         account = F.coalesce(F.col("dir_e"), F.concat(F.lit("new-login:"), F.col("e")))
-    return f.withColumn("first_action", action).withColumn("account", account)
+    return f.withColumns({"first_action": action, "account": account})
 
 
 def resolve_users(rows: DataFrame, users: DataFrame | None, logins: DataFrame | None,

@@ -13,7 +13,9 @@ a key (A5), and what was the value of the previous row of the same key (W3).
   the (long) order column; the lag inside a block is a window over
   ``(key, block)`` — at most ``block`` order values — and the first row of a
   block takes the last value of the key's nearest earlier block, found from a
-  per-block summary (an aggregation, one row per key and block).
+  per-block summary (an aggregation, one row per key and block).  With sparse
+  order values that summary is as long as the rows, so it is cut into blocks
+  of blocks the same way.
 """
 
 from __future__ import annotations
@@ -23,7 +25,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BLOCK = 1 << 16
+# Three levels of 2**21 order values cover all 63 bits of a long, so no window
+# sorts more than 2**21 rows, or summaries, of one key at any spread of ids.
+DEFAULT_BLOCK = 1 << 21
+LEVELS = 3
 
 
 def first_per_key(df: DataFrame, keys, order, values, prefix: str = "first_") -> DataFrame:
@@ -58,30 +63,41 @@ def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
     ``order_col`` must be a long; the result is exact for any distribution of
     keys."""
     out_col = out_col or "prev_" + value_col
-    block = block or DEFAULT_BLOCK
+    return _previous(df, list(keys), order_col, value_col, tie_col, out_col,
+                     block or DEFAULT_BLOCK, initial, LEVELS)
+
+
+def _previous(df: DataFrame, keys: list, order_col: str, value_col: str, tie_col: str | None,
+              out_col: str, block: int, initial: DataFrame | None, levels: int) -> DataFrame:
+    """``previous_value`` with ``levels`` levels of blocks: the summary of one
+    level's blocks (their last value each) is the next level's input."""
     order = [order_col] + ([tie_col] if tie_col else [])
-    keys = list(keys)
-    b = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block)))
-    w_in = Window.partitionBy(*keys, "_blk").orderBy(*order)
-    b = b.withColumn("_pl", F.lag(F.struct(F.col(value_col).alias("value"))).over(w_in))
-
-    summary = (b.groupBy(*keys, "_blk")
-               .agg(F.max(F.struct(*[F.col(c) for c in order],
-                                   F.col(value_col).alias("value"))).alias("_lastrow")))
-    w_blk = Window.partitionBy(*keys).orderBy("_blk")
-    summary = summary.select(
-        *keys, "_blk",
-        F.lag(F.struct(F.col("_lastrow.value").alias("value"))).over(w_blk).alias("_pb"))
-    if initial is not None:
-        init = initial.select(*keys, F.struct(F.col("value").alias("value")).alias("_init"))
-        on_init = reduce(lambda x, y: x & y, [summary[k].eqNullSafe(init[k]) for k in keys])
-        summary = (summary.join(init, on_init, "left")
-                   .select(*[summary[k] for k in keys], "_blk",
-                           F.coalesce(F.col("_pb"), F.col("_init")).alias("_pb")))
+    value = F.struct(F.col(value_col).alias("value"))
+    if levels == 1:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        lagged = df.select(*df.columns, F.lag(value).over(w).alias(out_col))
+        return lagged if initial is None else _with_initial(lagged, keys, out_col, initial)
+
+    blk = f"_blk{levels}"
+    b = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block)))
+    w_in = Window.partitionBy(*keys, blk).orderBy(*order)
+    b = b.withColumn("_pl", F.lag(value).over(w_in))
+    summary = (b.groupBy(*keys, blk)
+               .agg(F.max(F.struct(*order, F.col(value_col).alias("value"))).alias("_last"))
+               .select(*keys, blk, F.col("_last.value").alias("_value")))
+    summary = _previous(summary, keys, blk, "_value", None, "_pb", block, initial, levels - 1)
 
     on = reduce(lambda x, y: x & y,
-                [F.col("_b." + k).eqNullSafe(F.col("_s." + k)) for k in keys + ["_blk"]])
+                [F.col("_b." + k).eqNullSafe(F.col("_s." + k)) for k in keys + [blk]])
     joined = b.alias("_b").join(summary.alias("_s"), on, "left")
     return joined.select(
         *[F.col("_b." + c) for c in df.columns],
         F.coalesce(F.col("_b._pl"), F.col("_s._pb")).alias(out_col))
+
+
+def _with_initial(df: DataFrame, keys: list, out_col: str, initial: DataFrame) -> DataFrame:
+    """``out_col`` filled from ``initial`` where it is null."""
+    init = initial.select(*keys, F.struct(F.col("value").alias("value")).alias("_init"))
+    on = reduce(lambda x, y: x & y, [df[k].eqNullSafe(init[k]) for k in keys])
+    rest = [df[c] for c in df.columns if c != out_col]
+    return df.join(init, on, "left").select(*rest, F.coalesce(df[out_col], F.col("_init")).alias(out_col))

@@ -154,6 +154,15 @@ letters AS (
   SELECT event_id, pos, account, email, 'covid' FROM cand
   WHERE NOT EXISTS (SELECT 1 FROM ledger_covid l WHERE lower(trim(l.Email)) = cand.e))"""
 
+# the allow-list form mails users it found, from their first row after creation
+LETTERS_LISTED = """
+cand AS (SELECT event_id, pos, account, email, e FROM (
+  SELECT *, row_number() OVER (PARTITION BY e ORDER BY event_id, pos) AS nth FROM resolved
+  WHERE action = 'RETURNING') x WHERE nth = 1),
+letters AS (
+  SELECT event_id, pos, account, email, 'intro' AS letter FROM cand
+  WHERE NOT EXISTS (SELECT 1 FROM ledger_intro l WHERE lower(trim(l.Email)) = cand.e))"""
+
 LETTERS_REGEX = """
 letters AS (
   SELECT event_id, pos, account, email, 'intro' AS letter FROM cand
@@ -279,11 +288,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY account, course_code ORDER BY ev
 SQL["sync_batch"] = _with(*SYNC_BASE) + ACTIONS
 
 SQL["sync_only_listed"] = _with(FEED_ONE, WM, SKIP_ALLOW, DIRECTORY, IDENTITY_BY_EMAIL, COURSES, KNOWN,
-                                STUDENT_ENR, ENROLL, LEDGERS, LETTERS_EXACT) + ACTIONS
+                                STUDENT_ENR, ENROLL, LEDGERS.rsplit(",\ncand", 1)[0], LETTERS_LISTED) + ACTIONS
 
 SQL["sync_report"] = _with(*SYNC_BASE) + """
 SELECT (SELECT count(*) FROM past) AS rows_seen,
-       (SELECT count(*) FROM feed WHERE event_id <= (SELECT w FROM wm)) AS rows_below_watermark,
        (SELECT count(*) FROM skipped) AS skipped,
        (SELECT count(*) FROM kept WHERE email IS NULL OR trim(email) = '') AS rejected_blank_email,
        (SELECT count(*) FROM bad_course) AS rejected_unknown_course,
@@ -304,23 +312,28 @@ SELECT greatest(coalesce((SELECT max(event_id) FROM past), (SELECT w FROM wm)),
        AS EventEnrollmentID"""
 
 SQL["sync_messages"] = _with(*SYNC_BASE) + """
-SELECT event_id, pos,
-       CASE action
-         WHEN 'ENROLL' THEN 'Enrolled ' || account || ' in ' || coalesce(course_name, '') || ' (' || course_code || ')'
-         WHEN 'DROP' THEN 'Dropped ' || account || ' from ' || coalesce(course_name, '') || ' (' || course_code || ')'
-         ELSE 'Tried to drop ' || account || ' from ' || coalesce(course_name, '') || ' (' || course_code
-              || ') but they were not enrolled' END AS message
-FROM enroll
+SELECT n.event_id, n.pos, n.action AS kind,
+       coalesce(k.email, '') || CASE n.action WHEN 'ENROLL' THEN ': enrolled in ' WHEN 'DROP' THEN ': removed from '
+         ELSE ': no enrollment in ' END || coalesce(n.course_name, '') || ' [' || n.course_code || ']'
+       || CASE n.action WHEN 'DROP_NOT_FOUND' THEN ' to remove' ELSE '' END AS message
+FROM enroll n JOIN known k ON k.event_id = n.event_id AND k.pos = n.pos
 UNION ALL
-SELECT event_id, pos, 'Added new account ' || e || ' for ' || coalesce(first_name || ' ' || last_name, '')
+SELECT event_id, pos, 'CREATE_USER', e || ': new account for ' || coalesce(first_name || ' ' || last_name, '')
 FROM firsts WHERE first_action = 'NEW'
 UNION ALL
-SELECT event_id, pos, 'Skipping enrollment for ' || coalesce(email, '') || ', found course code '
-       || coalesce(course_code, '') || ' in the skip list' FROM skipped
+SELECT event_id, pos, 'ENROLL_INTRO', account || ': enrolled in the introduction INTRO-101'
+FROM firsts WHERE first_action = 'NEW'
+UNION ALL
+SELECT event_id, pos, 'LETTER', email || ': ' || letter || ' letter due' FROM letters
+UNION ALL
+SELECT event_id, pos, 'SKIP', coalesce(email, '') || ': course ' || coalesce(course_code, '') || ' is on the skip list'
+FROM skipped
 UNION ALL
-SELECT event_id, pos, 'Email address is empty' FROM kept WHERE email IS NULL OR trim(email) = ''
+SELECT event_id, pos, 'BLANK_EMAIL', 'course ' || coalesce(course_code, '') || ': no e-mail address'
+FROM kept WHERE email IS NULL OR trim(email) = ''
 UNION ALL
-SELECT event_id, pos, 'Course code ' || coalesce(course_code, '') || ' is not in the LMS' FROM bad_course"""
+SELECT event_id, pos, 'UNKNOWN_COURSE', email || ': course ' || coalesce(course_name, '') || ' ['
+       || coalesce(course_code, '') || '] is unknown' FROM bad_course"""
 
 
 # ------------------------------------------------------ maintenance side --

@@ -61,9 +61,12 @@ def _course_by_sis(courses: DataFrame) -> DataFrame:
 def transfer_roster(pairs: DataFrame, enrollments: DataFrame) -> DataFrame:
     """Students of each source course enrolled in its target (D12):
     StudentEnrollment, active, notify.  ``pairs``: from_sis, to_sis."""
+    wanted = pairs.select("from_sis", "to_sis").distinct()
+    # only the roster of the courses asked for is made distinct
     students = (with_role(enrollments, STUDENT_ENROLLMENT)
-                .select(F.col("sis_course_id").alias("from_sis"), "user_id").distinct())
-    j = pairs.select("from_sis", "to_sis").distinct().join(students, "from_sis")
+                .select(F.col("sis_course_id").alias("from_sis"), "user_id")
+                .join(pairs.select("from_sis"), "from_sis", "left_semi").distinct())
+    j = wanted.join(students, "from_sis")
     return j.select("from_sis", "to_sis", "user_id", F.lit(STUDENT_ENROLLMENT).alias("type"),
                     F.lit("active").alias("enrollment_state"), F.lit(True).alias("notify"))
 

@@ -229,7 +229,9 @@ def propagate_staff(pairs: DataFrame, enrollments: DataFrame, ta_role_id: int |
     enrollment_state, notify, role_id."""
     staff = (enrollments.where(F.col("type").isin(TEACHER_ENROLLMENT, TA_ENROLLMENT)
                                & F.col("enrollment_state").isin(*ENROLLED_STATES))
-             .select(F.col("sis_course_id").alias("source_sis"), "user_id", "type").distinct())
+             .select(F.col("sis_course_id").alias("source_sis"), "user_id", "type")
+             # only the staff of the courses asked for is made distinct
+             .join(pairs.select("source_sis"), "source_sis", "left_semi").distinct())
     j = pairs.select("source_sis", "new_sis").distinct().join(staff, "source_sis")
     is_ta = F.col("type") == TA_ENROLLMENT
     return j.select("new_sis", "user_id", "type", F.lit("active").alias("enrollment_state"),

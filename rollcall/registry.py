@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 
 from rollcall import standins as S
 from rollcall.operators.feed import (
-    date_window, feed_rows, flatten_feed, only_listed, since, split_skipped,
-    split_unknown_courses, validate_email,
+    date_window, feed_rows, flag_skipped, flatten_feed, only_listed, reject_reasons, since, split_skipped,
 )
 from rollcall.operators.sets import union_all
 from rollcall.operators.shape import drop_strict, keep, zip_rows
@@ -72,9 +71,7 @@ def feed_since_watermark(spark, d):
 def feed_skip_list(spark, d):
     """Rows split by the skip list (``skipped`` flag)."""
     t = S.Tables(spark, d)
-    kept, skipped = split_skipped(_rows(t), S.skip_list(t))
-    return union_all(kept.select("event_id", "pos", "course_code", F.lit(False).alias("skipped")),
-                     skipped.select("event_id", "pos", "course_code", F.lit(True).alias("skipped")))
+    return flag_skipped(_rows(t), S.skip_list(t)).select("event_id", "pos", "course_code", "skipped")
 
 
 @query
@@ -99,10 +96,8 @@ def feed_rejects(spark, d):
     unknown course."""
     t = S.Tables(spark, d)
     kept, _ = split_skipped(_rows(t, "mixed"), S.skip_list(t))
-    good, bad_email = validate_email(kept)
-    _, bad_course = split_unknown_courses(good, S.courses(t))
-    return union_all(bad_email.select("event_id", "pos", "course_code", "reason"),
-                     bad_course.select("event_id", "pos", "course_code", "reason"))
+    bad = reject_reasons(kept, S.courses(t)).where(F.col("reason").isNotNull())
+    return bad.select("event_id", "pos", "course_code", "reason")
 
 
 # ------------------------------------------------------------ identity ----
@@ -154,15 +149,16 @@ def enroll_final_state(spark, d):
 
 def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact"):
     """The sync of one batch on the stand-in inputs; each registered sync
-    query reads one of its outputs (only that output's plan runs, and the
-    shared rows and identity are computed once)."""
+    query reads one of its outputs, and only that output is planned.  What
+    outputs share is written to the checkpoint folder, so nothing stays cached.
+    The allow-list form has one kind of letter."""
     t = S.Tables(spark, d)
     return sync_batch(
         S.feed(t), S.users(t), S.logins(t), S.student_enrollments(t), S.courses(t),
         watermark=S.watermark_value(t),
         skip=None if allow else S.skip_list(t), allow=S.allow_list(t) if allow else None,
-        ledgers=_ledgers(t), letter_match=letter_match, new_user_course=INTRO_COURSE,
-        on_error=on_error)
+        ledgers={"intro": S.ledger_intro(t)} if allow else _ledgers(t), letter_match=letter_match,
+        new_user_course=INTRO_COURSE, on_error=on_error, reuse="checkpoint")
 
 
 @query(name="sync_batch")

@@ -103,17 +103,23 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
         row = wm_state.agg(F.max("EventEnrollmentID")).first()
         watermark = max(int(initial_watermark), int(row[0]) if row[0] is not None else 0)
 
-    by_login, by_ext = directory(users, logins)
     seen_logins = _read_state(spark, state_dir, "logins", batch_id)
-    if seen_logins is not None:
-        # a login learnt in a batch wins over the snapshot's
-        by_login = (by_login.join(seen_logins.select("e"), "e", "left_anti")
-                    .unionByName(seen_logins.groupBy("e").agg(F.max_by("dir_e", "batch_id").alias("dir_e"))))
     seen_ids = _read_state(spark, state_dir, "ids", batch_id)
-    if seen_ids is not None:
-        last = seen_ids.groupBy("c").agg(F.max(F.struct("batch_id", "dir_c", "dir_login")).alias("_l")) \
-                       .select("c", F.col("_l.dir_c").alias("dir_c"), F.col("_l.dir_login").alias("dir_login"))
-        by_ext = by_ext.join(last.select("c"), "c", "left_anti").unionByName(last)
+
+    def lookups(emails: DataFrame, external_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The directory and what was learnt since, for the batch's keys only."""
+        by_login, by_ext = directory(users, logins, only_logins=emails, only_ids=external_ids)
+        if seen_logins is not None:
+            # a login learnt in a batch wins over the snapshot's
+            seen = seen_logins.join(emails, "e", "left_semi")
+            by_login = (by_login.join(seen.select("e"), "e", "left_anti")
+                        .unionByName(seen.groupBy("e").agg(F.max_by("dir_e", "batch_id").alias("dir_e"))))
+        if seen_ids is not None:
+            last = (seen_ids.join(external_ids, "c", "left_semi")
+                    .groupBy("c").agg(F.max(F.struct("batch_id", "dir_c", "dir_login")).alias("_l"))
+                    .select("c", F.col("_l.dir_c").alias("dir_c"), F.col("_l.dir_login").alias("dir_login")))
+            by_ext = by_ext.join(last.select("c"), "c", "left_anti").unionByName(last)
+        return by_login, by_ext
 
     current = current_students(enrollments)
     roster = _read_state(spark, state_dir, "roster", batch_id)
@@ -129,8 +135,8 @@ def run_micro_batch(batch: DataFrame, batch_id: int, *, out_dir: str, state_dir:
         all_ledgers[name] = led if sent is None else led.select("Email").unionByName(sent.select("Email"))
 
     res = sync_batch(batch, users, logins, enrollments, courses, watermark=watermark, skip=skip,
-                     allow=allow, ledgers=all_ledgers, lookups=(by_login, by_ext), current=current,
-                     **options)
+                     allow=allow, ledgers=all_ledgers, lookups=lookups, current=current,
+                     count_late=True, **options)
 
     part = f"batch_id={batch_id}"
     res.actions().write.mode("overwrite").parquet(os.path.join(out_dir, "actions", part))

@@ -67,3 +67,14 @@ def test_previous_value_initial_state(spark):
     got = {(r.k, r.o): (r.prev_v["value"] if r.prev_v else None)
            for r in previous_value(df, ["k"], "o", "v", block=1, initial=init).collect()}
     assert got == {("a", 1): "A0", ("a", 2): "x", ("b", 5): None, ("c", 9): "C0"}
+
+
+def test_previous_value_sparse_ids_of_one_key(spark):
+    """Time-like ids: every block holds one row, and the blocks of blocks are
+    exact too."""
+    rng = random.Random(5)
+    ids = sorted(rng.sample(range(1 << 50), 200))
+    df = spark.createDataFrame([("k", i, str(i)) for i in ids], "k string, o long, v string")
+    got = {r.o: r.prev_v["value"] if r.prev_v else None
+           for r in previous_value(df, ["k"], "o", "v", block=1 << 12).collect()}
+    assert got == {i: (str(ids[n - 1]) if n else None) for n, i in enumerate(ids)}
