@@ -14,11 +14,11 @@ FEED_ONE = """
 feed AS (
   SELECT event_id, 0::INTEGER AS pos,
          CASE WHEN event_type = 'error' THEN 'DROPPED' ELSE 'ENROLLED' END AS status,
-         json_extract_string(props, '$.k') AS course_code,
-         'Course ' || json_extract_string(props, '$.k') AS course_name,
+         CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 * (user_id // 150) AS VARCHAR) AS course_code,
+         'Course ' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) + 100 * (user_id // 150) AS VARCHAR) AS course_name,
          event_type = 'purchase' AS is_online,
          CAST(user_id AS VARCHAR) AS customer_id,
-         'U' || CAST((user_id + 60 * (event_id % 2)) % 120 AS VARCHAR) || '@x.org' AS email,
+         'U' || CAST(CASE WHEN event_id % 10 = 3 THEN 0 ELSE user_id + (event_id % 2) * (1 - 2 * (user_id % 2)) END AS VARCHAR) || '@x.org' AS email,
          'F' || CAST(user_id AS VARCHAR) AS first_name,
          'L' || CAST(user_id AS VARCHAR) AS last_name,
          ts AS created
@@ -29,12 +29,12 @@ FEED_MIXED = """
 feed AS (
   SELECT e.event_id, coalesce(s.pos, 0) AS pos, s.pos AS pos_raw,
          CASE WHEN e.event_type = 'error' THEN 'DROPPED' ELSE 'ENROLLED' END AS status,
-         json_extract_string(e.props, '$.k') AS course_code,
-         'Course ' || json_extract_string(e.props, '$.k') AS course_name,
+         CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) + 100 * (e.user_id // 150) AS VARCHAR) AS course_code,
+         'Course ' || CAST(CAST(json_extract_string(e.props, '$.k') AS BIGINT) + 100 * (e.user_id // 150) AS VARCHAR) AS course_name,
          e.event_type = 'purchase' AS is_online,
          CAST(s.uid AS VARCHAR) AS customer_id,
          CASE WHEN s.uid IS NOT NULL THEN
-           'U' || CAST((s.uid + 60 * (e.event_id % 2)) % 120 AS VARCHAR) || '@x.org' END AS email,
+           'U' || CAST(CASE WHEN e.event_id % 10 = 3 THEN 0 ELSE s.uid + (e.event_id % 2) * (1 - 2 * (s.uid % 2)) END AS VARCHAR) || '@x.org' END AS email,
          'F' || CAST(s.uid AS VARCHAR) AS first_name,
          'L' || CAST(s.uid AS VARCHAR) AS last_name,
          e.ts AS created
@@ -61,7 +61,7 @@ good AS (SELECT * FROM kept WHERE email IS NOT NULL AND trim(email) <> '')"""
 DIRECTORY = """
 users AS (
   SELECT c_custkey AS id,
-         CASE WHEN c_custkey % 3 = 0 THEN 'U' || CAST(c_custkey % 120 AS VARCHAR) || '@x.org'
+         CASE WHEN c_custkey % 3 = 0 THEN 'U' || CAST(c_custkey AS VARCHAR) || '@x.org'
               ELSE 'old' || CAST(c_custkey AS VARCHAR) || '@y.org' END AS login_id,
          CAST(c_custkey AS VARCHAR) AS sis_user_id, c_name AS name
   FROM customer WHERE c_custkey % 3 <> 2),
@@ -121,9 +121,10 @@ bad_course AS (SELECT * FROM resolved x WHERE NOT EXISTS (SELECT 1 FROM courses
 
 STUDENT_ENR = """
 enr AS (
-  SELECT o_orderkey AS id, CAST(o_orderkey % 100 AS VARCHAR) AS sis_course_id, o_custkey AS user_id,
-         'StudentEnrollment' AS type, 'active' AS enrollment_state
-  FROM orders WHERE o_orderstatus = 'O'),
+  SELECT o_orderkey AS id, CAST(o_orderkey % 100 + 100 * (o_custkey // 150) AS VARCHAR) AS sis_course_id, o_custkey AS user_id,
+         'StudentEnrollment' AS type,
+         CASE o_orderstatus WHEN 'O' THEN 'active' WHEN 'P' THEN 'invited' ELSE 'completed' END AS enrollment_state
+  FROM orders),
 cur AS (
   SELECT DISTINCT CAST(user_id AS VARCHAR) AS account, sis_course_id AS course_code FROM enr
   WHERE type = 'StudentEnrollment' AND enrollment_state IN ('active', 'invited'))"""
@@ -142,8 +143,8 @@ enroll AS (
   FROM seq s LEFT JOIN cur c ON c.account = s.account AND c.course_code = s.course_code)"""
 
 LEDGERS = """
-ledger_intro AS (SELECT 'u' || CAST(c_custkey % 300 AS VARCHAR) || '@x.org' AS Email FROM customer WHERE c_custkey % 7 = 0),
-ledger_covid AS (SELECT 'AU' || CAST(c_custkey % 200 AS VARCHAR) || '@x.org' AS Email FROM customer WHERE c_custkey % 7 = 1),
+ledger_intro AS (SELECT 'u' || CAST(c_custkey AS VARCHAR) || '@x.org' AS Email FROM customer WHERE c_custkey % 7 = 0),
+ledger_covid AS (SELECT 'AU' || CAST(c_custkey AS VARCHAR) || '@x.org' AS Email FROM customer WHERE c_custkey % 7 = 1),
 cand AS (SELECT event_id, pos, account, email, e FROM resolved WHERE rn_e = 1)"""
 
 LETTERS_EXACT = """
@@ -441,19 +442,19 @@ FROM courses WHERE sis_term_id = 'T1'"""
 
 SQL["rename_courses"] = _with(COURSES) + """
 , m AS (SELECT * FROM (
-    SELECT p_partkey % 1000 AS id, 'NS-' || CAST(p_partkey AS VARCHAR) AS NewShortName,
+    SELECT p_partkey // 2 AS id, 'NS-' || CAST(p_partkey AS VARCHAR) AS NewShortName,
            upper(p_name) || ' v' || CAST(p_partkey AS VARCHAR) AS new_name,
-           row_number() OVER (PARTITION BY p_partkey % 1000 ORDER BY p_partkey DESC) AS rk
-    FROM part WHERE p_size <= 10) x WHERE rk = 1)
+           row_number() OVER (PARTITION BY p_partkey // 2 ORDER BY p_partkey DESC) AS rk
+    FROM part) x WHERE rk = 1)
 SELECT c.course_id, c.name AS old_name, c.course_code AS old_course_code,
        coalesce(m.new_name, c.name) AS name, coalesce(m.NewShortName, c.course_code) AS course_code
 FROM m JOIN courses c ON c.course_id = m.id"""
 
 SQL["recode_courses"] = _with(COURSES) + """
 , m AS (SELECT * FROM (
-    SELECT CAST(p_partkey % 1000 AS VARCHAR) AS cur, 'R' || CAST(p_partkey AS VARCHAR) AS new,
-           row_number() OVER (PARTITION BY p_partkey % 1000 ORDER BY p_partkey DESC) AS rk
-    FROM part WHERE p_size BETWEEN 11 AND 20) x WHERE rk = 1)
+    SELECT CAST(p_partkey // 3 AS VARCHAR) AS cur, 'R' || CAST(p_partkey AS VARCHAR) AS new,
+           row_number() OVER (PARTITION BY p_partkey // 3 ORDER BY p_partkey DESC) AS rk
+    FROM part) x WHERE rk = 1)
 SELECT c.course_id, c.sis_course_id AS old_sis_course_id, m.new AS sis_course_id, m.new AS course_code
 FROM m JOIN courses c ON c.sis_course_id = m.cur"""
 
@@ -576,10 +577,10 @@ tch AS (SELECT s_nationkey AS SC,
 alt AS (SELECT n_nationkey AS SCID, n_name AS ALTSC FROM nation)"""
 
 GROUPS = """
-want AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '@x.org' AS login_id FROM orders
-         WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'P'),
-have AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '@x.org' AS login_id FROM orders
-         WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'O')"""
+want AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '.' || substr(o_orderpriority, 1, 1) || '@x.org' AS login_id
+         FROM orders WHERE o_orderstatus IN ('P', 'F')),
+have AS (SELECT 'c' || CAST(o_custkey AS VARCHAR) || '.' || substr(o_orderpriority, 1, 1) || '@x.org' AS login_id
+         FROM orders WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderkey % 2 = 0))"""
 
 SQL["group_students"] = _with(SCHOOL) + """
 SELECT a.ALTSC, s.LN, s.SEM, s.GR, s.CU, t.EM
@@ -629,5 +630,48 @@ UNION ALL
 SELECT email FROM cand WHERE NOT EXISTS (SELECT 1 FROM ledger_intro l WHERE lower(trim(l.Email)) = cand.e)"""
 
 
+# ---------------------------------------------------- sources and sinks --
+
+SQL["feed_from_json"] = SQL["feed_flatten"]
+
+SQL["catalogue_from_json"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS CourseCd, p_name AS CourseName, p_size % 2 = 0 AS IsOnline, g.pos AS group_pos,
+       CASE g.pos WHEN 0 THEN p_brand WHEN 1 THEN CAST(p_size AS VARCHAR) END AS GroupCd,
+       CASE g.pos WHEN 0 THEN p_type WHEN 1 THEN p_name END AS GroupName
+FROM part JOIN (VALUES (0, NULL::INTEGER), (1, 0), (2, 0), (2, 1)) g(n, pos) ON g.n = p_partkey % 3"""
+
+SQL["recode_from_csv"] = SQL["recode_courses"]
+
+SQL["ledger_file"] = SQL["ledger_append"]
+
+SQL["watermark_state"] = """
+SELECT CAST(floor(max(event_id) / 5) AS BIGINT) AS old_watermark, max(event_id) AS new_watermark FROM events"""
+
+SQL["snapshots_read"] = _with(COURSES, DIRECTORY) + """
+SELECT name, n, CAST(ids AS BIGINT) AS ids FROM (
+SELECT 'accounts' AS name, count(*) AS n, sum(n_nationkey) AS ids FROM nation WHERE n_nationkey % 6 <> 5
+UNION ALL SELECT 'content', count(*), sum(l_orderkey * 10 + l_linenumber) FROM lineitem
+UNION ALL SELECT 'courses', count(*), sum(course_id) FROM courses
+UNION ALL SELECT 'enrollments', count(*), sum(l_orderkey * 10 + l_linenumber) FROM lineitem
+UNION ALL SELECT 'group_members', count(*), sum(o_orderkey) FROM orders
+  WHERE o_orderstatus = 'O' OR (o_orderstatus = 'F' AND o_orderkey % 2 = 0)
+UNION ALL SELECT 'logins', count(*), sum(user_id) FROM logins
+UNION ALL SELECT 'roles', count(*), sum(id) FROM (SELECT min(p_partkey) AS id FROM part GROUP BY p_type) r
+UNION ALL SELECT 'terms', count(*), sum(r_regionkey) FROM region
+UNION ALL SELECT 'users', count(*), sum(id) FROM users) x"""
+
+SQL["roster_state"] = _with(*SYNC_BASE) + """
+, f AS (SELECT * FROM (
+  SELECT account, course_code, action,
+         row_number() OVER (PARTITION BY account, course_code ORDER BY event_id DESC, pos DESC) AS back
+  FROM enroll) x WHERE back = 1),
+st AS (SELECT account, sis_course_id AS course_code, max(id) AS last_id
+       FROM (SELECT CAST(user_id AS VARCHAR) AS account, * FROM enr) y GROUP BY 1, 2)
+SELECT coalesce(f.account, st.account) AS account, coalesce(f.course_code, st.course_code) AS course_code,
+       CASE WHEN f.account IS NULL THEN st.last_id END AS last_id
+FROM st FULL OUTER JOIN f ON f.account = st.account AND f.course_code = st.course_code
+WHERE f.action IS NULL OR f.action = 'ENROLL'"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

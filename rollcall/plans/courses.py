@@ -7,6 +7,7 @@ Every function returns change sets; nothing is applied to a live system.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,16 +51,17 @@ def course_report(courses: DataFrame, accounts: DataFrame, terms: DataFrame,
         F.coalesce(F.col("teacher"), F.lit(NO_TEACHER)).alias("teacher"))
 
 
-def names_in_order(df: DataFrame, key: str, name: str, out: str, prefix_len: int = 2) -> DataFrame:
+def names_in_order(df: DataFrame, key: str, name: str, out: str) -> DataFrame:
     """Per ``key``: the ``name`` values joined by one blank in name order
     (listagg), built in two levels so that one key with very many names is
-    not sorted in one task: names are first joined per (key, name prefix) in
-    parallel, then the parts — at most one per distinct prefix — are joined
-    in prefix order.  Byte-wise order makes prefix order agree with name
-    order, so the text equals the one-level result."""
-    parts = (df.where(F.col(name).isNotNull())
-             .groupBy(key, F.substring(name, 1, prefix_len).alias("_p"))
-             .agg(F.concat_ws(" ", F.array_sort(F.collect_list(name))).alias("_part")))
+    not sorted in one task.  Rows are dealt by sampled ranges of (key, name),
+    whatever their beginnings; each range joins its own names of a key, and
+    the parts — at most one per range — are joined in range order.  Null names
+    take no part."""
+    ranged = (df.where(F.col(name).isNotNull()).select(key, name)
+              .repartitionByRange(key, name).withColumn("_p", F.spark_partition_id()))
+    parts = ranged.groupBy(key, "_p").agg(
+        F.concat_ws(" ", F.array_sort(F.collect_list(name))).alias("_part"))
     ordered = F.array_sort(F.collect_list(F.struct("_p", "_part")))
     return parts.groupBy(key).agg(
         F.concat_ws(" ", F.transform(ordered, lambda x: x["_part"])).alias(out))
@@ -103,8 +105,15 @@ def _last_row_per_key(mapping: DataFrame, key: str, row_col: str = "_row") -> Da
 
 
 def with_file_order(mapping: DataFrame, row_col: str = "_row") -> DataFrame:
-    """Number the rows of a freshly read mapping in file order."""
-    return mapping.withColumn(row_col, F.monotonically_increasing_id())
+    """Order the rows of a freshly read mapping by file, place in the file and
+    row (splits are handed out by size, so partition order isn't file order).
+    A table that comes from no file keeps its partition order."""
+    row = F.monotonically_increasing_id()
+    try:
+        return mapping.select("*", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                            row.alias("row")).alias(row_col))
+    except AnalysisException:  # no file behind it
+        return mapping.withColumn(row_col, row)
 
 
 def rename_courses(courses: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:

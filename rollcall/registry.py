@@ -4,6 +4,7 @@ tables (rollcall.standins).  Matching DuckDB SQL is in rollcall.oracle."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from rollcall import standins as S
 from rollcall.operators.feed import (
-    date_window, feed_rows, flag_skipped, flatten_feed, only_listed, reject_reasons, since, split_skipped,
+    date_window, feed_rows, flag_skipped, flatten_catalogue, flatten_feed, only_listed, reject_reasons, since, split_skipped,
 )
+from rollcall.operators.ordered import last_per_key
 from rollcall.operators.sets import union_all
 from rollcall.operators.shape import drop_strict, keep, zip_rows
 from rollcall.operators.feed import FEED_KEEP
@@ -23,10 +25,16 @@ from rollcall.plans.access import (
 from rollcall.plans.courses import (
     copy_content, course_report, hide_until_start, plan_courses, propagate_staff,
     recode_courses, rename_courses, rename_term, resolve_term, teacher_by_email, term_matches,
+    with_file_order,
 )
 from rollcall.plans.groups import group_changes, group_difference, member_logins, students_of_counselors
 from rollcall.plans.sync import run_messages, sync_batch
 from rollcall.plans.users import last_login_report
+from rollcall.session import ensure_checkpoint_dir
+from rollcall.sources.feed import read_catalogue, read_feed
+from rollcall.sources.files import append_ledger, export_csv, read_mapping, read_watermark, write_watermark
+from rollcall.sources.lms import read_snapshot
+from rollcall.sources.sinks import upsert_state, write_change_set
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -452,5 +460,100 @@ def ledger_append(spark, d):
     return union_all(S.ledger_intro(t), sent)
 
 
+# --------------------------------------------------- sources and sinks ----
+
+def _scratch(spark, what: str) -> str:
+    """A fresh path in the session's shared folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+@query
+def feed_from_json(spark, d):
+    """The feed written as JSON Lines, read with its fixed schema (splits
+    across tasks) and flattened."""
+    path = _scratch(spark, "feed")
+    (S.feed(S.Tables(spark, d), "mixed").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .json(path))
+    flat = flatten_feed(read_feed(spark, path, multiline=False))
+    return _underscored(flat.withColumn("CreatedDate", F.date_format("CreatedDate", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
+@query
+def catalogue_from_json(spark, d):
+    """The catalogue written as JSON Lines, read with its fixed schema
+    and flattened, one row per course and course group."""
+    path = _scratch(spark, "catalogue")
+    S.catalogue(S.Tables(spark, d)).write.json(path)
+    return _underscored(flatten_catalogue(read_catalogue(spark, path, multiline=False)))
+
+
+@query
+def recode_from_csv(spark, d):
+    """The recode map exported as CSV in several files, read back
+    as text and applied in file order."""
+    t, path = S.Tables(spark, d), _scratch(spark, "recode")
+    export_csv(S.recode_map(t).repartitionByRange(4, "_row").sortWithinPartitions("_row").drop("_row"), path)
+    return recode_courses(S.courses(t), with_file_order(read_mapping(spark, path, "recode_map")))[0]
+
+
+@query
+def ledger_file(spark, d):
+    """The intro ledger as a CSV file, this batch's addresses appended,
+    read back."""
+    path = _scratch(spark, "ledger")
+    append_ledger(S.ledger_intro(S.Tables(spark, d)), path)
+    append_ledger(_sync(spark, d).letters.where(F.col("letter") == "intro"), path, "email")
+    return read_mapping(spark, path, "ledger")
+
+
+@query
+def watermark_state(spark, d):
+    """The saved watermark read, the feed past it consumed, the next
+    one saved and read back."""
+    t, path = S.Tables(spark, d), _scratch(spark, "watermark")
+    write_watermark(S.watermark(t), path)
+    old = read_watermark(spark, path).first()[0]
+    new = since(feed_rows(S.feed(t)), old).agg(F.max("event_id").alias("EventEnrollmentID"))
+    write_watermark(new, path + "-next")
+    return read_watermark(spark, path + "-next").select(
+        F.lit(old).cast("long").alias("old_watermark"), F.col("EventEnrollmentID").alias("new_watermark"))
+
+
+@query
+def snapshots_read(spark, d):
+    """Every LMS snapshot written with a column that its schema doesn't
+    know and read by its declared columns: rows and sum of ids of each."""
+    t, path = S.Tables(spark, d), _scratch(spark, "lms")
+    tables = {
+        "accounts": (S.accounts(t), "account_id"), "content": (S.content(t), "item_id"),
+        "courses": (S.courses(t), "course_id"), "enrollments": (S.staff_enrollments(t), "id"),
+        "group_members": (S.group_lists(t)[1], "id"), "logins": (S.logins(t), "user_id"),
+        "roles": (S.roles(t), "id"), "terms": (S.terms(t), "enrollment_term_id"), "users": (S.users(t), "id"),
+    }
+    out = []
+    for name, (df, key) in tables.items():
+        df.withColumn("unknown_column", F.lit(1)).write.parquet(f"{path}/{name}")
+        out.append(read_snapshot(spark, name, f"{path}/{name}").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), F.sum(key).alias("ids")))
+    return union_all(*out)
+
+
+@query
+def roster_state(spark, d):
+    """K4: the roster state (last enrollment id per account and course) after
+    this batch's change set, written to its folder and read back: dropped
+    pairs go, enrolled ones hold no id yet."""
+    t, path = S.Tables(spark, d), _scratch(spark, "changes")
+    write_change_set(_sync(spark, d).enrollments, path, "1")
+    last = last_per_key(spark.read.parquet(f"{path}/batch_id=1"), ["account", "course_code"],
+                        ["event_id", "pos"], ["action"], prefix="")
+    updates = last.select("account", "course_code", F.lit(None).cast("long").alias("last_id"),
+                          (F.col("action") != "ENROLL").alias("gone"))
+    state = S.student_enrollments(t).groupBy(
+        F.col("user_id").cast("string").alias("account"), F.col("sis_course_id").alias("course_code")).agg(
+        F.max("id").alias("last_id"))
+    return upsert_state(state, updates, ["account", "course_code"], delete_col="gone")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(REGISTRY)

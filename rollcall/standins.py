@@ -2,13 +2,18 @@
 
 These builders only give rows in the schemas the jobs expect (rollcall
 .schemas); they do none of the jobs' work.  Values are derived with plain
-column arithmetic so the inputs grow with the tables:
+column arithmetic, and rows and distinct keys grow with the tables:
 
 feed        events: event_id = EventEnrollmentID, user_id = CustomerID,
-            props.k = course code (text), event_type 'error' = DROPPED else
-            ENROLLED, ts = CreatedDate, e-mail 'U<(user_id + 60*(event_id%2)) % 120>@x.org'
+            course code = props.k + 100 * (user_id div 150), so every 150 users
+            bring 100 codes; event_type 'error' = DROPPED else ENROLLED,
+            ts = CreatedDate; e-mail 'U<user_id>@x.org', that of the other
+            user of the pair (2n, 2n + 1) on odd events, and the hot
+            'U0@x.org' where event_id % 10 = 3
 directory   customer by c_custkey % 3: 0 known by e-mail, 1 known by
             external id only, 2 unknown
+roster      orders: person o_custkey, course o_orderkey % 100 +
+            100 * (o_custkey div 150); status O active, P invited, F completed
 skip list   distinct p_size of part where p_brand = 'Brand#2' and p_size <= 15
 watermark   floor(max(event_id) / 5)
 courses     supplier with s_suppkey % 10 <> 7; sub-accounts = nation (every
@@ -21,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.schemas import (
-    ACCOUNTS, CONTENT, COURSES, ENROLLMENTS, FEED, LOGINS, ROLES, TERMS, USERS,
+    ACCOUNTS, CATALOGUE, CONTENT, COURSES, ENROLLMENTS, FEED, LOGINS, ROLES, TERMS, USERS,
 )
 
 
@@ -45,8 +50,15 @@ def _conform(df: DataFrame, schema) -> DataFrame:
 
 
 def feed_email(user_id, event_id):
-    return F.concat(F.lit("U"), ((user_id + F.lit(60) * (event_id % 2)) % 120).cast("string"),
-                    F.lit("@x.org"))
+    pair = user_id + (event_id % 2) * (F.lit(1) - F.lit(2) * (user_id % 2))
+    who = F.when(event_id % 10 == 3, F.lit(0)).otherwise(pair)
+    return F.when(user_id.isNotNull(), F.concat(F.lit("U"), who.cast("string"), F.lit("@x.org")))
+
+
+def course_code(number, person):
+    """Course code: ``number`` (0-99) in the block of 100 codes that 150
+    people share."""
+    return (number + F.lit(100) * F.floor(person / 150)).cast("string")
 
 
 def _student(uid, eid):
@@ -65,7 +77,7 @@ def feed(t: Tables, students: str = "one") -> DataFrame:
     customer user_id + 1)."""
     ev = t.events
     uid, eid = F.col("user_id"), F.col("event_id")
-    code = F.get_json_object(F.col("props"), "$.k")
+    code = course_code(F.get_json_object(F.col("props"), "$.k").cast("long"), uid)
     one = F.array(_student(uid, eid))
     if students == "mixed":
         studs = (F.when(eid % 20 == 0, F.array_remove(F.array(F.lit(None).cast(FEED["Students"].dataType.elementType)), None))
@@ -89,7 +101,7 @@ def feed(t: Tables, students: str = "one") -> DataFrame:
 def users(t: Tables) -> DataFrame:
     c = t.customer.where(F.col("c_custkey") % 3 != 2)
     k = F.col("c_custkey")
-    login = F.when(k % 3 == 0, F.concat(F.lit("U"), (k % 120).cast("string"), F.lit("@x.org"))) \
+    login = F.when(k % 3 == 0, F.concat(F.lit("U"), k.cast("string"), F.lit("@x.org"))) \
              .otherwise(F.concat(F.lit("old"), k.cast("string"), F.lit("@y.org")))
     out = c.select(k.alias("id"), F.col("c_name").alias("name"), F.col("c_name").alias("short_name"),
                    F.col("c_name").alias("sortable_name"), login.alias("login_id"),
@@ -194,14 +206,17 @@ def staff_enrollments(t: Tables) -> DataFrame:
 
 
 def student_enrollments(t: Tables) -> DataFrame:
-    """Prior student roster for the sync: open orders, person = o_custkey,
-    course = o_orderkey % 100 as text."""
-    o = t.orders.where(F.col("o_orderstatus") == "O")
-    out = o.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 100).alias("course_id"),
-                   (F.col("o_orderkey") % 100).cast("string").alias("sis_course_id"),
+    """Prior student roster for the sync: one enrollment per order, person =
+    o_custkey, state by o_orderstatus."""
+    code = course_code(F.col("o_orderkey") % 100, F.col("o_custkey"))
+    state = (F.when(F.col("o_orderstatus") == "O", F.lit("active"))
+             .when(F.col("o_orderstatus") == "P", F.lit("invited")).otherwise(F.lit("completed")))
+    out = t.orders.select(
+                   F.col("o_orderkey").alias("id"), code.cast("long").alias("course_id"),
+                   code.alias("sis_course_id"),
                    F.col("o_custkey").alias("user_id"), F.lit("StudentEnrollment").alias("type"),
                    F.lit("StudentEnrollment").alias("role"), F.lit(None).cast("long").alias("role_id"),
-                   F.lit("active").alias("enrollment_state"))
+                   state.alias("enrollment_state"))
     return _conform(out, ENROLLMENTS)
 
 
@@ -212,13 +227,13 @@ def no_enrollments(spark: SparkSession) -> DataFrame:
 def ledger_intro(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     return (t.customer.where(k % 7 == 0)
-            .select(F.concat(F.lit("u"), (k % 300).cast("string"), F.lit("@x.org")).alias("Email")))
+            .select(F.concat(F.lit("u"), k.cast("string"), F.lit("@x.org")).alias("Email")))
 
 
 def ledger_covid(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     return (t.customer.where(k % 7 == 1)
-            .select(F.concat(F.lit("AU"), (k % 200).cast("string"), F.lit("@x.org")).alias("Email")))
+            .select(F.concat(F.lit("AU"), k.cast("string"), F.lit("@x.org")).alias("Email")))
 
 
 def roles(t: Tables) -> DataFrame:
@@ -330,20 +345,30 @@ def revoke_requests(t: Tables) -> DataFrame:
 
 
 def rename_map(t: Tables) -> DataFrame:
-    """Rename map keyed by course id from ``part`` (sizes 1-10); a course id
-    may appear twice, the later row (larger p_partkey) wins."""
-    p = t.part.where(F.col("p_size") <= 10)
+    """Rename map from ``part``: two parts name the course id p_partkey div 2,
+    the later row (larger p_partkey) wins."""
     k = F.col("p_partkey")
-    return p.select((k % 1000).alias("id"), F.concat(F.lit("NS-"), k.cast("string")).alias("NewShortName"),
-                    F.concat(F.upper(F.col("p_name")), F.lit(" v"), k.cast("string")).alias("New name"),
-                    k.alias("_row"))
+    return t.part.select(F.floor(k / 2).alias("id"), F.concat(F.lit("NS-"), k.cast("string")).alias("NewShortName"),
+                         F.concat(F.upper(F.col("p_name")), F.lit(" v"), k.cast("string")).alias("New name"),
+                         k.alias("_row"))
 
 
 def recode_map(t: Tables) -> DataFrame:
-    p = t.part.where(F.col("p_size").between(11, 20))
+    """Recode map from ``part``: three parts name the code p_partkey div 3."""
+    k = F.col("p_partkey")
+    return t.part.select(F.floor(k / 3).cast("string").alias("currentcoursecode"),
+                         F.concat(F.lit("R"), k.cast("string")).alias("coursecodenew"), k.alias("_row"))
+
+
+def catalogue(t: Tables) -> DataFrame:
+    """Course catalogue from ``part``: p_partkey % 3 course groups (none, one
+    or two) per course."""
     k = F.col("p_partkey")
-    return p.select((k % 1000).cast("string").alias("currentcoursecode"),
-                    F.concat(F.lit("R"), k.cast("string")).alias("coursecodenew"), k.alias("_row"))
+    group = lambda cd, name: F.struct(cd.alias("GroupCd"), name.alias("GroupName"))
+    both = F.array(group(F.col("p_brand"), F.col("p_type")), group(F.col("p_size").cast("string"), F.col("p_name")))
+    return _conform(t.part.select(k.cast("string").alias("CourseCd"), F.col("p_name").alias("CourseName"),
+                                  (F.col("p_size") % 2 == 0).alias("IsOnline"),
+                                  F.slice(both, 1, (k % 3).cast("int")).alias("CourseGroups")), CATALOGUE)
 
 
 def role_logins(t: Tables) -> DataFrame:
@@ -374,11 +399,14 @@ def school_tables(t: Tables) -> dict[str, DataFrame]:
 
 
 def group_lists(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(wanted logins, group members): customers with a '5-LOW' order in
-    status 'P' / in status 'O'."""
-    o = t.orders.where(F.col("o_orderpriority") == "5-LOW")
-    login = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@x.org")).alias("login_id")
-    want = o.where(F.col("o_orderstatus") == "P").select(login)
-    have = o.where(F.col("o_orderstatus") == "O").select(
+    """(wanted logins, group members) from ``orders``, one login per customer
+    and order priority: wanted by orders in status 'P' or 'F', members by
+    orders in status 'O' or 'F' with an even order key."""
+    even = F.col("o_orderkey") % 2 == 0
+    status = F.col("o_orderstatus")
+    login = F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("."),
+                     F.substring("o_orderpriority", 1, 1), F.lit("@x.org")).alias("login_id")
+    want = t.orders.where((status == "P") | (status == "F")).select(login)
+    have = t.orders.where((status == "O") | ((status == "F") & even)).select(
         F.col("o_orderkey").alias("id"), F.lit(None).cast("string").alias("name"), login)
     return want, have

@@ -58,6 +58,41 @@ def test_rename_map_last_row_wins_and_unknown(spark):
     assert rows_of(unknown, "course_id") == [(7,)]
 
 
+def test_file_order_follows_the_files_not_the_splits(spark, tmp_path):
+    """A large later file is read in a split of its own, before the small
+    first file; its rows still come after the first file's."""
+    from rollcall.sources import read_mapping
+    (tmp_path / "map").mkdir()
+    (tmp_path / "map" / "a.csv").write_text("currentcoursecode,coursecodenew\n0001,first\n0002,only\n")
+    (tmp_path / "map" / "b.csv").write_text("currentcoursecode,coursecodenew\n" + "".join(
+        f"X{i},y\n" for i in range(5000)) + "0001,second\n0001,last\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        m = with_file_order(read_mapping(spark, str(tmp_path / "map"), "recode_map"))
+        changes, unknown = recode_courses(courses_df(spark, ["0001", "0002"]), m)
+        assert rows_of(changes, "old_sis_course_id", "sis_course_id") == [("0001", "last"), ("0002", "only")]
+        assert unknown.count() == 5000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_names_with_one_shared_beginning_are_dealt_over_ranges(spark):
+    """Names that all begin alike don't meet in one group."""
+    from rollcall.plans.courses import names_in_order
+    df = spark.range(20000).select(F.lit(1).alias("k"), F.concat(F.lit("Prof. "), F.col("id").cast("string")).alias("name"))
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = names_in_order(df, "k", "name", "t").first().t
+        sizes = [r["count"] for r in df.repartitionByRange("k", "name")
+                 .groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert got == " ".join(sorted(f"Prof. {i}" for i in range(20000)))
+    assert len(sizes) > 1 and max(sizes) < 10000
+
+
 def test_recode(spark):
     c = courses_df(spark, ["0042", "B"])
     m = spark.createDataFrame([("0042", "X42", 1), ("ZZ", "Q", 2)], "currentcoursecode string, coursecodenew string, _row long")

@@ -145,11 +145,29 @@ def test_counts_on_driver_tables(spark):
                      watermark=S.watermark_value(t), skip=S.skip_list(t))
     rep = res.report().first().asDict()
     assert rep["rows_seen"] == 8000 and rep["skipped"] == 1195
-    assert (rep["returning_users"], rep["changed_logins"], rep["new_users"]) == (6725, 44, 36)
+    assert (rep["returning_users"], rep["changed_logins"], rep["new_users"]) == (6705, 68, 32)
     assert rep["rejected_unknown_course"] == 685
-    assert (rep["enrolled"], rep["dropped"], rep["drops_not_found"]) == (4901, 303, 916)
+    assert (rep["enrolled"], rep["dropped"], rep["drops_not_found"]) == (4901, 327, 892)
     assert rep["new_watermark"] == 9999 and rep["old_watermark"] == 1999
-    assert res.actions().where(F.col("action") == "CREATE_USER").count() == 36
+    assert res.actions().where(F.col("action") == "CREATE_USER").count() == 32
+
+
+def test_standin_keys_grow_with_the_tables(spark):
+    """Ten times the rows bring about ten times the e-mails, courses and
+    mapping keys."""
+    from rollcall import standins as S
+    from rollcall.operators.feed import feed_rows
+    n = []
+    for sf in ("sf0.01", "sf0.1"):
+        t = S.Tables(spark, f"/root/testdata/{sf}")
+        rows = feed_rows(S.feed(t))
+        n.append([rows.select("email").distinct().count(), rows.select("course_code").distinct().count(),
+                  S.student_enrollments(t).select("sis_course_id").distinct().count(),
+                  S.ledger_intro(t).distinct().count(), S.rename_map(t).select("id").distinct().count(),
+                  S.recode_map(t).select("currentcoursecode").distinct().count()])
+        hot = rows.where(F.col("email") == "U0@x.org").count()
+        assert hot >= rows.count() // 10  # the hot e-mail stays
+    assert all(8 * a <= b <= 12 * a for a, b in zip(*n)), n
 
 
 def test_sync_with_a_hot_email_across_many_blocks(spark, monkeypatch):
