@@ -5,8 +5,8 @@ non-overlapping per kind: ``assign`` (a secret-like name, a separator and a
 value of 8 or more characters; the span is the whole match), ``access``
 (``AKIA`` and more, 16 or more characters) and ``hex`` (32 or more of 0-9a-f).
 
-The method adds spans of kind ``random``: tokens of ``MIN_TOKEN`` or more
-characters of an inferred encoding (hexadecimal, base32, base36 or base64 in
+The method adds spans of kind ``random``: tokens (also as the value of
+``NAME=VALUE``, whatever the name) of ``MIN_TOKEN`` or more characters of an inferred encoding (hexadecimal, base32, base36 or base64 in
 either alphabet) that mix letters and digits and in which randomness can't be
 rejected.  The battery:
 
@@ -52,7 +52,7 @@ MIN_ASSIGNED = 8
 MIN_TOKEN = 20
 FDR = 0.05
 P_CELLS = 200  # of -ln p, 0.1 wide: p-values below e**-20 share the last cell
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_TOKEN)
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_TOKEN)
 MASK = "[SECRET]"
 
 _DIGITS, _UPPER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

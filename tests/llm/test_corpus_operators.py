@@ -412,6 +412,27 @@ def test_random_tokens_are_added_and_structured_ones_not(spark, odd, none):
     assert secrets_scan.scan(odd).count() == 12 and secrets_scan.mask(none).count() == 0
 
 
+def test_random_values_of_unlisted_names_are_found_and_masked(spark):
+    rng = np.random.default_rng(17)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    keys = ["".join(rng.choice(list(letters), 40)) for _ in range(80)]
+    names = ["client_key=", "auth=", "https://h/x?a=1&sig=", "a_name_that_is_as_long_as_a_token_1="]
+    data = [(i, names[i % 4] + x + ("", "=", "==", "&b=2")[i // 4 % 4], "s") for i, x in enumerate(keys)]
+    data += [(100 + i, f"auth={c * 10}{i}{c * 14}", "s") for i, c in enumerate("abcdefghij")]
+    docs = docs_of(spark, data)
+    out = {r["doc_id"]: r["spans"] for r in rows(secrets_scan.scan(docs))}
+    masked = {r["doc_id"]: r["text"] for r in rows(secrets_scan.mask(docs))}
+    caught = 0
+    for i, x in enumerate(keys):
+        name, pad = names[i % 4], ("", "=", "==", "")[i // 4 % 4]
+        start = len(name)
+        if out[i] == f"random:{start}:{start + 40 + len(pad)}":
+            caught += 1
+            assert masked[i] == name + "[SECRET]" + ("&b=2" if i // 4 % 4 == 3 else "")
+    assert caught >= 70
+    assert all(out[100 + i] == "" and masked[100 + i] == data[80 + i][1] for i in range(10))
+
+
 # --------------------------------------------------- near-duplicates ----
 
 def brute_components(data):
