@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm import textvec as V
-from rollcall.llm.common import bitmap, fixed_binary, in_bitmap, list_column, map_batches, stash
+from rollcall.llm.common import bitmap, fixed_binary, free_name, in_bitmap, list_column, map_batches, stash, text_key
 from rollcall.llm.components import connected_components
 
 SHINGLE = 5
@@ -295,8 +295,9 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(100 * common >= THRESHOLD * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, kept."""
+def _groups(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, rep, n, node, ...) of every document and (node, doc_id, rep,
+    component) of every class, with the class's first document."""
     seen = stash(sketch(docs, doc_id, text), "sketches")
     classes = stash(seen.where("n > 0").groupBy("node").agg(
         F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("bands").alias("bands"),
@@ -327,7 +328,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     comps = connected_components(links.unionByName(more), "a", "b")
 
     named = classes.join(comps, "node", "left").select(
-        "node", "doc_id", F.coalesce("component", "node").alias("component"))
+        "node", "doc_id", "rep", F.coalesce("component", "node").alias("component"))
+    return seen, named
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id, kept."""
+    seen, named = _groups(docs, doc_id, text)
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     groups = named.join(smallest, "component").select("node", "component_id")
     out = seen.select("doc_id", "n", "node").join(groups, "node", "left")
@@ -337,12 +344,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept: one per group (repeated rows of the
-    kept id included once), and all without words."""
-    kept = near_duplicates(docs, doc_id, text).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), (F.col("n_shingles") > 0).alias("_some"), "n_shingles")
-    kept = kept.groupBy("_kept_id", "_some").agg(F.count("*").alias("_n")).drop("_n")
+    """The rows of ``docs`` that are kept: one per group (a row of its smallest
+    id, null only where all are), whatever ids groups share, and all without
+    words."""
+    _, named = _groups(docs, doc_id, text)
+    kept = named.groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("first"))
+    kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.rep").alias("_kept_rep"))
     some = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    rows = docs.join(kept, docs[doc_id].eqNullSafe(F.col("_kept_id")) & (some == F.col("_some")), "left_semi")
-    with_words = rows.where(some).dropDuplicates([doc_id])
-    return with_words.unionByName(rows.where(~some))
+    with_words = docs.where(some)
+    rep = free_name(docs.columns, "rep")
+    with_words = with_words.withColumn(rep, F.xxhash64(doc_id, text))
+    rows = with_words.join(kept, with_words[doc_id].eqNullSafe(F.col("_kept_id"))
+                           & (with_words[rep] == F.col("_kept_rep")), "left_semi")
+    # repeated rows of a group's first document: one of them
+    key = free_name(rows.columns, "text_key")
+    rows = rows.withColumn(key, text_key(F.col(text))).dropDuplicates([doc_id, key]).drop(key, rep)
+    return rows.unionByName(docs.where(~some))

@@ -484,6 +484,17 @@ def test_near_duplicate_edges(spark, odd, none):
     assert near_dedup.near_duplicates(none).count() == 0 and near_dedup.drop_near_duplicates(none).count() == 0
 
 
+def test_unlinked_texts_with_null_or_equal_ids_stay(spark):
+    texts = [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(6)]
+    near = texts[5] + " tail"
+    docs = docs_of(spark, [(None, t, "s") for t in texts[:3]] + [(None, texts[0], "s"), (7, texts[3], "s"),
+                           (7, texts[4], "s"), (7, texts[4], "s"), (8, texts[5], "s"), (9, near, "s"),
+                           (None, near, "s"), (None, "", "s"), (None, None, "s"), (7, near, "s"), (7, near, "s")])
+    kept = rows(near_dedup.drop_near_duplicates(docs))
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == sorted(
+        [(0, t) for t in texts[:3]] + [(7, texts[3]), (7, texts[4]), (7, near), (0, ""), (0, "")])
+
+
 # ---------------------------------------------------------- pipeline ----
 
 def test_pipeline_stages(spark):
