@@ -227,6 +227,26 @@ def test_passages_found_and_clean_documents_left(spark, odd, none):
     assert substring_dedup.passages(none).count() == 0
 
 
+def test_passages_close_together_stay_apart(spark):
+    a = [f"w{i}" for i in range(60)] + [f"new{i}" for i in range(45)] + [f"w{i}" for i in range(60, 120)]
+    b = ["x", *[f"w{i}" for i in range(120)]]
+    anchors = [(i, i + 1) for i in range(0, 51, 5)] + [(i + 45, i + 1) for i in range(60, 111, 5)]
+    assert substring_dedup.passages_of(a, b, anchors) == [(0, 60, 1, 61, 60), (105, 165, 61, 121, 60)]
+    assert substring_dedup.passages_of(a[:60] + a[105:], b, [(i, i + 1) for i in range(0, 111, 5)]) == [
+        (0, 120, 1, 121, 120)]
+    assert substring_dedup.passages_of(a[11:154], b, [(p - 11, h) for p, h in anchors if 11 <= p < 150]) == []
+    data = []
+    for n in range(31, 50, 2):  # ids n and 100 + n
+        p1, p2, new = ([f"{c}{n}v{i}" for i in range(60)] for c in "pqn")
+        data += [(n, " ".join(p1 + new[:n] + p2), "s"), (100 + n, " ".join(p1 + p2), "s")]
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    held = collections.defaultdict(set)
+    for r in out:
+        s, e = (r["start"], r["end"]) if r["doc_id"] < 100 else (r["other_start"], r["other_end"])
+        held[min(r["doc_id"], r["other_id"])] |= set(range(s, e))
+    assert all(set(range(60)) | set(range(60 + n, 120 + n)) <= held[n] for n in range(31, 50, 2))
+
+
 # -------------------------------------------------------------- chat ----
 
 def expected_chat(turns):
