@@ -247,6 +247,25 @@ def test_passages_close_together_stay_apart(spark):
     assert all(set(range(60)) | set(range(60 + n, 120 + n)) <= held[n] for n in range(31, 50, 2))
 
 
+def test_edited_passages_share_seeds_down_to_the_identity(spark):
+    rng = np.random.default_rng(19)
+    data, n = [], 0
+    for every in (5, 6, 7, 8, 10):
+        for _ in range(20):
+            w = [f"p{n}v{i}" for i in range(60)]
+            edited = [f"e{n}v{i}" if i % every == every - 1 else x for i, x in enumerate(w)]
+            noise = [[f"r{x}" for x in rng.integers(0, 10**9, 40)] for _ in range(4)]
+            data += [(n, " ".join(noise[0] + w + noise[1]), "s"),
+                     (1000 + n, " ".join(noise[2] + edited + noise[3]), "s")]
+            n += 1
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert all(r["n_equal"] >= 0.8 * max(r["end"] - r["start"], r["other_end"] - r["other_start"]) for r in out)
+    assert {(min(r["doc_id"], r["other_id"]), max(r["doc_id"], r["other_id"])) for r in out} == {
+        (i, 1000 + i) for i in range(n)}
+    p, h = np.array([3, 4, 5, 6, 7, 8, 20, 5]), np.array([13, 14, 15, 16, 17, 18, 30, 40])
+    assert sorted(substring_dedup.thin(p, h)) == [(3, 13), (5, 40), (7, 17), (8, 18), (20, 30)]
+
+
 # -------------------------------------------------------------- chat ----
 
 def expected_chat(turns):
