@@ -266,6 +266,29 @@ def test_edited_passages_share_seeds_down_to_the_identity(spark):
     assert sorted(substring_dedup.thin(p, h)) == [(3, 13), (5, 40), (7, 17), (8, 18), (20, 30)]
 
 
+def test_passages_of_common_lines_are_found(spark):
+    rng = np.random.default_rng(23)
+
+    def noise(n):
+        return [f"r{x}" for x in rng.integers(0, 10**9, n)]
+
+    data = []
+    for g in range(10):  # ids g and 100 + g share 60 words, and other texts hold any two lines in a row of them
+        lines = [[f"g{g}l{i}w{j}" for j in range(10)] for i in range(6)]
+        data += [(i + g, " ".join(noise(30) + sum(lines, []) + noise(30)), "s") for i in (0, 100)]
+        data += [(1000 + 100 * g + 10 * i + j, " ".join(noise(20) + lines[i] + lines[i + 1] + noise(20)), "s")
+                 for i in range(5) for j in range(8)]
+    # a hub that holds the lines in a list as well as in full
+    lines = [[f"tl{i}w{j}" for j in range(10)] for i in range(6)]
+    toc = sum([x + noise(80) for x in lines], [])
+    data += [(50, " ".join(toc + noise(70) + sum(lines, []) + toc), "s"),
+             (51, " ".join(noise(30) + sum(lines, []) + noise(5)), "s")]
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in out} == {
+        *(frozenset((g, 100 + g)) for g in range(10)), frozenset((50, 51))}
+    assert all(r["n_equal"] == 60 for r in out)
+
+
 # -------------------------------------------------------------- chat ----
 
 def expected_chat(turns):
