@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
-    chat_format, decontaminate, knn, mixing, near_dedup, quality, secrets_scan, substring_dedup, toxicity, warc,
+    chat_format, decontaminate, exact_dedup, knn, mixing, near_dedup, quality, secrets_scan, substring_dedup, toxicity,
+    warc,
 )
 from rollcall.llm.common import stash, table
 
@@ -77,6 +78,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose texts are equal but for blanks."""
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's stages one after the other."""
     import corpus_pipeline
@@ -86,7 +92,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_warc, op2_topk, op3_quality, op4_substring_dedup, op5_chat_format, op6_decontaminate, op7_mixing,
-           op8_toxicity, op9_secrets, op10_near_dedup, pipeline)
+           op8_toxicity, op9_secrets, op10_near_dedup, op12_exact_dedup, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -150,6 +156,12 @@ e AS (SELECT a, b FROM k JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b W
 r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(seen) AS c FROM r GROUP BY node) m ON m.node = d.doc_id""",
+    "op12_exact_dedup": r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       row_number() OVER w = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY c DESC, doc_id NULLS LAST)""",
 }
 
 
