@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
-    chat_format, decontaminate, exact_dedup, knn, mixing, near_dedup, quality, secrets_scan, substring_dedup, toxicity,
-    warc,
+    chat_format, decontaminate, exact_dedup, knn, mixing, near_dedup, periodic_runs, quality, secrets_scan,
+    substring_dedup, toxicity, warc,
 )
 from rollcall.llm.common import stash, table
 
@@ -83,6 +83,13 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, one in ten of which is given
+    a repeated tail."""
+    found = periodic_runs.runs_of(table(spark, sf_dir, "documents"), change=periodic_runs.repeat_tail)
+    return periodic_runs.report(found)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's stages one after the other."""
     import corpus_pipeline
@@ -92,7 +99,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_warc, op2_topk, op3_quality, op4_substring_dedup, op5_chat_format, op6_decontaminate, op7_mixing,
-           op8_toxicity, op9_secrets, op10_near_dedup, op12_exact_dedup, pipeline)
+           op8_toxicity, op9_secrets, op10_near_dedup, op12_exact_dedup, op13_periodic_runs,
+           pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -162,6 +170,32 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c,
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY c DESC, doc_id NULLS LAST)""",
+    "op13_periodic_runs": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT *, len(w) AS n, xor(4294967295, list_reduce(flatten(list_prepend([4294967295::BIGINT],
+        [[ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(doc_id::VARCHAR, '')])),
+        lambda s, x: CASE WHEN x >= 0 THEN xor(s, x) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END)) AS h
+      FROM d),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n ELSE n END AS a FROM h),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+x AS (SELECT rid, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS w
+      FROM (SELECT *, unnest(range(n)) AS i FROM (SELECT rid, n, w, coalesce(a, n) AS a, coalesce(p, 1) AS p FROM p))),
+e AS (SELECT x.rid, y.i - x.i AS q, x.i FROM x JOIN x y ON x.rid = y.rid AND x.w = y.w AND y.i > x.i
+      AND 3 * (y.i - x.i) <= x.n),
+g AS (SELECT rid, q, min(i) AS s, count(*) AS m
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS g FROM e) GROUP BY rid, q, g
+      HAVING count(*) + q >= greatest(24, 3 * q)),
+r AS (SELECT rid, s, m + q AS len, min(q) AS q FROM (SELECT rid, s, q, m FROM g) GROUP BY rid, s, m + q),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY rid ORDER BY len::DOUBLE / q DESC, s, q) = 1),
+l AS (SELECT rid, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+      FROM r GROUP BY rid),
+k AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS kept FROM x
+      WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.rid = x.rid AND x.i >= r.s + r.q AND x.i < r.s + r.len) GROUP BY rid)
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.s AS start, b.len AS length, b.q AS period,
+       1000 * b.len // b.q AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+       sha256(coalesce(k.kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN l USING (rid) LEFT JOIN b USING (rid) LEFT JOIN k USING (rid)""",
 }
 
 
