@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm import (
     chat_format, decontaminate, exact_dedup, knn, mixing, near_dedup, periodic_runs, quality, secrets_scan,
-    substring_dedup, toxicity, warc,
+    source_divergence, substring_dedup, toxicity, warc,
 )
 from rollcall.llm.common import stash, table
 
@@ -78,6 +78,11 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms."""
+    return source_divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose texts are equal but for blanks."""
     return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
@@ -99,8 +104,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_warc, op2_topk, op3_quality, op4_substring_dedup, op5_chat_format, op6_decontaminate, op7_mixing,
-           op8_toxicity, op9_secrets, op10_near_dedup, op12_exact_dedup, op13_periodic_runs,
-           pipeline)
+           op8_toxicity, op9_secrets, op10_near_dedup, op11_source_divergence,
+           op12_exact_dedup, op13_periodic_runs, pipeline)
     return {f.__name__: f for f in own}
 
 
@@ -164,6 +169,26 @@ e AS (SELECT a, b FROM k JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b W
 r AS (SELECT doc_id AS node, doc_id AS seen FROM d UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT node, min(seen) AS c FROM r GROUP BY node) m ON m.node = d.doc_id""",
+    "op11_source_divergence": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(coalesce({_LOWER}, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS cl FROM t GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS c FROM t JOIN k USING (lang, term) GROUP BY ALL),
+a AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, k.cl FROM g JOIN k USING (lang)
+      LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT *, (1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER s + 5 * count(*) OVER s))::BIGINT AS p,
+             (1 + (1000000000::HUGEINT * (cl + 5)) // (sum(cl) OVER s + 5 * count(*) OVER s))::BIGINT AS q
+      FROM a WINDOW s AS (PARTITION BY lang, source)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+      FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+          LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE c > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 50""",
     "op12_exact_dedup": r"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS c,
            sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
