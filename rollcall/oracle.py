@@ -288,6 +288,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY account, course_code ORDER BY ev
 
 SQL["sync_batch"] = _with(*SYNC_BASE) + ACTIONS
 
+SQL["sync_stream"] = SQL["sync_batch"]
+
 SQL["sync_only_listed"] = _with(FEED_ONE, WM, SKIP_ALLOW, DIRECTORY, IDENTITY_BY_EMAIL, COURSES, KNOWN,
                                 STUDENT_ENR, ENROLL, LEDGERS.rsplit(",\ncand", 1)[0], LETTERS_LISTED) + ACTIONS
 

@@ -62,7 +62,7 @@ class SyncResult:
     on_error: str = "quarantine"
     by_external_id: bool = True
     nested: bool = True
-    reuse: str | None = "persist"
+    reuse: str | Callable | None = "persist"
     lookups: tuple[DataFrame, DataFrame] | Callable | None = None
     current: DataFrame | None = None
     count_late: bool = False
@@ -242,19 +242,23 @@ class SyncResult:
 
     def release(self) -> None:
         """Drop the persisted shared inputs once every output is written."""
+        if self.reuse != "persist":
+            return
         for name in ("rows", "_first_rows", "_firsts", "_resolved"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
 
 
-def _reuser(reuse: str | None):
+def _reuser(reuse: str | Callable | None):
+    if callable(reuse):
+        return reuse
     if reuse == "persist":
         return lambda df: df.persist(StorageLevel.MEMORY_AND_DISK)
     if reuse == "checkpoint":
         return materialize
     if reuse is None:
         return lambda df: df
-    raise ValueError("reuse must be 'persist', 'checkpoint' or None")
+    raise ValueError("reuse must be 'persist', 'checkpoint', a function or None")
 
 
 def _as_state(spark, watermark) -> DataFrame:
@@ -270,7 +274,7 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
                ledgers: dict[str, DataFrame] | None = None, letter_match: str = "exact",
                new_user_course: str | None = None, on_error: str = "quarantine",
                by_external_id: bool | None = None, nested: bool = True,
-               reuse: str | None = "persist",
+               reuse: str | Callable | None = "persist",
                lookups: tuple[DataFrame, DataFrame] | Callable | None = None,
                current: DataFrame | None = None, count_late: bool = False) -> SyncResult:
     """Plan one batch of the feed.  ``feed`` is the nested feed (or canonical
@@ -282,8 +286,8 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     by the outputs: ``reuse="persist"`` (default) keeps them in executor
     memory/disk until ``release()`` (a lost executor's part is recomputed from
     lineage); ``reuse="checkpoint"`` writes them to the shared checkpoint
-    folder and cuts the lineage (long runs, streaming micro-batches); ``None``
-    recomputes them per output.
+    folder and cuts the lineage (long runs), a function keeps them its own way
+    (streaming micro-batches); ``None`` recomputes them per output.
 
     ``lookups`` (identity.directory shape, or a function of the batch's e-mail
     and external-id keys that returns it) and ``current`` (account,

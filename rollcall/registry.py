@@ -35,6 +35,7 @@ from rollcall.sources.feed import read_catalogue, read_feed
 from rollcall.sources.files import append_ledger, export_csv, read_mapping, read_watermark, write_watermark
 from rollcall.sources.lms import read_snapshot
 from rollcall.sources.sinks import upsert_state, write_change_set
+from rollcall.streaming.sync_stream import read_output, sync_stream
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -201,6 +202,25 @@ def sync_messages(spark, d):
     return run_messages(_sync(spark, d))
 
 
+@query(name="sync_stream")
+def _sync_stream(spark, d):
+    """T-2 K2 S13: the feed landed in two parts, each followed by a scheduled
+    run of the stream on the state that the run before committed; the actions
+    of all committed batches."""
+    t, path = S.Tables(spark, d), _scratch(spark, "stream")
+    feed, cut = S.feed(t), (t.events.agg(F.max("event_id")).first()[0] or 0) * 3 // 5
+    for part in (F.col("EventEnrollmentID") <= cut, F.col("EventEnrollmentID") > cut):
+        (feed.where(part).write.mode("append").option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+         .json(f"{path}/feed"))
+        sync_stream(spark, f"{path}/feed", out_dir=f"{path}/out", state_dir=f"{path}/state",
+                    checkpoint_location=f"{path}/checkpoint", users=S.users(t), logins=S.logins(t),
+                    enrollments=S.student_enrollments(t), courses=S.courses(t), multiline=False,
+                    initial_watermark=S.watermark_value(t), skip=S.skip_list(t), ledgers=_ledgers(t),
+                    new_user_course=INTRO_COURSE, compact_every=1).awaitTermination()
+    return read_output(spark, f"{path}/out", f"{path}/state", "actions").select(
+        "event_id", "pos", "action", "account", "course_code")
+
+
 # ------------------------------------------------------------- courses ----
 
 TERM_NAME = "AMERICA"

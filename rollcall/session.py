@@ -2,13 +2,14 @@
 
 On a cluster the session is created by the platform; ``get_session`` only
 builds one for local runs and tests.  ``materialize`` cuts lineage with a
-reliable checkpoint into the shared folder named by ``spark.checkpoint.dir``
-(never a local checkpoint: executors can be lost at any time).
+table written to the shared folder named by ``spark.checkpoint.dir`` (never a
+local checkpoint: executors can be lost at any time).
 """
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,9 +92,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result is written to the shared checkpoint
-    folder and its lineage is cut, so a lost executor does not force a
-    recompute of everything upstream."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet and read it back: its lineage is cut, so a
+    lost executor costs unfinished tasks only, and later plans know its size.
+    By default the table goes to the shared checkpoint folder and is removed
+    when the driver's JVM ends; a caller that names ``path`` removes it."""
+    spark = df.sparkSession
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kept-{uuid.uuid4().hex}"
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,5 +1,6 @@
 """Readers and writers.  Every reader takes an explicit schema."""
 
+from rollcall.sources.commits import CommitConflict, CommitLog  # noqa: F401
 from rollcall.sources.files import (  # noqa: F401
     append_ledger, export_csv, read_mapping, read_watermark, write_watermark,
 )
