@@ -635,6 +635,7 @@ SELECT email FROM cand WHERE NOT EXISTS (SELECT 1 FROM ledger_intro l WHERE lowe
 # ---------------------------------------------------- sources and sinks --
 
 SQL["feed_from_json"] = SQL["feed_flatten"]
+SQL["feed_from_array"] = SQL["feed_flatten"]
 
 SQL["catalogue_from_json"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS CourseCd, p_name AS CourseName, p_size % 2 = 0 AS IsOnline, g.pos AS group_pos,
@@ -642,6 +643,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS CourseCd, p_name AS CourseName, p_size % 2
        CASE g.pos WHEN 0 THEN p_type WHEN 1 THEN p_name END AS GroupName
 FROM part JOIN (VALUES (0, NULL::INTEGER), (1, 0), (2, 0), (2, 1)) g(n, pos) ON g.n = p_partkey % 3"""
 
+SQL["catalogue_from_array"] = SQL["catalogue_from_json"]
+
 SQL["recode_from_csv"] = SQL["recode_courses"]
 
 SQL["ledger_file"] = SQL["ledger_append"]

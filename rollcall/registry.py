@@ -33,6 +33,7 @@ from rollcall.plans.users import last_login_report
 from rollcall.session import ensure_checkpoint_dir
 from rollcall.sources.feed import read_catalogue, read_feed
 from rollcall.sources.files import append_ledger, export_csv, read_mapping, read_watermark, write_watermark
+from rollcall.sources.json_array import write_json_array
 from rollcall.sources.lms import read_snapshot
 from rollcall.sources.sinks import upsert_state, write_change_set
 from rollcall.streaming.sync_stream import read_output, sync_stream
@@ -498,6 +499,16 @@ def feed_from_json(spark, d):
     return _underscored(flat.withColumn("CreatedDate", F.date_format("CreatedDate", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
 
 
+@query
+def feed_from_array(spark, d):
+    """The feed written as JSON array files, read by several tasks a file
+    and flattened."""
+    path = _scratch(spark, "feed")
+    write_json_array(S.feed(S.Tables(spark, d), "mixed"), path, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    flat = flatten_feed(read_feed(spark, path))
+    return _underscored(flat.withColumn("CreatedDate", F.date_format("CreatedDate", "yyyy-MM-dd HH:mm:ss.SSSSSS")))
+
+
 @query
 def catalogue_from_json(spark, d):
     """The catalogue written as JSON Lines, read with its fixed schema
@@ -507,6 +518,15 @@ def catalogue_from_json(spark, d):
     return _underscored(flatten_catalogue(read_catalogue(spark, path, multiline=False)))
 
 
+@query
+def catalogue_from_array(spark, d):
+    """The catalogue written as JSON array files, read by several tasks
+    a file and flattened."""
+    path = _scratch(spark, "catalogue")
+    write_json_array(S.catalogue(S.Tables(spark, d)), path)
+    return _underscored(flatten_catalogue(read_catalogue(spark, path)))
+
+
 @query
 def recode_from_csv(spark, d):
     """The recode map exported as CSV in several files, read back

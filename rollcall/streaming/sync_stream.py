@@ -46,7 +46,7 @@ from rollcall.operators.identity import directory, directory_changes
 from rollcall.plans.sync import SyncResult, run_messages, sync_batch
 from rollcall.session import materialize
 from rollcall.sources.commits import CommitLog, list_names, remove
-from rollcall.sources.feed import read_feed_stream
+from rollcall.sources.feed import feed_file_stream, read_feed, read_feed_stream
 from rollcall.sources.files import path_exists
 
 
@@ -350,11 +350,17 @@ def sync_stream(spark: SparkSession, feed_dir: str, *, out_dir: str, state_dir:
                 **options):
     """Start the streaming sync; returns the StreamingQuery.  With
     ``available_now`` every landed file is processed and the query stops
-    (the reference's hourly/daily run); otherwise it keeps polling."""
-    stream = read_feed_stream(spark, feed_dir, multiline=multiline,
-                              max_files_per_trigger=max_files_per_trigger)
+    (the reference's hourly/daily run); otherwise it keeps polling.  Of array
+    files (``multiline``) the stream carries the names, and each micro-batch
+    reads its files split across tasks."""
+    if multiline:
+        stream = feed_file_stream(spark, feed_dir, max_files_per_trigger)
+    else:
+        stream = read_feed_stream(spark, feed_dir, False, max_files_per_trigger)
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
+        if multiline:
+            batch_df = read_feed(batch_df.sparkSession, [r.path for r in batch_df.collect()])
         run_micro_batch(batch_df, batch_id, out_dir=out_dir, state_dir=state_dir, users=users,
                         logins=logins, enrollments=enrollments, courses=courses,
                         stream=checkpoint_location, **options)
