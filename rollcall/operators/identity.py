@@ -19,8 +19,9 @@ The account of every row is the account of the first row of its ``e``:
 directory id by ``e``, else by ``c``, else ``new:<c>``.  Two customers on
 one e-mail therefore share an account, as in the reference.
 
-Skew: every per-key step is an aggregation (partial, map-side) or a join;
-one e-mail holding a third of the feed never lands in one task whole.
+Skew: every per-key step is an aggregation (partial, map-side) or a join that
+keeps the rows of heavy keys where they are (``ordered.join_per_key``); one
+e-mail holding a third of the feed never lands in one task whole.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import email_key
-from rollcall.operators.ordered import first_per_key, previous_value
+from rollcall.operators.ordered import first_per_key, join_per_key, previous_value
 
 RETURNING = "RETURNING"
 EMAIL_CHANGED = "EMAIL_CHANGED"
@@ -75,9 +76,9 @@ def directory(users: DataFrame, logins: DataFrame, only_logins: DataFrame | None
 
 def first_rows(rows: DataFrame) -> DataFrame:
     """The first row of each e-mail key: ``e`` and its order, customer, names
-    and address as ``f_`` columns."""
+    and address as ``f_`` columns, and ``e_rows``, the e-mail's number of rows."""
     return first_per_key(rows.withColumn("e", email_key("email")), ["e"], ["event_id", "pos"],
-                         ["customer_id", "first_name", "last_name", "email"], prefix="f_")
+                         ["customer_id", "first_name", "last_name", "email"], prefix="f_", count="e_rows")
 
 
 def resolve_first_rows(rows: DataFrame | None, users: DataFrame | None, logins: DataFrame | None,
@@ -132,8 +133,8 @@ def resolve_users(rows: DataFrame, users: DataFrame | None, logins: DataFrame |
     if firsts is None:
         firsts = resolve_first_rows(rows, users, logins, by_external_id)
     r = rows.withColumn("e", email_key("email"))
-    f = firsts.select("e", "f_event_id", "f_pos", "first_action", "account")
-    out = r.join(f, "e", "inner")
+    f = firsts.select("e", "f_event_id", "f_pos", "first_action", "account", "e_rows")
+    out = join_per_key(r, f, "e", "e_rows")
     is_first = (F.col("event_id") == F.col("f_event_id")) & (F.col("pos") == F.col("f_pos"))
     return (out.withColumn("action", F.when(is_first, F.col("first_action")).otherwise(F.lit(RETURNING)))
                .drop("f_event_id", "f_pos", "first_action"))

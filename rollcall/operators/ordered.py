@@ -31,13 +31,15 @@ DEFAULT_BLOCK = 1 << 21
 LEVELS = 3
 
 
-def first_per_key(df: DataFrame, keys, order, values, prefix: str = "first_") -> DataFrame:
+def first_per_key(df: DataFrame, keys, order, values, prefix: str = "first_",
+                  count: str | None = None) -> DataFrame:
     """One row per key: the order columns and ``values`` of its first row
-    (smallest ``order``), named ``prefix + column``."""
+    (smallest ``order``), named ``prefix + column``, and with ``count`` the
+    key's number of rows under that name."""
     packed = F.struct(*[F.col(c).alias(c) for c in list(order) + list(values)])
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    return agg.select(*keys, *[F.col("_first." + c).alias(prefix + c)
-                               for c in list(order) + list(values)])
+    agg = df.groupBy(*keys).agg(F.min(packed).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    return agg.select(*keys, *[F.col("_first." + c).alias(prefix + c) for c in list(order) + list(values)],
+                      *([F.col("_n").alias(count)] if count else []))
 
 
 def last_per_key(df: DataFrame, keys, order, values, prefix: str = "last_") -> DataFrame:
@@ -48,6 +50,23 @@ def last_per_key(df: DataFrame, keys, order, values, prefix: str = "last_") -> D
                                for c in list(order) + list(values)])
 
 
+HEAVY_ROWS = 100_000    # rows that make a key heavy
+HEAVY_KEYS = 10_000     # heavy keys that are broadcast at most
+
+
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, count: str) -> DataFrame:
+    """Inner join of ``rows`` with one row per key, whatever a key's share of
+    the rows.  ``count`` is a column of ``per_key``: the key's number of rows
+    (dropped here).  The at most HEAVY_KEYS keys with the most rows above
+    HEAVY_ROWS are broadcast and their rows stay where they are; of the others
+    none has more than HEAVY_ROWS rows or a HEAVY_KEYS-th of all, so the
+    shuffled join has no large key."""
+    heavy = per_key.where(F.col(count) > HEAVY_ROWS).orderBy(F.col(count).desc(), key).limit(HEAVY_KEYS)
+    names = F.broadcast(heavy.select(key))
+    light = rows.join(names, key, "left_anti").join(per_key.drop(count), key)
+    return light.unionByName(rows.join(F.broadcast(heavy.drop(count)), key))
+
+
 def previous_value(df: DataFrame, keys, order_col: str, value_col: str,
                    tie_col: str | None = None, out_col: str | None = None,
                    block: int | None = None, initial: DataFrame | None = None) -> DataFrame:

@@ -74,28 +74,37 @@ def missing_columns(df: DataFrame, names) -> list[str]:
 
 def row_index(df: DataFrame, order_cols, index_col: str = "row_no",
               partitions: int | None = None) -> DataFrame:
-    """Consecutive 1-based index in ``order_cols`` order without funnelling
-    the data through one task: range-partition and sort, count rows per
-    partition, and add each partition's offset (a table with one row per
-    partition, so its broadcast has a fixed bound).  The order must be total
-    (unique keys) for the index to be deterministic."""
+    """Consecutive 1-based index in ``order_cols`` order (``running_total``)."""
+    return running_total(df, order_cols, index_col=index_col, partitions=partitions)
+
+
+def running_total(df: DataFrame, order_cols, value_col: str | None = None, total_col: str = "total_before",
+                  index_col: str = "row_no", partitions: int | None = None) -> DataFrame:
+    """Consecutive 1-based index in ``order_cols`` order, and (with
+    ``value_col``) the sum of that column over all rows before, without
+    funnelling the data through one task: range-partition and sort, count and
+    sum per partition, and add each partition's offsets (a table with one row
+    per partition, so its broadcast has a fixed bound).  The order must be
+    total (unique keys) for the result to be deterministic."""
+    from rollcall.session import materialize
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    value = F.col(value_col) if value_col else F.lit(0)
     part = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
             .withColumn("_pid", F.spark_partition_id())
             .withColumn("_mid", F.monotonically_increasing_id()))
-    from rollcall.session import materialize
     part = materialize(part)  # the index must not change between its two uses
-    counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_off"))
-    offsets = offsets.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))
-    return (part.join(F.broadcast(offsets), "_pid")
-            .withColumn(index_col, F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)) + 1)
-            .drop("_pid", "_mid", "_off"))
+    counts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                            F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_sum"))
+    out = part.join(F.broadcast(offsets), "_pid").withColumn(
+        index_col, F.col("_off") + (F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)) + 1)
+    if value_col:
+        inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(total_col, (F.col("_sum") + F.coalesce(F.sum(value).over(inside), F.lit(0))).cast("long"))
+    return out.drop("_pid", "_mid", "_off", "_sum")
 
 
 def zip_rows(a: DataFrame, b: DataFrame, order_a, order_b, index_col: str = "row_no") -> DataFrame:
@@ -105,3 +114,17 @@ def zip_rows(a: DataFrame, b: DataFrame, order_a, order_b, index_col: str = "row
     ia = row_index(a, order_a, index_col)
     ib = row_index(b, order_b, index_col)
     return ia.join(ib, index_col, "full_outer")
+
+
+def zip_alignment(df: DataFrame, order_col: str, field: str) -> DataFrame:
+    """Where the positional zip of records and list elements goes wrong (T1),
+    without the zip: per record whose list hasn't exactly one element, or that
+    the zip pairs with another record's element (or none), ``row_no``, its
+    number of elements, the elements of all records before it and ``aligned``:
+    whether the element at the record's position is one of its own."""
+    size = F.coalesce(F.when(F.size(field) >= 0, F.size(field)), F.lit(0)).cast("long")
+    rows = df.select(order_col, size.alias("n_elements"))
+    t = running_total(rows, [order_col], "n_elements", "elements_before")
+    at = F.col("row_no") - 1
+    own = (F.col("elements_before") <= at) & (at < F.col("elements_before") + F.col("n_elements"))
+    return t.withColumn("aligned", own).where((F.col("n_elements") != 1) | ~F.col("aligned"))

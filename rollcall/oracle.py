@@ -626,6 +626,14 @@ stud AS (SELECT event_id AS s_event_id, pos_raw AS s_pos, customer_id, email,
 SELECT coalesce(a.row_no, b.row_no) AS row_no, a.event_id, a.status, b.s_event_id, b.s_pos, b.customer_id, b.email
 FROM rec a FULL OUTER JOIN stud b ON a.row_no = b.row_no"""
 
+SQL["zip_alignment"] = _with(FEED_MIXED) + """
+, n AS (SELECT event_id, count(pos_raw) AS n_elements FROM feed GROUP BY event_id),
+t AS (SELECT event_id, n_elements, row_number() OVER (ORDER BY event_id) AS row_no,
+             coalesce(sum(n_elements) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT
+             AS elements_before FROM n)
+SELECT *, elements_before <= row_no - 1 AND row_no - 1 < elements_before + n_elements AS aligned FROM t
+WHERE n_elements <> 1 OR NOT (elements_before <= row_no - 1 AND row_no - 1 < elements_before + n_elements)"""
+
 SQL["ledger_append"] = _with(FEED_ONE, WM, SKIP, DIRECTORY, IDENTITY, LEDGERS) + """
 SELECT Email FROM ledger_intro
 UNION ALL
@@ -649,6 +657,9 @@ SQL["recode_from_csv"] = SQL["recode_courses"]
 
 SQL["ledger_file"] = SQL["ledger_append"]
 
+SQL["messages_file"] = ("SELECT row_number() OVER (ORDER BY event_id, pos, kind, message) AS row_no, "
+                        "event_id || ' ' || pos || ' ' || kind || ': ' || message AS line FROM (" + SQL["sync_messages"] + ") m")
+
 SQL["watermark_state"] = """
 SELECT CAST(floor(max(event_id) / 5) AS BIGINT) AS old_watermark, max(event_id) AS new_watermark FROM events"""
 

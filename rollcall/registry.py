@@ -16,7 +16,7 @@ from rollcall.operators.feed import (
 )
 from rollcall.operators.ordered import last_per_key
 from rollcall.operators.sets import union_all
-from rollcall.operators.shape import drop_strict, keep, zip_rows
+from rollcall.operators.shape import drop_strict, keep, row_index, zip_alignment, zip_rows
 from rollcall.operators.feed import FEED_KEEP
 from rollcall.plans.access import (
     course_staff, grant, grant_across_term, revoke_across_term, roles_in_account,
@@ -32,10 +32,13 @@ from rollcall.plans.sync import run_messages, sync_batch
 from rollcall.plans.users import last_login_report
 from rollcall.session import ensure_checkpoint_dir
 from rollcall.sources.feed import read_catalogue, read_feed
-from rollcall.sources.files import append_ledger, export_csv, read_mapping, read_watermark, write_watermark
+from rollcall.sources.files import (
+    append_ledger, export_csv, export_ordered, read_mapping, read_ordered, read_watermark, write_watermark,
+)
 from rollcall.sources.json_array import write_json_array
+from rollcall.sources.keyed_state import KeyedState
 from rollcall.sources.lms import read_snapshot
-from rollcall.sources.sinks import upsert_state, write_change_set
+from rollcall.sources.sinks import write_change_set
 from rollcall.streaming.sync_stream import read_output, sync_stream
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -473,6 +476,14 @@ def _zip_rows(spark, d):
     return zip_rows(records, students, ["event_id"], ["s_event_id", "s_pos"])
 
 
+@query(name="zip_alignment")
+def _zip_alignment(spark, d):
+    """Records without exactly one student, and those that the
+    positional zip pairs with another record's student."""
+    out = zip_alignment(S.feed(S.Tables(spark, d), "mixed"), "EventEnrollmentID", "Students")
+    return out.withColumnRenamed("EventEnrollmentID", "event_id")
+
+
 @query
 def ledger_append(spark, d):
     """The intro ledger after appending this batch's letters."""
@@ -546,6 +557,17 @@ def ledger_file(spark, d):
     return read_mapping(spark, path, "ledger")
 
 
+@query
+def messages_file(spark, d):
+    """The run's message lines exported as files that concatenate to
+    event order, read back with their place in it."""
+    path = _scratch(spark, "messages")
+    lines = run_messages(_sync(spark, d)).withColumn("line", F.concat_ws(
+        " ", "event_id", "pos", F.concat("kind", F.lit(":")), "message"))
+    export_ordered(lines, path, ["event_id", "pos", "kind", "message"], "line")
+    return row_index(read_ordered(spark, path), ["file", "at"]).select("row_no", "line")
+
+
 @query
 def watermark_state(spark, d):
     """The saved watermark read, the feed past it consumed, the next
@@ -581,7 +603,7 @@ def snapshots_read(spark, d):
 @query
 def roster_state(spark, d):
     """K4: the roster state (last enrollment id per account and course) after
-    this batch's change set, written to its folder and read back: dropped
+    this batch's change set, which rewrites the buckets it falls into: dropped
     pairs go, enrolled ones hold no id yet."""
     t, path = S.Tables(spark, d), _scratch(spark, "changes")
     write_change_set(_sync(spark, d).enrollments, path, "1")
@@ -589,10 +611,13 @@ def roster_state(spark, d):
                         ["event_id", "pos"], ["action"], prefix="")
     updates = last.select("account", "course_code", F.lit(None).cast("long").alias("last_id"),
                           (F.col("action") != "ENROLL").alias("gone"))
-    state = S.student_enrollments(t).groupBy(
+    state = KeyedState(spark, path + "-state", "roster", ["account", "course_code"],
+                       "account string, course_code string, last_id long", buckets=32)
+    state.upsert(S.student_enrollments(t).groupBy(
         F.col("user_id").cast("string").alias("account"), F.col("sis_course_id").alias("course_code")).agg(
-        F.max("id").alias("last_id"))
-    return upsert_state(state, updates, ["account", "course_code"], delete_col="gone")
+        F.max("id").alias("last_id")))
+    state.upsert(updates, delete_col="gone")
+    return state.read()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

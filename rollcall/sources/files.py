@@ -54,3 +54,22 @@ def append_ledger(rows: DataFrame, path: str, column: str = "Email") -> None:
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header; partitions are written in parallel (no index column)."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def export_ordered(df: DataFrame, path: str, order_cols, column: str, files: int | None = None) -> None:
+    """Text lines of ``column`` as numbered files that concatenate, in the
+    order of their names, to ``order_cols`` order (A7, K1): ranges of the order
+    are written in parallel, one file each.  The order should be total."""
+    n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+     .select(F.col(column).cast("string").alias("value")).write.mode("overwrite").text(path))
+
+
+def read_ordered(spark: SparkSession, path: str, column: str = "line") -> DataFrame:
+    """Exported lines with ``file`` and ``at`` (byte block and row), which sort
+    as the concatenated files do."""
+    return spark.read.text(path).select(
+        F.col("value").alias(column), F.col("_metadata.file_name").alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("at"))
