@@ -651,6 +651,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS CourseCd, p_name AS CourseName, p_size % 2
        CASE g.pos WHEN 0 THEN p_type WHEN 1 THEN p_name END AS GroupName
 FROM part JOIN (VALUES (0, NULL::INTEGER), (1, 0), (2, 0), (2, 1)) g(n, pos) ON g.n = p_partkey % 3"""
 
+SQL["feed_from_manifest"] = SQL["feed_since_watermark"]
+SQL["identity_laid_out"] = SQL["identity_actions"]
 SQL["catalogue_from_array"] = SQL["catalogue_from_json"]
 
 SQL["recode_from_csv"] = SQL["recode_courses"]

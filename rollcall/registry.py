@@ -31,12 +31,14 @@ from rollcall.plans.groups import group_changes, group_difference, member_logins
 from rollcall.plans.sync import run_messages, sync_batch
 from rollcall.plans.users import last_login_report
 from rollcall.session import ensure_checkpoint_dir
+from rollcall.sources.directory import lay_out_directory, open_directory
 from rollcall.sources.feed import read_catalogue, read_feed
 from rollcall.sources.files import (
     append_ledger, export_csv, export_ordered, read_mapping, read_ordered, read_watermark, write_watermark,
 )
 from rollcall.sources.json_array import write_json_array
 from rollcall.sources.keyed_state import KeyedState
+from rollcall.sources.landed import LandedFeed
 from rollcall.sources.lms import read_snapshot
 from rollcall.sources.sinks import write_change_set
 from rollcall.streaming.sync_stream import read_output, sync_stream
@@ -160,7 +162,7 @@ def enroll_final_state(spark, d):
 
 # ---------------------------------------------------------------- sync ----
 
-def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact"):
+def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact", lookups=None):
     """The sync of one batch on the stand-in inputs; each registered sync
     query reads one of its outputs, and only that output is planned.  What
     outputs share is written to the checkpoint folder, so nothing stays cached.
@@ -171,7 +173,7 @@ def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_ma
         watermark=S.watermark_value(t),
         skip=None if allow else S.skip_list(t), allow=S.allow_list(t) if allow else None,
         ledgers={"intro": S.ledger_intro(t)} if allow else _ledgers(t), letter_match=letter_match,
-        new_user_course=INTRO_COURSE, on_error=on_error, reuse="checkpoint")
+        new_user_course=INTRO_COURSE, on_error=on_error, reuse="checkpoint", lookups=lookups)
 
 
 @query(name="sync_batch")
@@ -538,6 +540,30 @@ def catalogue_from_array(spark, d):
     return _underscored(flatten_catalogue(read_catalogue(spark, path)))
 
 
+@query
+def feed_from_manifest(spark, d):
+    """The feed landed in two parts with a manifest; rows past the
+    watermark and in the date window, from the files that can hold some."""
+    t = S.Tables(spark, d)
+    landed, feed = LandedFeed(spark, _scratch(spark, "landed")), S.feed(t)
+    half = S.watermark_value(t) * 2
+    landed.land(feed.where(F.col("EventEnrollmentID") <= half))
+    landed.land(feed.where(F.col("EventEnrollmentID") > half))
+    as_of = t.events.agg(F.date_add(F.to_date(F.min("ts")), 14).cast("string")).first()[0]
+    return feed_rows(landed.read(watermark=S.watermark_value(t), as_of=as_of)).select(
+        "event_id", "pos", "status", "course_code", "customer_id", "email")
+
+
+@query
+def identity_laid_out(spark, d):
+    """J8 against a directory laid out in buckets, which isn't shuffled."""
+    t, path = S.Tables(spark, d), _scratch(spark, "directory")
+    lay_out_directory(path, S.users(t), S.logins(t), buckets=16)
+    laid = open_directory(spark, path, buckets=16)
+    return _sync(spark, d, lookups=(laid["by_login"], laid["by_external_id"])).identities.select(
+        "event_id", "pos", "action", "account")
+
+
 @query
 def recode_from_csv(spark, d):
     """The recode map exported as CSV in several files, read back
