@@ -6,16 +6,21 @@ so a second row of the same address finds it).  ``match="exact"`` (the
 default) compares lower-cased addresses with an anti-join.  ``match="regex"``
 keeps the reference's test — the row's address used as an unescaped regular
 expression searched in every ledger entry, case-sensitive — in one plan for
-every size.  Any entry that an address matches holds the address's literal
-pieces, so an address is joined with the ledger on one n-gram of its longest
-piece (8 characters, or 4 for shorter pieces) and the regular expression is
-checked on the pairs.  An address without such a piece meets the ledger
-through ``SALTS`` salted shuffle partitions.  In regex mode, as in exact mode,
-letters planned earlier in the same batch suppress only the same address.
+every size.  Any entry that an address matches holds a literal piece of the
+address (one of several, where it has alternatives), so an address is joined
+with the ledger on one n-gram of each piece (8 characters, or 4 for shorter
+pieces) and the regular expression is checked on the pairs.  With a kept index
+(sources.ledger_index) the ledger's n-grams are looked up, not cut anew.  Only
+an address without such a piece meets the ledger through ``SALTS`` salted
+shuffle partitions.  In regex mode, as in exact mode, letters planned earlier in
+the same batch suppress only the same address.
 """
 
 from __future__ import annotations
 
+import re
+from re import _parser as regex_parser
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +28,11 @@ from rollcall.functions import email_key
 from rollcall.operators.ordered import first_per_key
 
 
-GRAMS = (8, 4)  # lengths of the n-grams, tried in this order
+GRAMS = (8, 4)  # lengths of the n-grams, the longest first
 SALTS = 64
 
 
-def _grams(text, n: int):
+def grams_of(text, n: int):
     """All n-grams of a text."""
     last = F.length(text) - n + 1
     return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
@@ -36,33 +41,92 @@ def _grams(text, n: int):
 
 def _longest_literal(pattern):
     """The longest run of plain characters that every match of ``pattern``
-    must hold; empty where alternatives, classes, groups, escapes, anchors or
-    counts make that unsure.  A character before ``*`` or ``?`` is optional."""
+    must hold; for patterns without alternatives, classes, groups, escapes,
+    anchors or counts.  A character before ``*`` or ``?`` is optional."""
     plain = F.regexp_replace(pattern, "(?s).[*?]", ".")
     pieces = F.split(plain, r"[.+*?]")
-    longest = F.aggregate(pieces, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
-    return F.when(pattern.rlike(r"[|()\[\]{}\\^$]"), F.lit("")).otherwise(longest)
-
-
-def _regex_matched(cand: DataFrame, sent: DataFrame) -> DataFrame:
+    return F.aggregate(pieces, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+
+
+_SPECIAL = r"[|()\[\]{}\\^$]"
+# escapes of a letter that mean the same to Python's parser and to the JVM's
+_SAME_ESCAPES = set("dDwWsSbBtnrf")
+
+
+def required_literals(pattern: str | None) -> list[str]:
+    """Texts of which every match of the regular expression holds at least
+    one; empty where none can be told.  Alternatives, groups and counts are
+    followed; what isn't a plain character (classes, anchors, references) only
+    ends a run."""
+    if pattern is None or "(?" in pattern.replace("(?:", "") or any(
+            b.isalnum() and b not in _SAME_ESCAPES for b in re.findall(r"\\(.)", pattern)):
+        return []
+
+    def best(seq) -> list[str] | None:
+        found: list[list[str]] = []
+        run = ""
+        for op, arg in [*seq, (None, None)]:
+            if op is regex_parser.LITERAL:
+                run += chr(arg)
+                continue
+            if run:
+                found.append([run])
+                run = ""
+            inner = None
+            if op is regex_parser.SUBPATTERN:
+                inner = best(arg[-1])
+            elif op is regex_parser.BRANCH:
+                parts = [best(a) for a in arg[1]]
+                inner = [x for p in parts for x in p] if all(parts) else None
+            elif op in (regex_parser.MAX_REPEAT, regex_parser.MIN_REPEAT) and arg[0] > 0:
+                inner = best(arg[2])
+            if inner:
+                found.append(inner)
+        return max(found, key=lambda f: min(map(len, f))) if found else None
+
+    try:
+        return best(regex_parser.parse(pattern)) or []
+    except (re.error, OverflowError, RecursionError):
+        return []
+
+
+def _pieces(pattern):
+    """``required_literals`` as a column; plain patterns stay in the JVM."""
+    special = pattern.rlike(_SPECIAL)
+    parsed = F.udf(required_literals, "array<string>")(F.when(special, pattern))
+    return F.when(special, parsed).otherwise(F.array(_longest_literal(pattern)))
+
+
+def _regex_matched(cand: DataFrame, sent: DataFrame, index=None) -> DataFrame:
     """(event_id, pos) of the candidates whose address, as a regular
-    expression, is found in an entry of ``sent`` (column ``_sent``)."""
-    asked = cand.select("event_id", "pos", "email", _longest_literal(F.col("email")).alias("_piece"))
-    entries = sent.distinct()
-    found = []
-    longer = F.lit(False)
-    for n in GRAMS:
-        mine = asked.where((F.length("_piece") >= n) & ~longer)
-        # the piece's n-gram with the smallest hash: spreads common ones
-        gram = F.array_min(F.transform(_grams(F.col("_piece"), n), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))["g"]
-        theirs = entries.select("_sent", F.explode(F.array_distinct(_grams(F.col("_sent"), n))).alias("_gram"))
-        found.append(mine.withColumn("_gram", gram).join(theirs, "_gram"))
-        longer = longer | (F.length("_piece") >= n)
-    rest = asked.where(~longer).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    expression, is found in an entry of ``sent`` (column ``_sent``), or of the
+    ledger's kept ``index`` (sources.ledger_index)."""
+    asked = cand.select("event_id", "pos", "email", _pieces(F.col("email")).alias("_pieces"))
+    usable = (F.size("_pieces") > 0) & F.forall("_pieces", lambda p: F.length(p) >= GRAMS[-1])
+
+    def gram(piece):
+        """A piece's n-gram with the smallest hash (spreads common ones), of
+        the longest length that fits."""
+        out = F.lit(None).cast("string")
+        for n in reversed(GRAMS):
+            one = F.array_min(F.transform(grams_of(piece, n), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
+            out = F.when(F.length(piece) >= n, one["g"]).otherwise(out)
+        return out
+
+    mine = asked.where(usable).select("event_id", "pos", "email",
+                                      F.explode(F.transform("_pieces", gram)).alias("gram"))
+    if index is None:
+        entries = sent.distinct()
+        lengths = F.array_distinct(F.concat(*[grams_of(F.col("_sent"), n) for n in GRAMS]))
+        theirs = entries.select("_sent", F.explode(lengths).alias("gram"))
+    else:
+        entries = index.entries().withColumnRenamed("sent", "_sent")
+        theirs = index.holding(mine).withColumnRenamed("sent", "_sent")
+    rest = asked.where(~usable).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = entries.withColumn("_salt", F.pmod(F.hash("_sent"), F.lit(SALTS)))
-    found.append(rest.join(salted.hint("shuffle_hash"), "_salt"))
+    found = [mine.join(theirs, "gram"), rest.join(salted.hint("shuffle_hash"), "_salt")]
     hits = [f.where(F.regexp(F.col("_sent"), F.col("email"))).select("event_id", "pos") for f in found]
-    return hits[0].unionByName(hits[1]).unionByName(hits[2])
+    return hits[0].unionByName(hits[1])
 
 
 def letter_candidates(resolved: DataFrame) -> DataFrame:
@@ -71,10 +135,11 @@ def letter_candidates(resolved: DataFrame) -> DataFrame:
     return first
 
 
-def unsent(resolved: DataFrame | None, ledger: DataFrame, letter: str, match: str = "exact",
-           column: str = "Email", candidates: DataFrame | None = None) -> DataFrame:
+def unsent(resolved: DataFrame | None, ledger: DataFrame | None, letter: str, match: str = "exact",
+           column: str = "Email", candidates: DataFrame | None = None, index=None) -> DataFrame:
     """Outbox rows: event_id, pos, account, email, letter.  ``candidates``
-    (``letter_candidates``) may be passed when several ledgers share them."""
+    (``letter_candidates``) may be passed when several ledgers share them;
+    ``index`` is the ledger's kept index (regex mode; ``ledger`` isn't read)."""
     cand = candidates if candidates is not None else letter_candidates(resolved)
     if match == "exact":
         # the ledger only grows; look up just this batch's addresses (a
@@ -83,8 +148,9 @@ def unsent(resolved: DataFrame | None, ledger: DataFrame, letter: str, match: st
                 .join(cand.select(F.col("e").alias("_sent")), "_sent", "left_semi"))
         due = cand.join(sent, cand["e"] == sent["_sent"], "left_anti")
     elif match == "regex":
-        sent = ledger.select(F.col(column).alias("_sent")).where(F.col("_sent").isNotNull())
-        due = cand.join(_regex_matched(cand, sent), ["event_id", "pos"], "left_anti")
+        sent = (ledger.select(F.col(column).alias("_sent")).where(F.col("_sent").isNotNull())
+                if index is None else None)
+        due = cand.join(_regex_matched(cand, sent, index), ["event_id", "pos"], "left_anti")
     else:
         raise ValueError(f"unknown match mode {match!r}")
     return due.select("event_id", "pos", "account", "email", F.lit(letter).alias("letter"))

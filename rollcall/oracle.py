@@ -277,6 +277,8 @@ SELECT * FROM letters"""
 SQL["letters_due_regex"] = _with(FEED_ONE, WM, SKIP, DIRECTORY, IDENTITY, LEDGERS, LETTERS_REGEX) + """
 SELECT * FROM letters"""
 
+SQL["letters_due_indexed"] = SQL["letters_due_regex"]
+
 SQL["enroll_actions"] = _with(FEED_ONE, WM, SKIP, DIRECTORY, IDENTITY, COURSES, KNOWN, STUDENT_ENR, ENROLL) + """
 SELECT event_id, pos, action, account, course_code FROM enroll"""
 

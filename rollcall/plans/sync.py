@@ -58,6 +58,7 @@ class SyncResult:
     online_override: bool = False
     ledgers: dict[str, DataFrame] = field(default_factory=dict)
     letter_match: str = "exact"
+    ledger_indexes: dict = field(default_factory=dict)
     new_user_course: str | None = None
     on_error: str = "quarantine"
     by_external_id: bool = True
@@ -198,8 +199,9 @@ class SyncResult:
                 [], "event_id long, pos int, account string, email string, letter string")
         mailed = self._resolved if self.allow is None else self._resolved.where(F.col("action") == RETURNING)
         candidates = letter_candidates(mailed)
-        return self._cut(union_all(*[unsent(None, ledger, name, match=self.letter_match, candidates=candidates)
-                                     for name, ledger in self.ledgers.items()]))
+        return self._cut(union_all(*[
+            unsent(None, ledger, name, match=self.letter_match, candidates=candidates,
+                   index=self.ledger_indexes.get(name)) for name, ledger in self.ledgers.items()]))
 
     @cached_property
     def enrollments(self) -> DataFrame:
@@ -276,7 +278,8 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
                by_external_id: bool | None = None, nested: bool = True,
                reuse: str | Callable | None = "persist",
                lookups: tuple[DataFrame, DataFrame] | Callable | None = None,
-               current: DataFrame | None = None, count_late: bool = False) -> SyncResult:
+               current: DataFrame | None = None, count_late: bool = False,
+               ledger_indexes: dict | None = None) -> SyncResult:
     """Plan one batch of the feed.  ``feed`` is the nested feed (or canonical
     rows with ``nested=False``); ``watermark`` a number or one-row state.
     With ``allow`` the allow-list form (D2) runs: only listed courses, and
@@ -292,7 +295,8 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     ``lookups`` (identity.directory shape, or a function of the batch's e-mail
     and external-id keys that returns it) and ``current`` (account,
     course_code roster) replace the snapshots when earlier batches' changes
-    must be seen (the streaming sync).  ``count_late`` adds the rows at or
+    must be seen (the streaming sync).  ``ledger_indexes`` holds kept n-gram
+    indexes of ledgers by name (regex letters).  ``count_late`` adds the rows at or
     below the watermark to the report, which reads the whole feed."""
     if on_error not in ("quarantine", "stop"):
         raise ValueError("on_error must be 'quarantine' or 'stop'")
@@ -302,7 +306,8 @@ def sync_batch(feed: DataFrame, users: DataFrame, logins: DataFrame, enrollments
     return SyncResult(feed, users, logins, enrollments, courses, mark=watermark, skip=skip, allow=allow,
                       online_override=online_override, ledgers=ledgers or {}, letter_match=letter_match,
                       new_user_course=new_user_course, on_error=on_error, by_external_id=by_external_id,
-                      nested=nested, reuse=reuse, lookups=lookups, current=current, count_late=count_late)
+                      nested=nested, reuse=reuse, lookups=lookups, current=current, count_late=count_late,
+                      ledger_indexes=ledger_indexes or {})
 
 
 def next_watermark(rows: DataFrame, prev: DataFrame, rejects: DataFrame | None = None,

@@ -39,6 +39,7 @@ from rollcall.sources.files import (
 from rollcall.sources.json_array import write_json_array
 from rollcall.sources.keyed_state import KeyedState
 from rollcall.sources.landed import LandedFeed
+from rollcall.sources.ledger_index import LedgerIndex
 from rollcall.sources.lms import read_snapshot
 from rollcall.sources.sinks import write_change_set
 from rollcall.streaming.sync_stream import read_output, sync_stream
@@ -145,6 +146,18 @@ def letters_due_regex(spark, d):
     return _sync(spark, d, letter_match="regex").letters
 
 
+@query
+def letters_due_indexed(spark, d):
+    """J7 K3 regex against ledgers whose n-gram index was kept: appended in two
+    parts, looked up by the run."""
+    indexes = {}
+    for name, ledger in _ledgers(S.Tables(spark, d)).items():
+        indexes[name] = LedgerIndex(spark, _scratch(spark, f"ledger-{name}"), buckets=16)
+        for part in (0, 1):
+            indexes[name].append(ledger.where(F.pmod(F.hash("Email"), F.lit(2)) == part))
+    return _sync(spark, d, letter_match="regex", ledger_indexes=indexes).letters
+
+
 # ---------------------------------------------------------- enrollment ----
 
 @query
@@ -162,7 +175,8 @@ def enroll_final_state(spark, d):
 
 # ---------------------------------------------------------------- sync ----
 
-def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact", lookups=None):
+def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_match: str = "exact", lookups=None,
+          ledger_indexes=None):
     """The sync of one batch on the stand-in inputs; each registered sync
     query reads one of its outputs, and only that output is planned.  What
     outputs share is written to the checkpoint folder, so nothing stays cached.
@@ -173,7 +187,8 @@ def _sync(spark, d, allow: bool = False, on_error: str = "quarantine", letter_ma
         watermark=S.watermark_value(t),
         skip=None if allow else S.skip_list(t), allow=S.allow_list(t) if allow else None,
         ledgers={"intro": S.ledger_intro(t)} if allow else _ledgers(t), letter_match=letter_match,
-        new_user_course=INTRO_COURSE, on_error=on_error, reuse="checkpoint", lookups=lookups)
+        new_user_course=INTRO_COURSE, on_error=on_error, reuse="checkpoint", lookups=lookups,
+        ledger_indexes=ledger_indexes)
 
 
 @query(name="sync_batch")
