@@ -12,7 +12,7 @@ from rollcall.functions import (
     TRANSITION_ROLE_ID, email_key,
 )
 from rollcall.operators.feed import FEED_KEEP, flatten_feed
-from rollcall.operators.joins import delete_where
+from rollcall.operators.joins import delete_where, lookup
 from rollcall.operators.shape import keep
 
 # Grant kinds -> (enrollment type, role id).
@@ -76,12 +76,11 @@ def grant(requests: DataFrame, users: DataFrame, logins: DataFrame, courses: Dat
     teacher / ta / transition.  The user is found by login and the course by
     external id; a miss gives action USER_NOT_FOUND / COURSE_NOT_FOUND."""
     r = requests.select(email_key("login").alias("e"), "course_sis", "kind")
-    u = users_by_login(users, logins, only=r)
-    c = _course_by_sis(courses)
-    j = r.join(u, "e", "left").join(c, r["course_sis"] == c["sis_course_id"], "left")
+    u = users_by_login(users, logins, only=r).withColumnRenamed("e", "_login")
+    j = lookup(lookup(r, u, "e", "_login", "_user"), _course_by_sis(courses), "course_sis", "sis_course_id", "_course")
     typ, rid = _kind_columns(F.col("kind"))
-    action = (F.when(F.col("course_id").isNull(), F.lit("COURSE_NOT_FOUND"))
-              .when(F.col("user_id").isNull(), F.lit("USER_NOT_FOUND"))
+    action = (F.when(~F.col("_course"), F.lit("COURSE_NOT_FOUND"))
+              .when(~F.col("_user"), F.lit("USER_NOT_FOUND"))
               .when(typ.isNull(), F.lit("UNKNOWN_KIND"))
               .otherwise(F.lit("ENROLL")))
     return j.select(F.col("e").alias("login"), "course_sis", "course_id", "user_id", action.alias("action"),
@@ -113,9 +112,8 @@ def revoke_across_term(requests: DataFrame, courses: DataFrame, enrollments: Dat
     e = enrollments.where(F.col("type") == enrollment_type).select(
         F.col("id").alias("enrollment_id"), "course_id", "user_id", "sis_course_id")
     seen = e.join(c, "course_id").join(requests.select("sis_term_id"), "sis_term_id", "left_semi")
-    target = requests.select("sis_term_id", "user_id")
-    removed = seen.join(target, ["sis_term_id", "user_id"], "left_semi")
-    others = seen.join(target, ["sis_term_id", "user_id"], "left_anti")
+    target = requests.select("sis_term_id", "user_id").distinct().withColumn("_asked", F.lit(True))
+    others, removed = delete_where(seen.join(target, ["sis_term_id", "user_id"], "left"), F.col("_asked"))
     cols = ["sis_term_id", "course_id", "sis_course_id", "enrollment_id", "user_id"]
     return removed.select(*cols), others.select(*cols)
 

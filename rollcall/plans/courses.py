@@ -15,6 +15,7 @@ from rollcall.functions import (
     ENROLLED_STATES, NO_TEACHER, STUDENT_ENROLLMENT, TA_ENROLLMENT, TEACHER_ENROLLMENT,
     TRANSITION_ROLE_ID, email_key,
 )
+from rollcall.operators.joins import set_where
 from rollcall.operators.ordered import last_per_key
 
 # --------------------------------------------------------------- report --
@@ -90,10 +91,8 @@ def rename_term(courses: DataFrame, sis_term_id: str, name_prefix: str, code_suf
 def hide_until_start(courses: DataFrame, sis_term_id: str) -> DataFrame:
     """Set ``restrict_student_future_view`` on every course of the term.
     ``changed`` tells which updates are not already in place."""
-    c = in_term(courses, sis_term_id)
-    return c.select("course_id", "sis_course_id",
-                    F.lit(True).alias("restrict_student_future_view"),
-                    (~F.coalesce(F.col("restrict_student_future_view"), F.lit(False))).alias("changed"))
+    hidden = set_where(in_term(courses, sis_term_id), F.lit(True), "restrict_student_future_view", True)
+    return hidden.select("course_id", "sis_course_id", "restrict_student_future_view", "changed")
 
 
 def _last_row_per_key(mapping: DataFrame, key: str, row_col: str = "_row") -> DataFrame:
