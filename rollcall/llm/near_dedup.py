@@ -18,12 +18,17 @@ with nothing.  Two documents are linked when 100 * |A & B| >= 75 * |A | B|.
    a Jaccard estimate, corrected for expected register collisions; pairs more
    than ``Z`` standard errors below the threshold are dropped, and each class's
    best pair is verified on the full sets.
-5. The verified links are contracted to components.  Second round: what is
-   left are pairs of one bucket in different components.  They are estimated
-   inside the bucket's task (a bucket above ``BLOCK`` classes is cut into
-   blocks, whose pairs are tasks of their own), and only those that may be
-   links become rows, once each, and are verified.  Pairs within a component
-   can't change the result and are never made.
+5. The verified links are contracted to components.  What is left are pairs of
+   one bucket in different components.  They are estimated inside the bucket's
+   task (a bucket above ``BLOCK`` classes is cut into blocks, whose pairs are
+   tasks of their own), each class hands on the best ``PARTNERS`` of those that
+   may be links, and these are verified and contracted: rows grow with the
+   classes, not with their pairs.
+6. The buckets in which a class had more candidates than that get the full
+   sets of their classes, and their tasks verify all remaining pairs of
+   different components themselves.  A link joins two components at once, so
+   that a task returns at most a row per class.  No pair is left out; pairs
+   within a component can't change the result and are never made.
 
 Defined results: null and empty texts have an empty set and are their own
 component; repeated rows fall into one class; an id that is null never names a
@@ -40,6 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from rollcall.llm import textvec as V
 from rollcall.llm.common import bitmap, fixed_binary, free_name, in_bitmap, list_column, map_batches, stash, text_key
@@ -55,6 +61,8 @@ THRESHOLD = 75  # per cent
 REP_BITS = 26   # bitmap of class representatives: 2**26 bits, 8 MB
 Z = 4.5
 BLOCK = 4096
+BLOCK_ITEMS = 1 << 22    # shingles of a block of full sets
+PARTNERS = 4    # candidates that a class hands on
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,66 +211,131 @@ def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return map_batches(both, run, "a binary, b binary, est double")
 
 
-def _cross_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that share a band, lie in different components
-    and may be links, each once: in the first band that they share.
-    ``placed`` has band, slot (the band's number), size (of the bucket), node
-    and component."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+def _tiles(placed: DataFrame, blocks) -> DataFrame:
+    """The rows of a bucket (band, slot, node, component) dealt to ``blocks``
+    blocks; each is repeated for the pairs i <= j of blocks that it takes part
+    in (just (0, 0) for most)."""
     rows = placed.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")))
-    # block pairs (i <= j) that the row takes part in; just (0, 0) for most
     other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    rows = rows.select("band", "slot", "node", "component", "_own", other).select(
+    return rows.select("band", "slot", "node", "component", "_own", other).select(
         "band", "slot", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own",
         "node", "component")
-    rows = rows.join(classes.select("node", "n", "regs", "bands"), "node").select(
-        "band", "i", "j", "slot", "_own", "node", "component", "n", "regs", "bands")
-    rows = rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-
-    def pairs_of(group: pa.Table):
-        i, j, slot = (group.column(c)[0].as_py() for c in (1, 2, 3))
-        own = group.column(4).to_numpy()
-        component = np.unique(np.array(group.column(6).to_pylist(), object), return_inverse=True)[1]
-        if component.max() == 0:
-            return
-        n = group.column(7).to_numpy()
-        regs = _rows_of(group.column(8), np.uint16, BUCKETS)
-        bands = group.column(9).combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-        for x in range(len(n) - 1):
-            y = np.arange(x + 1, len(n))
-            y = y[component[y] != component[x]]
-            if i != j:
-                y = y[own[y] != own[x]]
-            y = y[(100 * np.minimum(n[y], n[x]) >= THRESHOLD * np.maximum(n[y], n[x]))
-                  & ~(bands[y, :slot] == bands[x, :slot]).any(axis=1)]
-            if len(y):
-                y = y[may_link(regs[y], np.broadcast_to(regs[x], (len(y), BUCKETS)), n[y], np.full(len(y), n[x]))[1]]
-                if len(y):
-                    yield x, y
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
 
-        def out(group: pa.Table) -> Iterator[pa.RecordBatch]:
-            node = group.column(5).combine_chunks()
-            for x, y in pairs_of(group):
-                yield pa.RecordBatch.from_arrays([node.take(pa.array(np.full(len(y), x))), node.take(pa.array(y))],
-                                                 names=["a", "b"])
+def _by_tile(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` (a table of one (band, i, j) -> a batch or None) over all tiles.
+    The first columns are band, i and j."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
             key = np.stack([table.column(c).to_numpy() for c in (0, 1, 2)], axis=1)
-            starts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            edges = [0, *starts.tolist()]
+            edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist()]
             for lo, hi in zip(edges, edges[1:]):
-                if hi - lo > 1:
-                    yield from out(table.slice(lo, hi - lo))
+                out = fn(table.slice(lo, hi - lo)) if hi - lo > 1 else None
+                if out is not None:
+                    yield out
             held = table.slice(edges[-1])
-        if held is not None and held.num_rows > 1:
-            yield from out(held)
+        out = fn(held) if held is not None and held.num_rows > 1 else None
+        if out is not None:
+            yield out
+
+    return rows.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, schema)
+
+
+class _Tile:
+    """The classes of one tile, and which of them may be linked."""
+
+    def __init__(self, group: pa.Table, regs: np.ndarray, bands: np.ndarray, n: np.ndarray):
+        self.i, self.j, self.slot = (group.column(c)[0].as_py() for c in (1, 2, 3))
+        self.own = group.column(4).to_numpy()
+        self.component = np.unique(np.array(group.column(6).to_pylist(), object), return_inverse=True)[1]
+        self.regs, self.bands, self.n = regs, bands, n
+
+    def partners(self, x: int, lo: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(classes from ``lo`` on, estimates) that aren't ruled out as links
+        of ``x``, lie in another component and share no earlier band with it."""
+        apart = self.component[lo:] != self.component[x]
+        if self.i != self.j:
+            apart &= self.own[lo:] != self.own[x]
+        y = lo + np.flatnonzero(apart)
+        n, bands = self.n, self.bands
+        y = y[(100 * np.minimum(n[y], n[x]) >= THRESHOLD * np.maximum(n[y], n[x]))
+              & ~(bands[y, :self.slot] == bands[x, :self.slot]).any(axis=1)]
+        if not len(y):
+            return y, np.zeros(0)
+        est, keep = may_link(self.regs[y], np.broadcast_to(self.regs[x], (len(y), BUCKETS)), n[y], np.full(len(y), n[x]))
+        return y[keep], est[keep]
+
+
+def _best_partners(placed: DataFrame, classes: DataFrame, top: int) -> DataFrame:
+    """(a, b, est, band, cut): for each class a and bucket the ``top`` best
+    classes b that share the band, lie in another component and may be links,
+    each pair in the first band that it shares; ``cut`` marks rows of a class
+    that had more there.  ``placed`` has band, slot (the band's number), size
+    (of the bucket), node and component."""
+    rows = _tiles(placed, F.ceil(F.col("size") / BLOCK).cast("int"))
+    rows = rows.join(classes.select("node", "n", "regs", "bands"), "node").select(
+        "band", "i", "j", "slot", "_own", "node", "component", "n", "regs", "bands")
+
+    def best_of(group: pa.Table) -> pa.RecordBatch | None:
+        tile = _Tile(group, _rows_of(group.column(8), np.uint16, BUCKETS),
+                     group.column(9).combine_chunks().flatten().to_numpy().reshape(-1, BANDS),
+                     group.column(7).to_numpy())
+        found = []
+        if tile.component.max():
+            for x in range(group.num_rows):
+                y, est = tile.partners(x)
+                if len(y):
+                    best = np.argsort(-est, kind="stable")[:top]
+                    found.append((x, y[best], est[best], len(y) > top))
+        if not found:
+            return None
+        node = group.column(5).combine_chunks()
+        a = np.concatenate([np.full(len(y), x) for x, y, _, _ in found])
+        return pa.RecordBatch.from_arrays(
+            [node.take(pa.array(a)), node.take(pa.array(np.concatenate([f[1] for f in found]))),
+             pa.array(np.concatenate([f[2] for f in found])), group.column(0).combine_chunks().take(pa.array(a)),
+             pa.array(np.concatenate([np.full(len(f[1]), f[3]) for f in found]))],
+            names=["a", "b", "est", "band", "cut"])
+
+    return _by_tile(rows, best_of, "a binary, b binary, est double, band bigint, cut boolean")
+
+
+def _exact_links(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links that join the components of each bucket's classes,
+    verified on their full sets inside the bucket's task."""
+    weight = placed.join(sets.select("node", F.size("items").alias("_n")), "node").groupBy("band").agg(
+        F.count("*").alias("size"), F.sum("_n").alias("_items"))
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("_items") / BLOCK_ITEMS)).cast("int")
+    rows = _tiles(placed.drop("size").join(weight, "band"), blocks).join(sets, "node").select(
+        "band", "i", "j", "slot", "_own", "node", "component", "items")
+
+    def links_of(group: pa.Table) -> pa.RecordBatch | None:
+        lists = group.column(7).combine_chunks()
+        n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        items = lists.flatten().to_numpy().view(np.uint64)
+        edges = np.concatenate([[0], np.cumsum(n)])
+        tile = _Tile(group, registers(items, n), band_keys(registers(items, n, BAND_BITS)), n)
+        a, b = [], []
+        for x in range(group.num_rows - 1):
+            mine = items[edges[x]:edges[x + 1]]
+            for y in tile.partners(x, x + 1)[0].tolist():
+                if tile.component[y] == tile.component[x]:
+                    continue        # joined since
+                common = len(np.intersect1d(mine, items[edges[y]:edges[y + 1]], assume_unique=True))
+                if 100 * common >= THRESHOLD * (n[x] + n[y] - common):
+                    tile.component[tile.component == tile.component[y]] = tile.component[x]
+                    a.append(x)
+                    b.append(y)
+        if not a:
+            return None
+        node = group.column(5).combine_chunks()
+        return pa.RecordBatch.from_arrays([node.take(pa.array(a)), node.take(pa.array(b))], names=["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return _by_tile(rows, links_of, "a binary, b binary")
 
 
 def _sets(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -295,6 +368,15 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .where(100 * common >= THRESHOLD * (F.size("sa") + F.size("sb") - common)).select("a", "b"))
 
 
+def _mixed(shared: DataFrame, comps: DataFrame) -> DataFrame:
+    """The bands (with slot, size and node) whose classes lie in several
+    components, and each class's component."""
+    placed = shared.join(comps, "node", "left").select(
+        "band", "slot", "size", "node", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return stash(placed.join(several.where("lo != hi").select("band"), "band", "left_semi"), "mixed-bands")
+
+
 def _groups(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, rep, n, node, ...) of every document and (node, doc_id, rep,
     component) of every class, with the class's first document."""
@@ -319,13 +401,19 @@ def _groups(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFra
     links = stash(_verify(best, sets), "links")
     comps = stash(connected_components(links, "a", "b"), "components")
 
-    # Round 2: pairs of one band in different components.
-    placed = shared.join(comps, "node", "left").select(
-        "band", "slot", "size", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    placed = stash(placed.join(mixed.where("lo != hi").select("band"), "band", "left_semi"), "mixed-bands")
-    more = _verify(stash(_cross_pairs(placed, classes), "cross-pairs"), sets)
-    comps = connected_components(links.unionByName(more), "a", "b")
+    # Round 2: the best pairs of one band in different components.
+    found = stash(_best_partners(_mixed(shared, comps), classes, PARTNERS), "best-partners")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.col("est").desc(), "b")))
+    ranked = stash(ranked.withColumn("left", F.col("cut") | (F.col("rank") > PARTNERS)), "ranked-partners")
+    pairs = ranked.where(F.col("rank") <= PARTNERS).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = links.unionByName(stash(_verify(pairs.distinct(), sets), "cross-links"))
+    comps = stash(connected_components(links, "a", "b"), "components")
+
+    # Round 3: all other pairs of the bands that had more.
+    rest = _mixed(shared.join(ranked.where("left").select("band").distinct(), "band", "left_semi"), comps)
+    if not rest.isEmpty():
+        links = links.unionByName(stash(_exact_links(rest, sets), "last-links"))
+        comps = connected_components(links, "a", "b")
 
     named = classes.join(comps, "node", "left").select(
         "node", "doc_id", "rep", F.coalesce("component", "node").alias("component"))
@@ -350,13 +438,14 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     _, named = _groups(docs, doc_id, text)
     kept = named.groupBy("component").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("no_id"), "doc_id", "rep")).alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.rep").alias("_kept_rep"))
+    kept_id, kept_rep = free_name(docs.columns, "kept_id"), free_name(docs.columns, "kept_rep")
+    kept = kept.select(F.col("first.doc_id").alias(kept_id), F.col("first.rep").alias(kept_rep))
     some = F.coalesce(F.col(text), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     with_words = docs.where(some)
     rep = free_name(docs.columns, "rep")
     with_words = with_words.withColumn(rep, F.xxhash64(doc_id, text))
-    rows = with_words.join(kept, with_words[doc_id].eqNullSafe(F.col("_kept_id"))
-                           & (with_words[rep] == F.col("_kept_rep")), "left_semi")
+    rows = with_words.join(kept, with_words[doc_id].eqNullSafe(kept[kept_id])
+                           & (with_words[rep] == kept[kept_rep]), "left_semi")
     # repeated rows of a group's first document: one of them
     key = free_name(rows.columns, "text_key")
     rows = rows.withColumn(key, text_key(F.col(text))).dropDuplicates([doc_id, key]).drop(key, rep)
