@@ -93,7 +93,7 @@ def required_literals(pattern: str | None) -> list[str]:
 def _pieces(pattern):
     """``required_literals`` as a column; plain patterns stay in the JVM."""
     special = pattern.rlike(_SPECIAL)
-    parsed = F.udf(required_literals, "array<string>")(F.when(special, pattern))
+    parsed = F.udf(lambda p: required_literals(p), "array<string>")(F.when(special, pattern))
     return F.when(special, parsed).otherwise(F.array(_longest_literal(pattern)))
 
 
