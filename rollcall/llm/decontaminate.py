@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.llm import textvec as V
-from rollcall.llm.common import bitmap, in_bitmap, map_batches, stash, text_key
+from rollcall.llm.common import bitmap, free_name, in_bitmap, map_batches, stash, text_key
 
 WINDOW = 10
 K = 6
@@ -198,5 +198,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark window."""
     _, spans = text_hits(docs, benchmark, **names)
-    bad = spans.select("key").distinct().withColumnRenamed("key", "_text_key")
-    return docs.join(bad, text_key(docs[names.get("text", "text")]) == F.col("_text_key"), "left_anti")
+    key = free_name(docs.columns, "text_key")
+    bad = spans.select(F.col("key").alias(key)).distinct()
+    return docs.join(bad, text_key(docs[names.get("text", "text")]) == bad[key], "left_anti")

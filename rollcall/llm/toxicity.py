@@ -144,12 +144,14 @@ def fit_ordinal(indptr: np.ndarray, indices: np.ndarray, grades: np.ndarray, n_f
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
-    """(toxic, text) of at most ``MAX_LABELLED`` labelled documents."""
+    """(_id, toxic, text) of at most ``MAX_LABELLED`` labelled documents; of a
+    repeated id one text, the smallest."""
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(
         F.col(doc_id).alias("_id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     known = known.orderBy(F.xxhash64("_id"), "_id").limit(MAX_LABELLED)
-    return docs.join(F.broadcast(known), docs[doc_id] == known["_id"]).select(  # at most MAX_LABELLED rows
-        "_id", "toxic", F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.join(F.broadcast(known), "_id")  # at most MAX_LABELLED rows
+    return rows.groupBy("_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
