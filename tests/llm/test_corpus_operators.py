@@ -289,6 +289,52 @@ def test_passages_of_common_lines_are_found(spark):
     assert all(r["n_equal"] == 60 for r in out)
 
 
+def test_edited_passages_of_common_lines_link_classes(spark):
+    rng = np.random.default_rng(29)
+
+    def noise(n):
+        return [f"r{x}" for x in rng.integers(0, 10**9, n)]
+
+    def changed(words, tag):  # no run of 50 words is left
+        return [f"{tag}{i}" if i % 8 == 7 else w for i, w in enumerate(words)]
+
+    data = []
+    for g in range(6):  # ids g and 100 + g share an edited passage whose lines are held by smaller and larger ids
+        lines = [[f"g{g}l{i}w{j}" for j in range(10)] for i in range(6)]
+        whole = sum(lines, [])
+        data += [(g, " ".join(noise(30) + whole + noise(30)), "s"),
+                 (100 + g, " ".join(noise(30) + changed(whole, f"e{g}x") + noise(30)), "s")]
+        data += [(1000 + 1000 * g + 100 * i + j, " ".join(noise(20) + lines[i] + noise(20)), "s")
+                 for i in range(6) for j in range(25)]
+    # edits that shift the rest, outside the outermost runs of four words
+    word = [f"v{i}" for i in range(50)]
+    put_in = [w for i, v in enumerate(word) for w in ([v, f"n{i}"] if i % 5 == 2 else [v])]
+    data += [(50, " ".join(noise(20) + word + noise(20)), "s"), (51, " ".join(noise(9) + put_in + noise(9)), "s")]
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in out} == {
+        *(frozenset((g, 100 + g)) for g in range(6)), frozenset((50, 51))}
+    assert all(r["class_id"] == min(r["doc_id"], r["other_id"]) for r in out)
+
+
+def test_edit_distance_of_windows():
+    rng = np.random.default_rng(31)
+    a = [f"w{i}" for i in range(70)]
+    b = [f"x{i}" for i in range(30)] + a[10:60] + [f"y{i}" for i in range(30)]
+    for i in rng.choice(np.arange(30, 80), 10, replace=False):
+        b[i] = f"z{i}"
+    (s, e, hs, he, n), = substring_dedup.edited(a, b)
+    assert e - s == 50 and n >= 40 and abs(he - hs - 50) <= 10
+    b[40:44] = [f"q{i}" for i in range(4)]
+    b[60:70] = [f"p{i}" for i in range(10)]
+    assert substring_dedup.edited(a, b) == []
+    at = np.unique(rng.integers(0, 400, 150))
+    rank = rng.permutation(len(at))
+    inside = [[(at >= w) & (at < w + 58) for w in range(x - 57, x + 1)] for x in at]
+    assert substring_dedup.dense(at).tolist() == [any(w.sum() >= 18 for w in ws) for ws in inside]
+    assert substring_dedup.rare(at, rank).tolist() == [
+        any((w & (rank > r)).sum() >= 17 for w in ws) for r, ws in zip(rank, inside)]
+
+
 # -------------------------------------------------------------- chat ----
 
 def expected_chat(turns):
