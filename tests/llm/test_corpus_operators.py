@@ -335,6 +335,52 @@ def test_edit_distance_of_windows():
         any((w & (rank > r)).sum() >= 17 for w in ws) for r, ws in zip(rank, inside)]
 
 
+def test_runs_of_one_word_meet_by_what_is_beside_them(spark, monkeypatch):
+    met, found = [], substring_dedup._found
+    monkeypatch.setattr(substring_dedup, "_found", lambda pairs, regions: met.append(pairs.count()) or found(pairs, regions))
+
+    def text(*runs):
+        return " ".join(" ".join([w] * n) for w, n in runs)
+
+    # all hold 30 of one word, but beside other words: no two are linked
+    data = [(i, text((f"a{i}", 30), ("common", 30), (f"b{i}", 30)), "s") for i in range(40)]
+    data += [(100, text(("p", 45), ("q", 30)), "s"), (101, text(("r", 20), ("p", 41), ("s", 9)), "s"),  # 40 of a word
+             (200, text(("u", 25), ("x", 1), ("v", 20), ("y", 30)), "s"),  # no seed but runs of one word is shared
+             (201, text(("z", 30), ("u", 24), ("o", 2), ("v", 19), ("l", 30)), "s"),
+             (202, text(("v", 20), ("u", 24), ("k", 30)), "s")]  # the other way round
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in out} == {frozenset((100, 101)), frozenset((200, 201))}
+    assert sum(met) < 20
+
+
+def test_word_pairs_are_shared_by_all_links_of_runs_of_one_word():
+    rng = np.random.default_rng(37)
+
+    def mono(x):
+        m = np.zeros(len(x), bool)
+        m[:-2] = (x[2:] == x[1:-1]) & (x[1:-1] == x[:-2])
+        return m
+
+    checked = 0
+    for _ in range(3000):
+        a = np.repeat(rng.permutation(12), rng.integers(2, 2 + rng.integers(8, 45), 12))
+        lo = int(rng.integers(0, max(1, len(a) - 50)))
+        b = a[lo:lo + 50].tolist()
+        for _ in range(10):
+            at = int(rng.integers(0, len(b)))
+            kind = int(rng.integers(0, 3))  # left out, changed or put in
+            b[at:at + (kind < 2)] = [int(rng.integers(100, 10**6))] * (kind > 0)
+        b = np.array([*rng.integers(100, 10**6, 30), *b, *rng.integers(100, 10**6, 30)])
+        runs = [{tuple(x[i:i + 3].tolist()) for i in range(len(x) - 2)} for x in (a, b)]
+        if len(a) < 50 or any(len(set(r)) > 1 for r in runs[0] & runs[1]):
+            continue  # other seeds are shared
+        own, other = ({frozenset(p) for p in zip(*(c.tolist() for c in substring_dedup.word_pairs(x, mono(x))))}
+                      for x in (a, b))
+        assert own & other
+        checked += 1
+    assert checked > 20
+
+
 # -------------------------------------------------------------- chat ----
 
 def expected_chat(turns):
