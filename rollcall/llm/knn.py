@@ -2,7 +2,7 @@
 
 Vectors become integer vectors floor(64 * x).  Candidates are dealt to shards:
 the leaf of a small KD-tree whose median splits come from a bounded hash
-sample (``CELL_SAMPLE`` rows), salted where a leaf holds more than
+sample (``CELL_SAMPLE`` rows and ``CELL_VALUES`` components, as float32), salted where a leaf holds more than
 ``SHARD_ROWS`` rows (many equal vectors, say).  The sample decides where rows
 lie, never which take part.  Each shard is one row holding a KD-tree over its
 vectors: median splits on the widest side, tight bounding boxes per node.
@@ -44,6 +44,7 @@ from rollcall.llm.common import fixed_binary, list_column, map_batches, stash
 SCALE = 64
 SHARD_ROWS = 8192
 CELL_SAMPLE = 100_000
+CELL_VALUES = 2_000_000  # components that the sample holds at most, about
 LEAF_ROWS = 256
 BLOCK = 256
 
@@ -57,13 +58,13 @@ def quantised(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
                                     F.transform(x, lambda c: F.floor(SCALE * c)).alias("v"))
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """Rows of a list column as int64, padded with zeros to ``dim``."""
+def _matrix(column: pa.Array, dim: int, kind: type = np.int64) -> np.ndarray:
+    """Rows of a list column as ``kind``, padded with zeros to ``dim``."""
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(lengths) and (lengths == dim).all():
-        return flat.reshape(-1, dim).astype(np.int64)
-    out = np.zeros((len(lengths), dim), np.int64)
+        return flat.reshape(-1, dim).astype(kind, copy=False)
+    out = np.zeros((len(lengths), dim), kind)
     rows = np.repeat(np.arange(len(lengths)), lengths)
     out[rows, np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = flat
     return out
@@ -190,11 +191,13 @@ def top_k(vectors: DataFrame, k: int, query_mod: int, vec_id: str = "vec_id",
     n, dim = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
     dim = max(1, dim)
 
-    share = int((1 << 62) * min(1.0, CELL_SAMPLE / max(1, n)))
-    sample = rows.where(F.shiftrightunsigned(F.xxhash64("vec_id"), 2) < share).select("v").toArrow()["v"]
-    sample = _matrix(sample.combine_chunks(), dim) if len(sample) else np.zeros((0, dim), np.int64)
+    most = max(1, min(CELL_SAMPLE, CELL_VALUES // dim))
+    share = int((1 << 62) * min(1.0, most / max(1, n)))
+    sample = rows.where(F.shiftrightunsigned(F.xxhash64("vec_id", "v"), 2) < share).select(
+        F.col("v").cast("array<float>").alias("v")).limit(2 * most).toArrow()["v"]
+    sample = _matrix(sample.combine_chunks(), dim, np.float32) if len(sample) else np.zeros((0, dim), np.float32)
     depth = max(0, int(np.ceil(np.log2(max(1, n / (SHARD_ROWS / 2))))))
-    depth = min(depth, max(0, int(np.log2(max(1, len(sample) / 16)))))
+    depth = min(depth, max(0, int(np.log2(max(1, len(sample) / 4)))))
     side, split = _cells(sample, depth)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
