@@ -139,6 +139,26 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     assert knn.top_k(df.where("vec_id in (0, 1)"), 5, 20).count() == 1
 
 
+def test_top_k_takes_a_bounded_sample_to_the_driver(spark, monkeypatch):
+    sizes, cells = [], knn._cells
+    monkeypatch.setattr(knn, "_cells", lambda sample, depth: sizes.append(sample.nbytes) or cells(sample, depth))
+    wide = "transform(sequence(1, 2500), i -> cast(pmod(hash(id, i), 1000) / 500.0 - 1 as float))"
+    df = spark.range(2000).selectExpr("id as vec_id", f"{wide} as embedding")
+    got = knn.top_k(df, 3, 500)
+    v = np.floor(64 * np.array(df.orderBy("vec_id").toPandas()["embedding"].tolist(), np.float32).astype(float))
+    expect = set()
+    for q in range(0, 2000, 500):
+        score = v @ v[q]
+        best = sorted((c for c in range(2000) if c != q), key=lambda c: (-score[c], c))[:3]
+        expect |= {(q, i + 1, c, int(score[c])) for i, c in enumerate(best)}
+    assert {tuple(r) for r in got.collect()} == expect
+    assert 0 < sizes[0] <= 10_000_000  # 40 MB as whole rows
+    # one id in many rows is spread over the sample's share as other rows are
+    same = spark.range(400_000).selectExpr("20 as vec_id", "array(cast(id % 977 as float), cast(id as float)) as embedding")
+    knn.top_k(same, 3, 20)
+    assert 0 < sizes[1] <= 1_000_000
+
+
 def test_kd_tree_boxes_are_tight():
     rng = np.random.default_rng(2)
     tree = knn.KDTree(np.arange(500), rng.integers(-50, 50, (500, 4)), leaf=16)
@@ -316,6 +336,57 @@ def test_edited_passages_of_common_lines_link_classes(spark):
     assert all(r["class_id"] == min(r["doc_id"], r["other_id"]) for r in out)
 
 
+def test_passages_within_a_class_are_all_listed(spark):
+    rng = np.random.default_rng(41)
+
+    def noise(n):
+        return [f"r{x}" for x in rng.integers(0, 10**9, n)]
+
+    data = []
+    for g in range(6):  # 100 + g and 200 + g are linked by g, and share a passage whose lines many others hold
+        lines = [[f"g{g}l{i}w{j}" for j in range(10)] for i in range(6)]
+        whole = sum(lines, [])
+        other = [f"e{g}x{i}" if i % 8 == 7 else w for i, w in enumerate(whole)]
+        one, two = noise(60), noise(60)
+        data += [(g, " ".join(one + noise(90) + two), "s"), (100 + g, " ".join(one + noise(90) + whole), "s"),
+                 (200 + g, " ".join(noise(30) + other + noise(90) + two), "s")]
+        data += [(1000 + 1000 * g + 100 * i + j, " ".join(noise(20) + lines[i] + noise(20)), "s")
+                 for i in range(6) for j in range(25)]
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in out} == {
+        frozenset(p) for g in range(6) for p in ((g, 100 + g), (g, 200 + g), (100 + g, 200 + g))}
+    # all pairs that share a seed with few holders
+    shared = noise(60)
+    data = [(i, " ".join(noise(9) + shared + noise(9)), "s") for i in range(8)]
+    out = rows(substring_dedup.passages(docs_of(spark, data)))
+    assert {frozenset((r["doc_id"], r["other_id"])) for r in out} == {
+        frozenset((i, j)) for i in range(8) for j in range(i)}
+
+
+def test_all_passages_of_a_pair_are_listed(spark):
+    one, two, three = ([f"p{n}w{i}" for i in range(60)] for n in range(3))
+    gaps = [[f"n{n}w{i}" for i in range(100)] for n in range(6)]
+    data = [(1, " ".join(one + gaps[0] + two + gaps[1] + three + gaps[2] + three), "s"),  # each holds one of them twice
+            (2, " ".join(one + gaps[3] + two + gaps[4] + two + gaps[5] + three), "s")]
+    begun = set()
+    for r in rows(substring_dedup.passages(docs_of(spark, data))):
+        begun |= {(r["doc_id"], r["start"]), (r["other_id"], r["other_start"])}
+    assert begun == {(i, s) for i in (1, 2) for s in (0, 160, 320, 480)}
+
+
+def test_seeds_travel_packed():
+    rng = np.random.default_rng(43)
+    text = np.sort(rng.integers(0, 30, 500))
+    place = np.concatenate([np.sort(rng.choice(4000, n, replace=False)) for n in np.bincount(text, minlength=30)])
+    key = rng.integers(0, 7 << 32, 500)
+    uid = rng.integers(-2**62, 2**62, 30)
+    packed = pa.Table.from_batches([substring_dedup._packed(9, uid, text, place, key)])
+    row, t, p, h = substring_dedup._unpacked(packed)
+    back = sorted(zip(t, p, (packed["bucket"].to_numpy().astype(np.int64)[row] << 32) | h))
+    assert back == sorted(zip(text, place, key))
+    assert [x for x in packed["uids"].to_pylist() if x] == [uid.tobytes()]
+
+
 def test_edit_distance_of_windows():
     rng = np.random.default_rng(31)
     a = [f"w{i}" for i in range(70)]
