@@ -227,7 +227,9 @@ def top_k(vectors: DataFrame, k: int, query_mod: int, vec_id: str = "vec_id",
         tree = KDTree(part["vec_id"].to_numpy(), v)
         return pa.table({"shard": part["shard"].slice(0, 1), "tree": pa.array([tree.blob()], pa.binary())})
 
-    trees = stash(placed.groupBy("shard").applyInArrow(build, "shard string, tree binary"), "trees")
+    # Vectors compress well, so that Spark would take tables of them for small and
+    # broadcast them through the driver.
+    trees = stash(placed.groupBy("shard").applyInArrow(build, "shard string, tree binary"), "trees").hint("merge")
 
     # Blocks of queries that share a home shard.
     asked = placed.where(F.pmod("vec_id", F.lit(query_mod)) == 0)
@@ -262,7 +264,7 @@ def top_k(vectors: DataFrame, k: int, query_mod: int, vec_id: str = "vec_id",
         "tree", "ids", "queries", no_bound.alias("kth")), search, result), "home-results")
 
     bound = home.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("kth")).select(
-        "query_id", F.when(F.col("n") >= k, F.col("kth")).otherwise(floor).alias("kth"))
+        "query_id", F.when(F.col("n") >= k, F.col("kth")).otherwise(floor).alias("kth")).hint("merge")
     bounded = asked.select("vec_id", "v", "home", "block").join(
         bound, F.col("vec_id") == F.col("query_id"), "left").select(
         "vec_id", "v", "home", "block", F.coalesce("kth", F.lit(floor)).alias("kth"))

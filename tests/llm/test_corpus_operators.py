@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
-    chat_format, decontaminate, knn, mixing, near_dedup, quality, secrets_scan, substring_dedup, textvec, toxicity,
+    chat_format, common, decontaminate, knn, mixing, near_dedup, quality, secrets_scan, substring_dedup, textvec, toxicity,
     warc,
 )
 from rollcall.llm.common import shared_path, table
@@ -159,6 +159,20 @@ def test_top_k_takes_a_bounded_sample_to_the_driver(spark, monkeypatch):
     assert 0 < sizes[1] <= 1_000_000
 
 
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    df = spark.range(3000).selectExpr("id as vec_id", "array(cast(id % 7 as float), cast(id % 11 as float)) as embedding")
+    plans = []
+
+    def stash(rows, name):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return common.stash(rows, name)
+
+    monkeypatch.setattr(knn, "SHARD_ROWS", 500)
+    monkeypatch.setattr(knn, "stash", stash)
+    plans.append(knn.top_k(df, 3, 20)._jdf.queryExecution().executedPlan().toString())
+    assert "SortMergeJoin" in "".join(plans) and "Broadcast" not in "".join(plans)
+
+
 def test_kd_tree_boxes_are_tight():
     rng = np.random.default_rng(2)
     tree = knn.KDTree(np.arange(500), rng.integers(-50, 50, (500, 4)), leaf=16)
