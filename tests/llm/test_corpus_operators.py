@@ -350,7 +350,8 @@ def test_edited_passages_of_common_lines_link_classes(spark):
     assert all(r["class_id"] == min(r["doc_id"], r["other_id"]) for r in out)
 
 
-def test_passages_within_a_class_are_all_listed(spark):
+def test_passages_within_a_class_are_all_listed(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LISTED", 16)
     rng = np.random.default_rng(41)
 
     def noise(n):
